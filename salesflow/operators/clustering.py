@@ -47,10 +47,13 @@ def points(fact: DataFrame) -> DataFrame:
 
 
 def _require_trainable(grouped: DataFrame) -> None:
-    if grouped.isEmpty():
-        raise ValueError("clustering needs at least one fact row")
     incomplete = " or ".join(f"{name} is null" for name in FEATURES)
-    if not grouped.filter(incomplete).isEmpty():
+    found = grouped.agg(
+        F.count(F.lit(1)).alias("points"), F.count_if(F.expr(incomplete)).alias("incomplete")
+    ).first()
+    if not found["points"]:
+        raise ValueError("clustering needs at least one fact row")
+    if found["incomplete"]:
         raise ValueError(f"clustering needs {' and '.join(FEATURES)} in every fact row")
 
 

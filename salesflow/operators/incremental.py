@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 ID = "orderid"
 _BUCKET_BITS = 16
-# Rows that one sort-and-limit may merge; more means that ids repeat heavily.
+# Rows that one sort-and-limit may merge in a task.
 MERGE_ROWS = 1_000_000
 
 
@@ -84,21 +84,20 @@ def next_batch(df: DataFrame, watermark: int, limit: int) -> Batch | None:
     cut = _bucket_cut(pending, limit)
     if cut is None:
         return None
-    crowded = cut.rows > max(MERGE_ROWS, 2 * limit)
-    if crowded:
-        cut = _exact_cut(pending, limit, cut)
-    near = pending.filter(F.col(ID) <= cut.last_id)
     order = [ID, *(c for c in df.columns if c != ID)]
-    frame = (
-        _first_with_copies(near, order, limit)
-        if crowded
-        else near.orderBy(*order).limit(limit)
-    )
-    return Batch(frame, min(limit, cut.rows))
-
-
-def _first_with_copies(df: DataFrame, order: list[str], limit: int) -> DataFrame:
-    """Sort and limit for input full of equal rows: count copies, pick rows, repeat them."""
+    if cut.rows <= MERGE_ROWS:
+        near = pending.filter(F.col(ID) <= cut.last_id)
+        return Batch(near.orderBy(*order).limit(limit), min(limit, cut.rows))
+    cut = _exact_cut(pending, limit, cut)
+    if cut.rows <= limit:
+        return Batch(pending.filter(F.col(ID) <= cut.last_id), cut.rows)
+    below = pending.filter(F.col(ID) < cut.last_id)
+    last = pending.filter(F.col(ID) == cut.last_id)
+    return Batch(below.unionByName(_first_copies(last, order, limit - cut.rows_before)), limit)
+
+
+def _first_copies(df: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """Sort and limit for rows that repeat heavily: count equal rows, pick some, repeat them."""
     picked = (
         df.groupBy(*order)
         .agg(F.count(F.lit(1)).alias("_copies"))
@@ -137,7 +136,11 @@ def assign_batches(df: DataFrame, watermark: int, batch_rows: int) -> DataFrame:
     """
     ids = (
         after(df, watermark)
-        .groupBy(F.shiftright(ID, _BUCKET_BITS).alias("bucket"), ID)
+        .select(ID, F.shiftright(ID, _BUCKET_BITS).alias("bucket"))
+        # Stated here, because the join below would add it to one side only, and the two
+        # sides could no longer share one shuffle.
+        .filter(F.col("bucket").isNotNull())
+        .groupBy("bucket", ID)
         .agg(F.count(F.lit(1)).alias("copies"))
     )
     offsets = (
@@ -151,12 +154,11 @@ def assign_batches(df: DataFrame, watermark: int, batch_rows: int) -> DataFrame:
         )
     )
     inside = F.sum("copies").over(Window.partitionBy("bucket").orderBy(ID)) - F.col("copies")
-    start = F.col("offset") + F.col("inside")
     return (
         ids.withColumn("inside", inside)
         # At most 65,536 rows of two integers.
         .join(F.broadcast(offsets), "bucket")
-        .select(ID, "copies", (F.floor(start / batch_rows) + 1).cast("long").alias("batch_no"))
+        .select(ID, "copies", F.expr(f"(offset + inside) div {batch_rows} + 1").alias("batch_no"))
     )
 
 

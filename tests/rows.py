@@ -1,0 +1,31 @@
+"""Small helpers that build staging rows from a few given columns."""
+
+from salesflow.schemas import STAGING
+
+FILLED = {
+    "amount": 10,
+    "dateid": 1,
+    "countryid": 1,
+    "categoryid": 1,
+    "weekday": 2,
+    "weekdayname": "Monday",
+    "quarter": 1,
+    "quartername": "Q1",
+    "category": "Toys",
+    "country": "Chile",
+}
+
+
+def raw_rows(spark, rows):
+    """Staging rows; columns not given are NULL."""
+    data = [tuple(row.get(n) for n in STAGING.names) for row in rows]
+    return spark.createDataFrame(data, STAGING.struct)
+
+
+def sales(spark, ids, **columns):
+    """Complete staging rows with the given ids."""
+    return raw_rows(spark, [{**FILLED, **columns, "orderid": i} for i in ids])
+
+
+def ids_of(df):
+    return sorted(row["orderid"] for row in df.select("orderid").collect())

@@ -1,0 +1,139 @@
+"""Batches by order id, compared with plain Python."""
+
+import random
+
+import pytest
+
+from salesflow.operators import incremental
+from salesflow.operators.incremental import (
+    assign_batches,
+    batch_bounds,
+    high_watermark,
+    next_batch,
+    next_range,
+)
+from tests.rows import ids_of, sales
+
+
+def watermark(df):
+    return high_watermark(df).first()["max_orderid"]
+
+
+def lowest(ids, after, limit):
+    return sorted(i for i in ids if i is not None and i > after)[:limit]
+
+
+def scattered(seed, rows=3000, highest=400_000):
+    pick = random.Random(seed)
+    return [pick.randrange(-5, highest) for _ in range(rows)]
+
+
+def test_watermark_is_zero_without_rows_or_ids(spark):
+    assert watermark(sales(spark, [])) == 0
+    assert watermark(sales(spark, [None])) == 0
+    assert watermark(sales(spark, [3, 9, None, 4])) == 9
+
+
+def test_null_zero_and_negative_ids_are_never_read(spark):
+    batch = next_batch(sales(spark, [None, -1, 0, 1]), 0, 10)
+    assert ids_of(batch.frame) == [1]
+    assert batch.rows == 1
+
+
+def test_no_pending_rows_is_no_batch(spark):
+    assert next_batch(sales(spark, [1, 2]), 2, 10) is None
+    assert next_range(sales(spark, []), 0, 10) is None
+    assert assign_batches(sales(spark, []), 0, 10).isEmpty()
+
+
+def test_row_limit_may_split_equal_ids(spark):
+    df = sales(spark, [1, 2, 2, 3])
+    first = next_batch(df, 0, 2)
+    assert ids_of(first.frame) == [1, 2]
+    assert ids_of(next_batch(df, 2, 2).frame) == [3]
+
+
+def test_range_keeps_equal_ids_together(spark):
+    batch = next_range(sales(spark, [1, 2, 2, 3]), 0, 2)
+    assert ids_of(batch.frame) == [1, 2, 2]
+    assert batch.rows == 3
+
+
+@pytest.mark.parametrize("merge_rows", [1_000_000, 10])
+@pytest.mark.parametrize("after,limit", [(0, 1), (0, 700), (65_535, 512), (250_000, 5000)])
+def test_batch_is_the_lowest_ids(spark, monkeypatch, merge_rows, after, limit):
+    monkeypatch.setattr(incremental, "MERGE_ROWS", merge_rows)
+    ids = scattered(limit)
+    batch = next_batch(sales(spark, ids), after, limit)
+    assert ids_of(batch.frame) == lowest(ids, after, limit)
+    assert batch.rows == batch.frame.count()
+
+
+@pytest.mark.parametrize("limit", [1, 5, 40, 41, 700])
+def test_batch_that_ends_in_a_hot_id(spark, monkeypatch, limit):
+    monkeypatch.setattr(incremental, "MERGE_ROWS", 10)
+    ids = [1, 2, 3] + [70_000] * 600 + [80_000] * 5
+    equal = sales(spark, ids)
+    differing = sales(spark, ids[:300]).unionByName(sales(spark, ids[300:], amount=11))
+    for df in (equal, differing):
+        batch = next_batch(df, 0, limit)
+        assert ids_of(batch.frame) == lowest(ids, 0, limit)
+        assert batch.rows == min(limit, len(ids))
+
+
+def test_batch_rows_agree_between_runs(spark):
+    df = sales(spark, [5] * 50).unionByName(sales(spark, [5] * 50, amount=3)).repartition(7)
+    first = next_batch(df, 0, 60).frame
+    again = next_batch(df.repartition(3), 0, 60).frame
+    assert first.exceptAll(again).isEmpty()
+
+
+def test_ranges_cover_every_row_once(spark):
+    ids = scattered(3) + [250_000] * 500
+    df = sales(spark, ids).cache()
+    seen, after = [], 0
+    while (batch := next_range(df, after, 600)) is not None:
+        part = ids_of(batch.frame)
+        assert len(part) == batch.rows
+        seen += part
+        after = part[-1]
+    assert seen == lowest(ids, 0, len(ids))
+
+
+def test_largest_id_is_reachable(spark):
+    highest = 2**31 - 1
+    df = sales(spark, [1, highest, highest])
+    assert ids_of(next_batch(df, 0, 10).frame) == [1, highest, highest]
+    assert ids_of(next_range(df, 1, 1).frame) == [highest, highest]
+    assert next_batch(df, highest, 10) is None
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_batch_numbers_follow_the_sorted_rows(spark, size):
+    ids = scattered(size) + [66_000] * 40
+    found = {r["orderid"]: (r["copies"], r["batch_no"]) for r in
+             assign_batches(sales(spark, ids), 0, size).collect()}
+    ordered = lowest(ids, 0, len(ids))
+    wanted = {}
+    for place, i in enumerate(ordered):
+        if i not in wanted:
+            wanted[i] = (ordered.count(i), place // size + 1)
+    assert found == wanted
+
+
+def test_batch_bounds(spark):
+    bounds = batch_bounds(assign_batches(sales(spark, range(1, 26)), 0, 10))
+    assert sorted(map(tuple, bounds.collect())) == [
+        (1, 1, 10, 10),
+        (2, 11, 20, 10),
+        (3, 21, 25, 5),
+    ]
+
+
+def test_batch_filter_reaches_the_scan(spark, tmp_path, capsys):
+    sales(spark, range(1, 100)).write.parquet(str(tmp_path / "raw"))
+    batch = next_range(spark.read.parquet(str(tmp_path / "raw")), 10, 20)
+    batch.frame.explain()
+    plan = capsys.readouterr().out
+    assert "GreaterThan(orderid,10)" in plan
+    assert "LessThanOrEqual(orderid,30)" in plan
