@@ -25,6 +25,7 @@ CLUSTERS = 4
 
 SEED = 17
 _ROWS = "rows"
+_POINTS_PER_TASK = 50_000
 
 
 def assembler() -> VectorAssembler:
@@ -46,7 +47,8 @@ def points(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias(_ROWS))
 
 
-def _require_trainable(grouped: DataFrame) -> None:
+def _require_trainable(grouped: DataFrame) -> int:
+    """Number of points; an error if there are none or a feature is missing."""
     incomplete = " or ".join(f"{name} is null" for name in FEATURES)
     found = grouped.agg(
         F.count(F.lit(1)).alias("points"), F.count_if(F.expr(incomplete)).alias("incomplete")
@@ -55,6 +57,7 @@ def _require_trainable(grouped: DataFrame) -> None:
         raise ValueError("clustering needs at least one fact row")
     if found["incomplete"]:
         raise ValueError(f"clustering needs {' and '.join(FEATURES)} in every fact row")
+    return found["points"]
 
 
 def fit(fact: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
@@ -62,13 +65,15 @@ def fit(fact: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> PipelineModel:
 
     The scaler sees every order. K-Means sees the weighted points, which leaves the update step
     unchanged. They are stored once, because each iteration reads them again and an executor
-    may be lost in between.
+    may be lost in between. Equal seeds give equal starts only on equal partitions, hence the
+    fixed placement and order.
     """
     grouped = saved(points(fact), "points")
-    _require_trainable(grouped)
+    partitions = math.ceil(_require_trainable(grouped) / _POINTS_PER_TASK)
+    placed = grouped.repartition(partitions, *FEATURES).sortWithinPartitions(*FEATURES)
     assemble = assembler()
     scale = scaler().fit(assemble.transform(fact.select(*FEATURES)))
-    train = scale.transform(assemble.transform(grouped)).select("scaledFeatures", _ROWS)
+    train = scale.transform(assemble.transform(placed)).select("scaledFeatures", _ROWS)
     kmeans = KMeans(k=k, featuresCol="scaledFeatures", weightCol=_ROWS, seed=seed).fit(train)
     return PipelineModel([assemble, scale, kmeans])
 

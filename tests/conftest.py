@@ -21,6 +21,6 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(work / "shared"))
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -1,0 +1,145 @@
+"""Scaling, K-Means and Lloyd iterations against direct computation."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.sql import functions as F
+
+from salesflow.operators import clustering
+from salesflow.operators.star import fact_rows
+from salesflow.plans.jobs import cluster_fact
+from salesflow.schemas import FACT, RESULT, RESULT_COLUMNS
+from salesflow.sources.sample import raw_sales
+from salesflow.sources.stores import ParquetStore
+
+DATA = "/root/testdata/sf0.001"
+
+
+def fact(spark, points):
+    rows = [(i, 1, c, 1, a) for i, (c, a) in enumerate(points, 1)]
+    return spark.createDataFrame(rows, FACT.struct)
+
+
+def scattered(n=400):
+    pick = random.Random(4)
+    return [(pick.randrange(25), pick.randrange(1000, 500_000)) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    return fact_rows(raw_sales(spark, DATA)).cache()
+
+
+def nearest(points, centres, spread):
+    scaled = np.array(points, float) / spread
+    gaps = ((scaled[:, None, :] - (centres / spread)[None]) ** 2).sum(2)
+    return gaps.argmin(1)
+
+
+def test_scaled_features_use_the_sample_deviation(spark):
+    points = scattered(50)
+    df = fact(spark, points)
+    assembled = clustering.assembler().transform(df)
+    scaled = clustering.scaler().fit(assembled).transform(assembled)
+    rows = clustering.feature_columns(scaled, "scaledFeatures").orderBy("orderid").collect()
+    wanted = np.array(points, float) / np.std(points, axis=0, ddof=1)
+    assert np.allclose([(r["countryid"], r["amount"]) for r in rows], wanted)
+    spread = clustering.feature_stddev(df).first()
+    assert np.allclose(tuple(spread), np.std(points, axis=0, ddof=1))
+
+
+def test_constant_feature_scales_to_zero(spark):
+    df = fact(spark, [(3, 10), (3, 20), (3, 90)])
+    assembled = clustering.assembler().transform(df)
+    scaled = clustering.scaler().fit(assembled).transform(assembled)
+    found = clustering.feature_columns(scaled, "scaledFeatures").collect()
+    assert {r["countryid"] for r in found} == {0.0}
+    assert clustering.lloyd(df, k=2).select("cluster").distinct().count() == 2
+
+
+def test_every_order_is_in_its_nearest_cluster(spark, orders):
+    model = clustering.fit(orders)
+    rows = clustering.score(model, orders).collect()
+    centres = np.array(sorted(tuple(c) for c in model.stages[-1].clusterCenters()))
+    spread = np.array(clustering.feature_stddev(orders).first())
+    points = [(r["countryid"], r["amount"]) for r in rows]
+    assert len(rows) == orders.count()
+    assert [r["cluster"] for r in rows] == list(nearest(points, centres * spread, spread))
+
+
+def cost(predictions):
+    evaluator = ClusteringEvaluator(featuresCol="scaledFeatures", predictionCol="prediction")
+    return evaluator.evaluate(predictions)
+
+
+def test_grouped_points_cluster_as_well_as_single_orders(spark, orders):
+    stages = [clustering.assembler(), clustering.scaler()]
+    plain = Pipeline(stages=[*stages, KMeans(k=4, featuresCol="scaledFeatures", seed=1)])
+    ours = max(cost(clustering.fit(orders, seed=s).transform(orders)) for s in (1, 2, 3))
+    assert ours > 0.95 * cost(plain.fit(orders).transform(orders))
+
+
+def test_weights_count_repeated_points(spark):
+    """A point held by most orders pulls its centre as all those orders would."""
+    points = [(1, 100)] * 300 + [(1, 200)] + [(20, 400_000)] * 2 + [(20, 410_000)]
+    model = clustering.fit(fact(spark, points), k=2)
+    spread = np.std(points, axis=0, ddof=1)
+    centres = sorted(tuple(c * spread) for c in model.stages[-1].clusterCenters())
+    assert np.allclose(centres, [(1, 30200 / 301), (20, 1_210_000 / 3)])
+
+
+def test_labels_do_not_depend_on_partitioning(spark, orders):
+    once = clustering.score(clustering.fit(orders), orders)
+    again = clustering.score(clustering.fit(orders.repartition(5)), orders)
+    assert once.exceptAll(again).isEmpty()
+
+
+def test_lloyd_matches_numpy(spark):
+    points = scattered()
+    spread = np.std(points, axis=0, ddof=1)
+    centres = np.array(points[:4], float)
+    for _ in range(5):
+        labels = nearest(points, centres, spread)
+        centres = np.array([np.array(points)[labels == i].mean(0) for i in range(4)])
+    found = clustering.lloyd(fact(spark, points).repartition(3)).orderBy("orderid").collect()
+    assert [r["cluster"] for r in found] == list(nearest(points, centres, spread))
+
+
+def test_lloyd_from_given_centres_keeps_an_empty_cluster(spark):
+    df = fact(spark, [(1, 10), (1, 12), (2, 90)])
+    found = clustering.lloyd(df, centres=[(1.0, 10.0), (2.0, 90.0), (900.0, 1e9)])
+    assert [r["cluster"] for r in found.orderBy("orderid").collect()] == [0, 0, 1]
+
+
+def test_fewer_points_than_clusters(spark):
+    df = fact(spark, [(1, 10), (2, 20)])
+    labels = [r["cluster"] for r in clustering.score(clustering.fit(df), df).collect()]
+    assert sorted(labels) == [0, 1]
+    assert clustering.lloyd(df).count() == 2
+
+
+def test_untrainable_input_is_a_clear_error(spark):
+    for train in (clustering.fit, clustering.lloyd):
+        with pytest.raises(ValueError, match="at least one fact row"):
+            train(fact(spark, []))
+        with pytest.raises(ValueError, match="in every fact row"):
+            train(fact(spark, [(1, 10), (2, None)]))
+
+
+def test_result_table_is_replaced(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path))
+    store.create([FACT])
+    store.append(fact(spark, scattered(60)), FACT)
+    store.overwrite(spark.createDataFrame([(1, "old")], "orderid int, note string"), RESULT)
+    result = cluster_fact(store)
+    assert result.columns == RESULT_COLUMNS
+    assert dict(result.dtypes)["cluster"] == "int"
+    assert result.count() == 60
+    assert {r["cluster"] for r in result.collect()} == {0, 1, 2, 3}
+    store.append(fact(spark, [(3, 7)]).withColumn("orderid", F.lit(1000)), FACT)
+    assert cluster_fact(store).count() == 61
+
