@@ -20,7 +20,7 @@ QUARTER_NAMES = {"1": "Q1", "2": "Q2", "3": "Q3", "4": "Q4"}
 
 def without_digits(name: str) -> Column:
     """The text with every ASCII digit removed; nothing is trimmed and NULL stays NULL."""
-    return F.translate(name, "0123456789", "")
+    return F.regexp_replace(name, "[0-9]+", "")
 
 
 def is_missing(name: str) -> Column:

@@ -25,7 +25,7 @@ CLUSTERS = 4
 
 SEED = 17
 _ROWS = "rows"
-_POINTS_PER_TASK = 50_000
+_POINTS_PER_TASK = 200_000
 
 
 def assembler() -> VectorAssembler:

@@ -43,17 +43,21 @@ def _pick(df: DataFrame, watermark: int, rows: int, whole_ids: bool) -> Batch |
     return (next_range if whole_ids else next_batch)(df, watermark, rows)
 
 
-def clean_next_batch(staging, batch_rows: int = BATCH_ROWS, whole_ids: bool = False) -> JobResult:
+def clean_next_batch(
+    staging, batch_rows: int = BATCH_ROWS, whole_ids: bool = False, preview: int = 0
+) -> JobResult:
     """Clean the next raw rows and append them to the cleaned table.
 
     With `whole_ids` a batch is an id range that keeps equal ids together; use it for batches
-    of more than some 100,000 rows.
+    of more than some 100,000 rows. `preview` prints that many raw rows.
     """
     staging.require(STAGING, CLEANED)
     watermark = _watermark(staging.read(CLEANED))
     batch = _pick(staging.read(STAGING), watermark, batch_rows, whole_ids)
     if batch is None:
         return JobResult(0, watermark, True)
+    if preview:
+        batch.frame.show(preview)
     staging.append(clean(batch.frame), CLEANED)
     return JobResult(batch.rows, watermark, False)
 
@@ -116,6 +120,7 @@ def transfer_next_batch(
     batch_rows: int = BATCH_ROWS,
     whole_ids: bool = False,
     repair: bool = True,
+    preview: int = 0,
 ) -> JobResult:
     """Move the next cleaned rows to the star schema, after closing any earlier gap."""
     staging.require(CLEANED)
@@ -125,6 +130,8 @@ def transfer_next_batch(
     batch = _pick(staging.read(CLEANED), watermark, batch_rows, whole_ids)
     if batch is None:
         return JobResult(repaired, watermark, repaired == 0)
+    if preview:
+        batch.frame.show(preview)
     if whole_ids:
         load_star(batch.frame, production)
     else:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,8 +69,12 @@ def _stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved(_fact(spark, sf_dir), "fact")
 
 
+def _stored_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return saved(_cleaned(spark, sf_dir), "cleaned")
+
+
 def _seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _batch(_cleaned(spark, sf_dir), 0, SEED_ROWS)
+    return saved(_batch(_cleaned(spark, sf_dir), 0, SEED_ROWS), "seed")
 
 
 def _batch(df: DataFrame, watermark: int, rows: int = jobs.BATCH_ROWS) -> DataFrame:
@@ -106,14 +110,13 @@ def batch_second(spark, sf_dir):
 
 @_query
 def dim_key_scan(spark, sf_dir):
-    rows = _cleaned(spark, sf_dir)
-    keys = [
-        star.dimension_rows(rows, dim).select(
-            F.lit(dim.name).alias("dimension"), F.col(dim.key).alias("id")
-        )
-        for dim in DIMENSIONS
-    ]
-    return keys[0].unionByName(keys[1]).unionByName(keys[2])
+    rows = _stored_cleaned(spark, sf_dir)
+
+    def keys(dim: Table) -> DataFrame:
+        found = star.dimension_rows(rows, dim)
+        return found.select(F.lit(dim.name).alias("dimension"), F.col(dim.key).alias("id"))
+
+    return reduce(DataFrame.unionByName, map(keys, DIMENSIONS))
 
 
 @_query
@@ -124,23 +127,19 @@ def high_watermark(spark, sf_dir):
 @_query
 def table_exists(spark, sf_dir):
     """Which tables a store has, with the row counts of those that exist."""
-    tables = [
-        Table(f"{name}.parquet", ())
-        for name in ("orders", "customer", "nation", "region", "no_such_table")
-    ]
     store = ParquetStore(spark, sf_dir)
-    lines = [
-        (store.read(t) if store.exists(t) else spark.range(0)).agg(
-            F.lit(t.name.removesuffix(".parquet")).alias("table_name"),
-            F.lit(store.exists(t)).alias("found"),
+
+    def line(name: str) -> DataFrame:
+        table = Table(f"{name}.parquet", ())
+        found = store.exists(table)
+        return (store.read(table) if found else spark.range(0)).agg(
+            F.lit(name).alias("table_name"),
+            F.lit(found).alias("found"),
             F.count(F.lit(1)).alias("row_count"),
         )
-        for t in tables
-    ]
-    report = lines[0]
-    for line in lines[1:]:
-        report = report.unionByName(line)
-    return report
+
+    names = ("orders", "customer", "nation", "region", "no_such_table")
+    return reduce(DataFrame.unionByName, map(line, names))
 
 
 @_query
@@ -473,7 +472,7 @@ def dim_conflicts(spark, sf_dir):
 
 @_query
 def star_sales_by_country_quarter(spark, sf_dir):
-    rows = _cleaned(spark, sf_dir)
+    rows = _stored_cleaned(spark, sf_dir)
     return star.sales_by_country_quarter(
         star.fact_rows(rows),
         star.dimension_rows(rows, DIM_DATE),

@@ -7,6 +7,11 @@ SQL engine can derive the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Customers (two integers each) that are sent to every executor; more are joined by shuffle,
+# where adaptive execution splits the partition of a customer with very many orders.
+BROADCAST_CUSTOMERS = 2_000_000
 
 _RAW = """
 select cast(o_orderkey as int) as orderid, cast(floor(o_totalprice) as int) as amount,
@@ -36,4 +41,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
         for name in ("orders", "customer", "nation", "region")
     }
-    return spark.sql(_RAW, **tables)
+    customers = tables["customer"].select("c_custkey", "c_nationkey")
+    if customers.count() <= BROADCAST_CUSTOMERS:
+        customers = F.broadcast(customers)
+    return spark.sql(_RAW, **{**tables, "customer": customers})
