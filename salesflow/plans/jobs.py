@@ -6,8 +6,10 @@ are raised; "no new rows" is a normal result.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,14 @@ from salesflow.operators import clustering
 from salesflow.operators.incremental import (
     Batch,
     after,
+    assign_batches,
+    batch_bounds,
     high_watermark,
     next_batch,
     next_range,
 )
 from salesflow.operators.star import dimension_rows, fact_rows, new_rows
-from salesflow.schemas import CLEANED, DIMENSIONS, FACT, RESULT, STAGING, STAR
+from salesflow.schemas import CLEANED, DIMENSIONS, FACT, RESULT, STAGING, STAR, Table
 
 # Fixed value: rows per batch.
 BATCH_ROWS = 10_000
@@ -70,7 +74,9 @@ def load_star(rows: DataFrame, production) -> int:
     Each append skips the keys its table already has, so running it again after a failure
     completes the load instead of repeating or losing rows.
     """
-    for dim in DIMENSIONS:
+
+    @inheritable_thread_target(rows.sparkSession)
+    def load_dimension(dim: Table) -> None:
         # About as many rows as the dimension has keys: cached so that testing for new keys
         # and writing them is one computation.
         fresh = new_rows(dimension_rows(rows, dim), production.read(dim), dim.key).persist()
@@ -79,6 +85,10 @@ def load_star(rows: DataFrame, production) -> int:
                 production.append(fresh, dim)
         finally:
             fresh.unpersist()
+
+    # The dimensions do not depend on each other, so their jobs may share the cluster.
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        list(pool.map(load_dimension, DIMENSIONS))
     facts = fact_rows(rows)
     # Only the id range of these rows can hold their ids; the range reaches the scan.
     span = rows.agg(
@@ -146,19 +156,45 @@ def transfer_next_batch(
 def run_to_completion(
     staging, production, batch_rows: int = BATCH_ROWS, whole_ids: bool = False
 ) -> int:
-    """Clean and transfer batch after batch until neither finds new rows; returns the rounds."""
+    """Clean and transfer batch after batch until no new rows are left; returns the rounds."""
+    if whole_ids:
+        return _run_ranges(staging, production, batch_rows)
     rounds = 0
     while True:
-        cleaned = clean_next_batch(staging, batch_rows, whole_ids)
+        cleaned = clean_next_batch(staging, batch_rows)
         # Earlier gaps need closing once; the rounds of this run leave none behind.
-        moved = transfer_next_batch(
-            staging, production, batch_rows, whole_ids, repair=rounds == 0
-        )
+        moved = transfer_next_batch(staging, production, batch_rows, repair=rounds == 0)
         if cleaned.done and moved.done:
             return rounds
         rounds += 1
 
 
+def _run_ranges(staging, production, batch_rows: int) -> int:
+    """The loop with all batch ends planned by one pass over the ids."""
+    staging.require(STAGING, CLEANED)
+    production.require(*STAR)
+    repair_star(staging, production)
+    cleaned_to = _watermark(staging.read(CLEANED))
+    moved_to = _watermark(production.read(FACT))
+    raw = staging.read(STAGING)
+    rounds = 0
+    if cleaned_to > moved_to:
+        load_star(_between(staging.read(CLEANED), moved_to, cleaned_to), production)
+        rounds += 1
+    bounds = batch_bounds(assign_batches(raw, cleaned_to, batch_rows)).orderBy("batch_no")
+    for batch in bounds.toLocalIterator():
+        last = batch["last_orderid"]
+        staging.append(clean(_between(raw, cleaned_to, last)), CLEANED)
+        load_star(_between(staging.read(CLEANED), cleaned_to, last), production)
+        cleaned_to = last
+        rounds += 1
+    return rounds
+
+
+def _between(df: DataFrame, after_id: int, last_id: int) -> DataFrame:
+    return after(df, after_id).filter(F.col("orderid") <= last_id)
+
+
 def load_backlog(staging, production) -> JobResult:
     """Clean and transfer everything beyond the watermarks in one pass, without batches."""
     staging.require(STAGING, CLEANED)

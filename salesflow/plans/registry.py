@@ -387,6 +387,11 @@ def _loaded(application: str, sf_dir: str) -> ParquetStore:
     return store
 
 
+def forget_loaded() -> None:
+    """Let the next query run the loading loop again."""
+    _loaded.cache_clear()
+
+
 def _final(spark, sf_dir, table):
     return _loaded(spark.sparkContext.applicationId, sf_dir).read(table)
 

@@ -135,7 +135,8 @@ class CatalogStore(_Store):
 class JdbcStore(_Store):
     """Tables of a database that Spark reaches over JDBC.
 
-    Tables with an order id are read as `partitions` parallel id ranges.
+    Tables with an order id are read as `partitions` parallel id ranges, and writes use at most
+    as many connections.
     """
 
     def __init__(
@@ -193,12 +194,13 @@ class JdbcStore(_Store):
             properties=self.properties,
         )
 
-    def append(self, df: DataFrame, table: Table) -> None:
-        enforced(df, table).write.jdbc(
-            self.url, self.name(table), mode="append", properties=self.properties
+    def _write(self, df: DataFrame, table: Table, mode: str) -> None:
+        df.write.option("numPartitions", self.partitions).jdbc(
+            self.url, self.name(table), mode=mode, properties=self.properties
         )
 
+    def append(self, df: DataFrame, table: Table) -> None:
+        self._write(enforced(df, table), table, "append")
+
     def overwrite(self, df: DataFrame, table: Table) -> None:
-        df.write.jdbc(
-            self.url, self.name(table), mode="overwrite", properties=self.properties
-        )
+        self._write(df, table, "overwrite")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,8 +24,10 @@ def ingest_files(
 
     Files arrive in any id order, so progress is kept by the checkpoint, not by an id
     watermark. A repeated micro-batch rewrites its own part of the cleaned table and adds only
-    facts and dimension keys that are still missing, so repeating one changes nothing.
+    facts and dimension keys that are still missing, so repeating one changes nothing. Parts
+    are named after the checkpoint, which is what numbers the batches.
     """
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     staging.require(STAGING, CLEANED)
     production.require(*STAR)
     reader = staging.spark.readStream.schema(STAGING.struct)
@@ -33,7 +37,7 @@ def ingest_files(
 
     def load(rows: DataFrame, batch_id: int) -> None:
         valid = clean(rows.filter(F.col("orderid") > 0))
-        stored = staging.replace_part(valid, CLEANED, f"stream-batch-{batch_id}")
+        stored = staging.replace_part(valid, CLEANED, f"stream-{stream}-{batch_id}")
         load_star(stored, production)
 
     return (
