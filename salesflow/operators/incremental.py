@@ -93,7 +93,19 @@ def next_batch(df: DataFrame, watermark: int, limit: int) -> Batch | None:
         return Batch(pending.filter(F.col(ID) <= cut.last_id), cut.rows)
     below = pending.filter(F.col(ID) < cut.last_id)
     last = pending.filter(F.col(ID) == cut.last_id)
-    return Batch(below.unionByName(_first_copies(last, order, limit - cut.rows_before)), limit)
+    return Batch(below.unionByName(_some_copies(last, order, limit - cut.rows_before)), limit)
+
+
+def _some_copies(df: DataFrame, order: list[str], limit: int) -> DataFrame:
+    """A fixed choice of `limit` rows among the copies of one id, of which there may be very many.
+
+    Rows are cut by their hash in the same way as ids are cut by bucket, so that only one hash
+    bucket in 65,536 needs a sort and a limit.
+    """
+    slot = F.shiftright(F.xxhash64(*order), 48)
+    cut = _cut(_rows_per(df, slot), "slot", limit)
+    edge = _first_copies(df.filter(slot == cut.last_id), order, limit - cut.rows_before)
+    return df.filter(slot < cut.last_id).unionByName(edge)
 
 
 def _first_copies(df: DataFrame, order: list[str], limit: int) -> DataFrame:
