@@ -41,6 +41,30 @@ def after(df: DataFrame, watermark: int) -> DataFrame:
     return df.filter(F.col(ID) > watermark)
 
 
+def missing_ids(df: DataFrame, stored: DataFrame) -> DataFrame:
+    """Ids of `df` that `stored` lacks, without shuffling ids where nothing is missing.
+
+    Both sides are summed up per id bucket. Buckets with the same count and hash sum hold the
+    same ids; only ids of the others (gaps, but also repeated ids) are compared one by one.
+    """
+    bucket = F.shiftright(ID, _BUCKET_BITS).alias("bucket")
+
+    def summary(frame: DataFrame) -> DataFrame:
+        return frame.groupBy(bucket).agg(
+            F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(ID)).alias("mix")
+        )
+
+    # At most 65,536 rows of one integer.
+    differing = F.broadcast(
+        summary(df).join(summary(stored), ["bucket", "rows", "mix"], "left_anti").select("bucket")
+    )
+
+    def suspects(frame: DataFrame) -> DataFrame:
+        return frame.select(ID, bucket).join(differing, "bucket", "left_semi").select(ID)
+
+    return suspects(df).distinct().join(suspects(stored), ID, "left_anti")
+
+
 def _cut(counts: DataFrame, slot: str, limit: int, offset: int = 0) -> _Cut | None:
     """First slot at which the running row count reaches the limit (else the last slot).
 

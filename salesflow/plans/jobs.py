@@ -21,6 +21,7 @@ from salesflow.operators.incremental import (
     assign_batches,
     batch_bounds,
     high_watermark,
+    missing_ids,
     next_batch,
     next_range,
 )
@@ -114,8 +115,7 @@ def repair_star(staging, production) -> int:
     done = staging.read(CLEANED).filter(
         (F.col("orderid") > 0) & (F.col("orderid") <= _watermark(fact))
     )
-    # Ids alone are compared, and each id once; normally none is missing.
-    missing = new_rows(done.select("orderid").distinct(), fact, FACT.key).persist()
+    missing = missing_ids(done, fact).persist()
     try:
         if missing.isEmpty():
             return 0

@@ -9,6 +9,7 @@ from salesflow.operators.incremental import (
     assign_batches,
     batch_bounds,
     high_watermark,
+    missing_ids,
     next_batch,
     next_range,
 )
@@ -137,3 +138,19 @@ def test_batch_filter_reaches_the_scan(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "GreaterThan(orderid,10)" in plan
     assert "LessThanOrEqual(orderid,30)" in plan
+
+
+@pytest.mark.parametrize(
+    "ids,stored,missing",
+    [
+        ([], [], []),
+        ([1, 2, 70_000], [1, 2, 70_000], []),
+        ([1, 2, 2, 70_000, 70_001], [1, 2, 70_000], [70_001]),
+        ([1, 2, 3], [2, 4, 5], [1, 3]),
+        ([5, 5, 5], [5], []),
+        (range(1, 200_000), [*range(1, 65_000), *range(65_010, 200_000)], range(65_000, 65_010)),
+    ],
+)
+def test_missing_ids(spark, ids, stored, missing):
+    found = missing_ids(sales(spark, ids), sales(spark, stored))
+    assert ids_of(found) == list(missing)
