@@ -103,6 +103,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None):
 def main() -> None:
     spark = SparkSession.builder.appName("salesflow").getOrCreate()
     try:
-        print(run(spark))
+        result = run(spark)
+        print("done" if result is None else result)
     finally:
         spark.stop()

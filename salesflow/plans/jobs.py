@@ -40,8 +40,9 @@ class JobResult(NamedTuple):
     done: bool
 
 
-def _watermark(df: DataFrame) -> int:
-    return high_watermark(df).first()["max_orderid"]
+def _watermark(df: DataFrame, known: int = 0) -> int:
+    """The watermark, looking only beyond one that is known; files with smaller ids are skipped."""
+    return max(known, high_watermark(after(df, known)).first()["max_orderid"])
 
 
 def _pick(df: DataFrame, watermark: int, rows: int, whole_ids: bool) -> Batch | None:
@@ -49,15 +50,20 @@ def _pick(df: DataFrame, watermark: int, rows: int, whole_ids: bool) -> Batch |
 
 
 def clean_next_batch(
-    staging, batch_rows: int = BATCH_ROWS, whole_ids: bool = False, preview: int = 0
+    staging,
+    batch_rows: int = BATCH_ROWS,
+    whole_ids: bool = False,
+    preview: int = 0,
+    known: int = 0,
 ) -> JobResult:
     """Clean the next raw rows and append them to the cleaned table.
 
     With `whole_ids` a batch is an id range that keeps equal ids together; use it for batches
-    of more than some 100,000 rows. `preview` prints that many raw rows.
+    of more than some 100,000 rows. `preview` prints that many raw rows. `known` is a watermark
+    already reached, if the caller has one.
     """
     staging.require(STAGING, CLEANED)
-    watermark = _watermark(staging.read(CLEANED))
+    watermark = _watermark(staging.read(CLEANED), known)
     batch = _pick(staging.read(STAGING), watermark, batch_rows, whole_ids)
     if batch is None:
         return JobResult(0, watermark, True)
@@ -131,12 +137,13 @@ def transfer_next_batch(
     whole_ids: bool = False,
     repair: bool = True,
     preview: int = 0,
+    known: int = 0,
 ) -> JobResult:
     """Move the next cleaned rows to the star schema, after closing any earlier gap."""
     staging.require(CLEANED)
     production.require(*STAR)
     repaired = repair_star(staging, production) if repair else 0
-    watermark = _watermark(production.read(FACT))
+    watermark = _watermark(production.read(FACT), known)
     batch = _pick(staging.read(CLEANED), watermark, batch_rows, whole_ids)
     if batch is None:
         return JobResult(repaired, watermark, repaired == 0)
@@ -159,14 +166,17 @@ def run_to_completion(
     """Clean and transfer batch after batch until no new rows are left; returns the rounds."""
     if whole_ids:
         return _run_ranges(staging, production, batch_rows)
-    rounds = 0
+    rounds = cleaned_to = moved_to = 0
     while True:
-        cleaned = clean_next_batch(staging, batch_rows)
+        cleaned = clean_next_batch(staging, batch_rows, known=cleaned_to)
         # Earlier gaps need closing once; the rounds of this run leave none behind.
-        moved = transfer_next_batch(staging, production, batch_rows, repair=rounds == 0)
+        moved = transfer_next_batch(
+            staging, production, batch_rows, repair=rounds == 0, known=moved_to
+        )
         if cleaned.done and moved.done:
             return rounds
         rounds += 1
+        cleaned_to, moved_to = cleaned.watermark, moved.watermark
 
 
 def _run_ranges(staging, production, batch_rows: int) -> int:
@@ -177,16 +187,17 @@ def _run_ranges(staging, production, batch_rows: int) -> int:
     cleaned_to = _watermark(staging.read(CLEANED))
     moved_to = _watermark(production.read(FACT))
     raw = staging.read(STAGING)
-    rounds = 0
-    if cleaned_to > moved_to:
-        load_star(_between(staging.read(CLEANED), moved_to, cleaned_to), production)
-        rounds += 1
     bounds = batch_bounds(assign_batches(raw, cleaned_to, batch_rows)).orderBy("batch_no")
+    rounds = 0
     for batch in bounds.toLocalIterator():
         last = batch["last_orderid"]
         staging.append(clean(_between(raw, cleaned_to, last)), CLEANED)
-        load_star(_between(staging.read(CLEANED), cleaned_to, last), production)
-        cleaned_to = last
+        # The first transfer also takes rows that an earlier run cleaned only.
+        load_star(_between(staging.read(CLEANED), moved_to, last), production)
+        cleaned_to = moved_to = last
+        rounds += 1
+    if cleaned_to > moved_to:
+        load_star(_between(staging.read(CLEANED), moved_to, cleaned_to), production)
         rounds += 1
     return rounds
 

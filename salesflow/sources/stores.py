@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.operators.checks import enforced
-from salesflow.schemas import STAGING_AREA, STAR, Table
+from salesflow.schemas import FACT, STAGING_AREA, STAR, Table
 
 
 class MissingTable(LookupError):
@@ -93,8 +93,10 @@ class ParquetStore(_Store):
 class CatalogStore(_Store):
     """Managed Parquet tables of a catalog database; the engine itself checks text lengths.
 
-    With `buckets`, tables with an order id are bucketed by it, so that removing duplicates and
-    comparing ids with the fact table need no shuffle of the stored side.
+    With `buckets`, the fact table is bucketed by its key. If their number equals
+    `spark.sql.shuffle.partitions`, comparing ids with it shuffles new rows only. Its keys are
+    unique, hence the buckets are even; the staging tables may repeat an id any number of times
+    and are not bucketed.
     """
 
     def __init__(self, spark: SparkSession, database: str, buckets: int | None = None):
@@ -108,12 +110,15 @@ class CatalogStore(_Store):
     def exists(self, table: Table) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 
+    def _bucketed(self, table: Table) -> bool:
+        return self.buckets is not None and table == FACT
+
     def create(self, tables: Iterable[Table]) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
         for table in tables:
             bucketed = (
-                f" CLUSTERED BY (orderid) INTO {self.buckets} BUCKETS"
-                if self.buckets and "orderid" in table.names
+                f" CLUSTERED BY ({table.key}) INTO {self.buckets} BUCKETS"
+                if self._bucketed(table)
                 else ""
             )
             self.spark.sql(
@@ -126,7 +131,10 @@ class CatalogStore(_Store):
         return self.spark.table(self.name(table))
 
     def append(self, df: DataFrame, table: Table) -> None:
-        enforced(df, table).write.insertInto(self.name(table))
+        rows = enforced(df, table)
+        if self._bucketed(table):
+            rows = rows.repartition(self.buckets, table.key)  # one file per bucket
+        rows.write.insertInto(self.name(table))
 
     def overwrite(self, df: DataFrame, table: Table) -> None:
         df.write.mode("overwrite").format("parquet").saveAsTable(self.name(table))

@@ -67,6 +67,18 @@ def test_whole_ids_lose_nothing(spark, store):
     assert ids_of(store.read(FACT)) == [1, 2, 3]
 
 
+def test_ranges_take_rows_that_were_only_cleaned(spark, store):
+    store.append(sales(spark, range(1, 9)), STAGING)
+    clean_next_batch(store, 3)
+    assert run_to_completion(store, store, 5, whole_ids=True) == 1
+    assert ids_of(store.read(FACT)) == list(range(1, 9))
+    store.append(sales(spark, [9]), STAGING)
+    clean_next_batch(store, 3)
+    assert run_to_completion(store, store, 5, whole_ids=True) == 1
+    assert run_to_completion(store, store, 5, whole_ids=True) == 0
+    assert ids_of(store.read(FACT)) == list(range(1, 10))
+
+
 def test_late_smaller_id_is_skipped(spark, store):
     store.append(sales(spark, range(10, 21)), STAGING)
     run_to_completion(store, store)
@@ -189,15 +201,21 @@ def test_two_databases_in_the_catalog(spark):
         staging.append(sales(spark, [99], quartername="Q10"), STAGING)
 
 
-def test_bucketed_facts_are_compared_without_a_shuffle(spark, capsys):
-    store = CatalogStore(spark, "bucketed", buckets=4)
+def test_bucketed_facts_are_compared_without_shuffling_them(spark, capsys):
+    store = CatalogStore(spark, "bucketed", buckets=8)  # the session's shuffle partitions
     store.create_staging_area()
     store.create_star()
     store.append(sales(spark, range(1, 50)), CLEANED)
+    store.append(sales(spark, range(1, 20)).select(*FACT.names), FACT)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        facts = jobs.fact_rows(store.read(CLEANED))
-        jobs.new_rows(facts, store.read(FACT), "orderid").explain()
+        fresh = jobs.new_rows(
+            jobs.fact_rows(store.read(CLEANED)), store.read(FACT), FACT.key
+        )
+        fresh.explain()
+        assert ids_of(fresh) == list(range(20, 50))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Exchange" not in capsys.readouterr().out
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == 1  # the new rows, once
+    assert "Bucketed: true" in plan
