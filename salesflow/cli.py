@@ -46,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
     command("clean", "clean the next batch", "staging", batches=True).add_argument(
         "--preview", type=int, default=0, metavar="ROWS"
     )
+    command("clean-missing", "clean rows that the watermark skipped", "staging")
     command("transfer", "transfer the next batch", *both, batches=True).add_argument(
         "--preview", type=int, default=0, metavar="ROWS"
     )
@@ -77,6 +78,8 @@ def run(spark: SparkSession, arguments: list[str] | None = None):
             return jobs.clean_next_batch(
                 staging, options.batch_rows, options.whole_ids, options.preview
             )
+        case "clean-missing":
+            return jobs.clean_missing(staging)
         case "transfer":
             return jobs.transfer_next_batch(
                 staging,

@@ -40,8 +40,10 @@ class JobResult(NamedTuple):
     done: bool
 
 
-def _watermark(df: DataFrame, known: int = 0) -> int:
-    """The watermark, looking only beyond one that is known; files with smaller ids are skipped."""
+def _watermark(df: DataFrame, known: int | None = None) -> int:
+    """The watermark; one that is known already lets the scan skip files with smaller ids."""
+    if known is None:
+        return high_watermark(df).first()["max_orderid"]
     return max(known, high_watermark(after(df, known)).first()["max_orderid"])
 
 
@@ -49,12 +51,16 @@ def _pick(df: DataFrame, watermark: int, rows: int, whole_ids: bool) -> Batch |
     return (next_range if whole_ids else next_batch)(df, watermark, rows)
 
 
+def _between(df: DataFrame, after_id: int, last_id: int) -> DataFrame:
+    return after(df, after_id).filter(F.col("orderid") <= last_id)
+
+
 def clean_next_batch(
     staging,
     batch_rows: int = BATCH_ROWS,
     whole_ids: bool = False,
     preview: int = 0,
-    known: int = 0,
+    known: int | None = None,
 ) -> JobResult:
     """Clean the next raw rows and append them to the cleaned table.
 
@@ -73,6 +79,25 @@ def clean_next_batch(
     return JobResult(batch.rows, watermark, False)
 
 
+def clean_missing(staging) -> int:
+    """Clean raw rows up to the watermark whose id was never cleaned; returns how many ids.
+
+    The watermark skips what a partly failed append left out, and rows that arrived late. This
+    job takes both on request; the repair of the next transfer then moves them to the star.
+    """
+    staging.require(STAGING, CLEANED)
+    cleaned = staging.read(CLEANED)
+    raw = _between(staging.read(STAGING), 0, _watermark(cleaned))
+    missing = missing_ids(raw, cleaned).persist()
+    try:
+        ids = missing.count()
+        if ids:
+            staging.append(clean(raw.join(missing, "orderid", "left_semi")), CLEANED)
+        return ids
+    finally:
+        missing.unpersist()
+
+
 def load_star(rows: DataFrame, production) -> int:
     """Add cleaned rows to the star: unseen dimension keys first, then unseen facts.
 
@@ -81,6 +106,13 @@ def load_star(rows: DataFrame, production) -> int:
     Each append skips the keys its table already has, so running it again after a failure
     completes the load instead of repeating or losing rows.
     """
+    span = rows.agg(
+        F.min("orderid").alias("first"),
+        F.max("orderid").alias("last"),
+        F.count(F.lit(1)).alias("rows"),
+    ).first()
+    if span["first"] is None:
+        return 0
 
     @inheritable_thread_target(rows.sparkSession)
     def load_dimension(dim: Table) -> None:
@@ -98,13 +130,6 @@ def load_star(rows: DataFrame, production) -> int:
         list(pool.map(load_dimension, DIMENSIONS))
     facts = fact_rows(rows)
     # Only the id range of these rows can hold their ids; the range reaches the scan.
-    span = rows.agg(
-        F.min("orderid").alias("first"),
-        F.max("orderid").alias("last"),
-        F.count(F.lit(1)).alias("rows"),
-    ).first()
-    if span["first"] is None:
-        return 0
     stored = production.read(FACT).filter(F.col("orderid").between(span["first"], span["last"]))
     production.append(new_rows(facts, stored, FACT.key), FACT)
     return span["rows"]
@@ -118,9 +143,7 @@ def repair_star(staging, production) -> int:
     staging.require(CLEANED)
     production.require(*STAR)
     fact = production.read(FACT)
-    done = staging.read(CLEANED).filter(
-        (F.col("orderid") > 0) & (F.col("orderid") <= _watermark(fact))
-    )
+    done = _between(staging.read(CLEANED), 0, _watermark(fact))
     missing = missing_ids(done, fact).persist()
     try:
         if missing.isEmpty():
@@ -137,7 +160,7 @@ def transfer_next_batch(
     whole_ids: bool = False,
     repair: bool = True,
     preview: int = 0,
-    known: int = 0,
+    known: int | None = None,
 ) -> JobResult:
     """Move the next cleaned rows to the star schema, after closing any earlier gap."""
     staging.require(CLEANED)
@@ -166,7 +189,7 @@ def run_to_completion(
     """Clean and transfer batch after batch until no new rows are left; returns the rounds."""
     if whole_ids:
         return _run_ranges(staging, production, batch_rows)
-    rounds = cleaned_to = moved_to = 0
+    rounds, cleaned_to, moved_to = 0, None, None
     while True:
         cleaned = clean_next_batch(staging, batch_rows, known=cleaned_to)
         # Earlier gaps need closing once; the rounds of this run leave none behind.
@@ -202,10 +225,6 @@ def _run_ranges(staging, production, batch_rows: int) -> int:
     return rounds
 
 
-def _between(df: DataFrame, after_id: int, last_id: int) -> DataFrame:
-    return after(df, after_id).filter(F.col("orderid") <= last_id)
-
-
 def load_backlog(staging, production) -> JobResult:
     """Clean and transfer everything beyond the watermarks in one pass, without batches."""
     staging.require(STAGING, CLEANED)

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from salesflow.plans import jobs
 from salesflow.plans.jobs import (
     JobResult,
+    clean_missing,
     clean_next_batch,
     load_backlog,
     load_star,
@@ -113,6 +114,22 @@ def test_gaps_below_the_watermark_are_repaired(spark, store):
     assert repair_star(store, store) == 0
 
 
+def test_skipped_rows_are_cleaned_on_request(spark, store):
+    store.append(sales(spark, [-1, 0, None, *range(1, 13), 4, 12]), STAGING)
+    store.append(sales(spark, [1, 5, 6, 10]), CLEANED)
+    assert clean_missing(store) == 6
+    assert ids_of(store.read(CLEANED)) == [1, 2, 3, 4, 4, 5, 6, 7, 8, 9, 10]
+    assert clean_missing(store) == 0
+    run_to_completion(store, store)
+    assert ids_of(store.read(FACT)) == list(range(1, 13))
+    store.append(sales(spark, [20]), STAGING)
+    run_to_completion(store, store)
+    store.append(sales(spark, [15]), STAGING)  # arrives late
+    assert clean_missing(store) == 1
+    run_to_completion(store, store)
+    assert ids_of(store.read(FACT)) == [*range(1, 13), 15, 20]
+
+
 def test_repeating_a_load_changes_nothing(spark, store):
     rows = sales(spark, [1, 1, 2, 3])
     for _ in range(2):

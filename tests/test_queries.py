@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from salesflow.sources import sample
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "orders"]
@@ -52,3 +53,24 @@ def test_same_rows_as_sql(spark, duck, name):
 
 def test_entry_has_rows(spark):
     assert not spark_entry.entry(spark).isEmpty()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_cross_join_and_no_python(spark, capsys, name):
+    QUERIES[name](spark, DATA).explain()
+    plan = capsys.readouterr().out
+    assert "== Physical Plan ==" in plan
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas"):
+        assert bad not in plan
+
+
+def test_raw_rows_do_not_depend_on_the_join_strategy(spark, monkeypatch):
+    broadcast = sample.raw_sales(spark, DATA)
+    monkeypatch.setattr(sample, "BROADCAST_CUSTOMERS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shuffled = sample.raw_sales(spark, DATA)
+        assert broadcast.count() == shuffled.count()
+        assert broadcast.exceptAll(shuffled).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

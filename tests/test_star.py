@@ -40,7 +40,8 @@ def test_null_keys_are_never_new(spark):
         stored = spark.createDataFrame([(d,) for d in existing], "dateid int")
         fresh = star.new_rows(found, stored, "dateid")
         assert pairs(fresh, "dateid") == [(d,) for d in new]
-    raw_key = star.new_rows(raw_rows(spark, rows), spark.createDataFrame([], "dateid int"), "dateid")
+    nothing = spark.createDataFrame([], "dateid int")
+    raw_key = star.new_rows(raw_rows(spark, rows), nothing, "dateid")
     assert pairs(raw_key, "dateid") == [(1,), (2,)]
 
 
@@ -75,7 +76,8 @@ def test_orphans_name_the_missing_dimensions(spark):
 
 
 def test_sales_by_country_and_quarter(spark):
-    rows = sales(spark, [1, 2], amount=5).unionByName(sales(spark, [3], amount=1, countryid=2, country="Peru"))
+    peru = sales(spark, [3], amount=1, countryid=2, country="Peru")
+    rows = sales(spark, [1, 2], amount=5).unionByName(peru)
     totals = star.sales_by_country_quarter(
         star.fact_rows(rows),
         star.dimension_rows(rows, DIM_DATE),
