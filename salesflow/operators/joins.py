@@ -1,0 +1,20 @@
+"""Choosing a broadcast by counted size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a few short columns that every executor can hold: some 100 MB.
+BROADCAST_ROWS = 2_000_000
+
+
+def lookup_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The smaller side of a join, sent to every executor if it is known or counted to be small.
+
+    A larger one is joined by shuffle, where adaptive execution splits the partition of a hot
+    key. Keep only the columns the join needs before calling this.
+    """
+    if rows is None:
+        rows = df.count()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

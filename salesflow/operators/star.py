@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.operators.joins import lookup_side
 from salesflow.schemas import DIM_CATEGORY, DIM_COUNTRY, DIM_DATE, FACT, Table
 
 
@@ -61,7 +62,7 @@ def orphan_facts(
     """Fact rows that miss at least one dimension row, with the state of all three."""
 
     def keys(dim: DataFrame, table: Table) -> DataFrame:
-        return dim.select(table.key, F.lit(True).alias(f"has_{table.name}"))
+        return lookup_side(dim.select(table.key, F.lit(True).alias(f"has_{table.name}")))
 
     found = (
         fact.select("orderid", "dateid", "categoryid", "countryid")

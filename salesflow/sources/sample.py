@@ -6,12 +6,12 @@ SQL engine can derive the same rows.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Customers (two integers each) that are sent to every executor; more are joined by shuffle,
-# where adaptive execution splits the partition of a customer with very many orders.
-BROADCAST_CUSTOMERS = 2_000_000
+from salesflow.operators.joins import lookup_side
 
 _RAW = """
 select cast(o_orderkey as int) as orderid, cast(floor(o_totalprice) as int) as amount,
@@ -31,17 +31,37 @@ select cast(o_orderkey as int) as orderid, cast(floor(o_totalprice) as int) as a
   case o_orderkey % 3 when 0 then '12' || r_name || '_' || chr(65 + n_nationkey) || '7'
     when 1 then r_name || '3_' || chr(65 + n_nationkey)
     else r_name || '_' || chr(65 + n_nationkey) end as country
-from {orders} join {customer} on o_custkey = c_custkey
-  join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey
+from {orders} join {buyers} on o_custkey = c_custkey
 """
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@cache
+def _rows(application: str, sf_dir: str, name: str) -> int:
+    """Counted once per input: it decides how to join, never what comes out."""
+    return _table(SparkSession.active(), sf_dir, name).count()
+
+
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {
-        name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        for name in ("orders", "customer", "nation", "region")
-    }
-    customers = tables["customer"].select("c_custkey", "c_nationkey")
-    if customers.count() <= BROADCAST_CUSTOMERS:
-        customers = F.broadcast(customers)
-    return spark.sql(_RAW, **{**tables, "customer": customers})
+    def table(name: str) -> DataFrame:
+        return _table(spark, sf_dir, name)
+
+    def rows(name: str) -> int:
+        return _rows(spark.sparkContext.applicationId, sf_dir, name)
+
+    # Few nations and regions meet the customers first, so that orders are joined once, by the
+    # customer, and never by one of the few values of a nation.
+    places = table("nation").join(
+        lookup_side(table("region"), rows("region")), F.expr("n_regionkey = r_regionkey")
+    )
+    buyers = (
+        table("customer")
+        .join(lookup_side(places, rows("nation")), F.expr("c_nationkey = n_nationkey"))
+        .select("c_custkey", "n_nationkey", "r_name")
+    )
+    return spark.sql(
+        _RAW, orders=table("orders"), buyers=lookup_side(buyers, rows("customer"))
+    )

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from salesflow.operators import joins
 from salesflow.sources import sample
 
 DATA = "/root/testdata/sf0.001"
@@ -76,7 +77,7 @@ def test_entry_has_rows(spark):
 
 def test_raw_rows_do_not_depend_on_the_join_strategy(spark, monkeypatch):
     broadcast = sample.raw_sales(spark, DATA)
-    monkeypatch.setattr(sample, "BROADCAST_CUSTOMERS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         shuffled = sample.raw_sales(spark, DATA)

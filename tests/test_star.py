@@ -1,6 +1,8 @@
 """Star schema operators on small tables."""
 
-from salesflow.operators import star
+import pytest
+
+from salesflow.operators import joins, star
 from salesflow.schemas import DIM_CATEGORY, DIM_COUNTRY, DIM_DATE, DIMENSIONS
 from tests.rows import FILLED, raw_rows, sales
 
@@ -54,7 +56,9 @@ def test_conflicts_count_different_values(spark):
     assert pairs(found, "countryid", "distinct_values") == [(1, 2)]
 
 
-def test_orphans_name_the_missing_dimensions(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 2_000_000])
+def test_orphans_name_the_missing_dimensions(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast_rows)
     fact = star.fact_rows(
         raw_rows(
             spark,
