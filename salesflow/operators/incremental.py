@@ -54,13 +54,16 @@ def missing_ids(df: DataFrame, stored: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(ID)).alias("mix")
         )
 
-    # At most 65,536 rows of one integer.
-    differing = F.broadcast(
+    # At most 65,536 rows, normally none.
+    differing = (
         summary(df).join(summary(stored), ["bucket", "rows", "mix"], "left_anti").select("bucket")
     )
+    if differing.isEmpty():
+        return df.select(ID).limit(0)
 
     def suspects(frame: DataFrame) -> DataFrame:
-        return frame.select(ID, bucket).join(differing, "bucket", "left_semi").select(ID)
+        ids = frame.select(ID, bucket)
+        return ids.join(F.broadcast(differing), "bucket", "left_semi").select(ID)
 
     return suspects(df).distinct().join(suspects(stored), ID, "left_anti")
 

@@ -143,7 +143,10 @@ def repair_star(staging, production) -> int:
     staging.require(CLEANED)
     production.require(*STAR)
     fact = production.read(FACT)
-    done = _between(staging.read(CLEANED), 0, _watermark(fact))
+    watermark = _watermark(fact)
+    if watermark <= 0:
+        return 0
+    done = _between(staging.read(CLEANED), 0, watermark)
     missing = missing_ids(done, fact).persist()
     try:
         if missing.isEmpty():
