@@ -7,13 +7,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from salesflow.plans import oracle, registry
 from salesflow.operators import joins
 from salesflow.sources import sample
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "orders"]
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracle.oracle_sql()
 
 
 def plain(value):
