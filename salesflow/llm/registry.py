@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesflow.llm import simhash
+from salesflow.llm import packing, quality, simhash
 from salesflow.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,14 @@ def oracle_sql() -> dict[str, str]:
 @_query
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op10_packing(spark, sf_dir):
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
