@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesflow.llm import packing, quality, simhash
+from salesflow.llm import decontam, packing, pii, quality, simhash, toxicity
 from salesflow.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +28,29 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)
 
 
+@_query
+def op1_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op6_decontamination(spark, sf_dir):
+    return decontam.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 @_query
 def op8_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
