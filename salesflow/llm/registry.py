@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from salesflow.llm import decontam, packing, pii, quality, simhash, toxicity
+from pyspark.sql import functions as F
+
+from salesflow.llm import (
+    chat,
+    decontam,
+    langid,
+    licenses,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+)
 from salesflow.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +56,20 @@ def op3_toxicity(spark, sf_dir):
     return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+@_query
+def op4_licenses(spark, sf_dir):
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+_ORACLES["op4_licenses"] = licenses.oracle_sql()
+
+
+@_query
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.identified(docs, langid.learn(docs))
+
+
 @_query
 def op6_decontamination(spark, sf_dir):
     return decontam.contaminated(
@@ -51,12 +77,27 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+@_query
+def op7_chat(spark, sf_dir):
+    rows = chat.with_probe(table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.conversations(chat.linear(rows)))
+
+
+_ORACLES["op7_chat"] = chat.ORACLE_SQL
+
+
 @_query
 def op8_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+@_query
+def op9_neighbours(spark, sf_dir):
+    asked = F.col("vec_id") % neighbours.QUERY_SHARE == 0
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), asked)
+
+
 @_query
 def op10_packing(spark, sf_dir):
     return packing.packed_documents(table(spark, sf_dir, "documents"))
