@@ -51,7 +51,7 @@ _STRICT_IP = rf"^{_IP_PART}(?:\.{_IP_PART}){{3}}$"
 
 # Gazetteers (fixed values): what known values of a kind look like.
 KNOWN = {
-    EMAIL: r"(?i)\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$",
+    EMAIL: r"(?i)[.)\]] ?(?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$",
     IP: r"^(?!0|255\.)[0-9]",
     CARD: r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)",
     PHONE: r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])(?![0-9]{12})",

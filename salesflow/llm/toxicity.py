@@ -13,7 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm.labelled import SAMPLE_ROWS, labelled_sample
@@ -29,6 +30,7 @@ PENALTY = 1.0  # of the L1 norm, in labelled texts
 SWAP_PENALTY = 1.0  # of a squared score change, for each counterfactual text
 STEPS = 400
 CACHED_WORDS = 200_000
+_TEXTS = 128
 # Without labels a text counts as not toxic: so many clean and toxic texts are assumed beforehand.
 PRIOR_CLEAN, PRIOR_TOXIC = 3.0, 1.0
 
@@ -63,8 +65,13 @@ def forms_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in PREFIXES if n < len(word))]
 
 
-def features_of(text: str) -> set[str]:
-    return {form for word in words_of(text) for form in forms_of(word)}
+def features_of(words: set[str]) -> set[str]:
+    return {form for word in words for form in forms_of(word)}
+
+
+def swapped(words: set[str]) -> set[str]:
+    """The words of the counterfactual text, in which every group is another one."""
+    return {_NEXT.get(word, word) for word in words}
 
 
 @dataclass(frozen=True)
@@ -74,7 +81,7 @@ class WordModel:
 
     def score(self, text: str) -> float:
         """The probability of being toxic; without known words that of the intercept."""
-        return self._chance(features_of(text))
+        return self._chance(features_of(words_of(text)))
 
     def _chance(self, features) -> float:
         found = sorted(self.weights.keys() & features)
@@ -148,21 +155,31 @@ def _weights(texts: _Sparse, swaps: _Sparse, labels: np.ndarray) -> tuple[float,
     return bias, weights
 
 
+def _with_features(batches):
+    """The label and the features of each text and of its counterfactual, a few texts at a time."""
+    strings = pa.list_(pa.string())
+    for batch in batches:
+        for start in range(0, batch.num_rows, _TEXTS):
+            part = batch.slice(start, _TEXTS)
+            words = [words_of(t) for t in part.column(1).to_pylist()]
+            own = [sorted(features_of(w)) for w in words]
+            other = [[] if w.isdisjoint(_NEXT) else sorted(features_of(swapped(w))) for w in words]
+            arrays = [part.column(0), pa.array(own, strings), pa.array(other, strings)]
+            yield pa.RecordBatch.from_arrays(arrays, ["label", "own", "other"])
+
+
 def fit(sample: DataFrame, vocabulary: int = VOCABULARY) -> WordModel:
     """A model from (doc_id, text, label); only the base rate if there is one class or none.
 
     Equal texts count once. Words are counted on Spark; the driver gets the chosen words, and of
-    each sampled text the numbers of those in it.
+    each sampled text and its counterfactual the numbers of those in it.
     """
 
-    @F.pandas_udf("array<string>")
-    def distinct_features(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(features_of(t)) for t in texts])
-
     rows = saved(
         sample.groupBy("text")
         .agg(F.max("label").alias("label"))
-        .select("label", distinct_features("text").alias("words")),
+        .select("label", "text")
+        .mapInArrow(_with_features, "label int, own array<string>, other array<string>"),
         "words",
     )
     toxic, total = rows.agg(F.sum("label"), F.count(F.lit(1))).first()
@@ -171,7 +188,7 @@ def fit(sample: DataFrame, vocabulary: int = VOCABULARY) -> WordModel:
         odds = (toxic + PRIOR_TOXIC) / (total - toxic + PRIOR_CLEAN)
         return WordModel(math.log(odds), {})
     counted = (
-        rows.select("label", F.explode("words").alias("word"))
+        rows.select("label", F.explode("own").alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("texts"), F.sum("label").alias("toxic"))
     )
@@ -186,26 +203,27 @@ def fit(sample: DataFrame, vocabulary: int = VOCABULARY) -> WordModel:
     known = F.broadcast(
         sample.sparkSession.createDataFrame(sorted(number.items()), "word string, number int")
     )
+    keyed = rows.withColumn("row", F.monotonically_increasing_id())
+    sides = keyed.select("row", "label", F.explode_outer("own").alias("word"), F.lit(0).alias("side"))
+    sides = sides.unionByName(
+        keyed.select("row", "label", F.explode("other").alias("word"), F.lit(1).alias("side"))
+    )
+
+    def numbers(side: int) -> Column:
+        return F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("number"))))
+
     numbered = (
-        rows.withColumn("row", F.monotonically_increasing_id())
-        .select("row", "label", F.explode_outer("words").alias("word"))
-        .join(known, "word", "left")
+        sides.join(known, "word", "left")
         .groupBy("row", "label")
-        .agg(F.sort_array(F.collect_list("number")).alias("numbers"))
+        .agg(numbers(0).alias("own"), numbers(1).alias("other"), F.max("side").alias("has_other"))
     )
-    found = sorted(numbered.collect(), key=lambda r: (r["label"], r["numbers"], r["row"]))
-    texts = [dict.fromkeys(r["numbers"], 1.0) for r in found]
+    found = sorted(numbered.collect(), key=lambda r: (r["label"], r["own"], r["other"], r["row"]))
+    texts = [dict.fromkeys(r["own"], 1.0) for r in found]
     swaps = []
-    for text in texts:
-        change: dict[int, float] = {}
-        for i in text:
-            other = _NEXT.get(vocabulary_words[i])
-            if other is not None:  # the named group goes, the other one comes if it is known
-                change[i] = change.get(i, 0.0) - 1.0
-                if other in number:
-                    change[number[other]] = change.get(number[other], 0.0) + 1.0
-        if any(change.values()):
-            swaps.append(change)
+    for r in found:
+        if r["has_other"]:
+            gone, new = set(r["own"]) - set(r["other"]), set(r["other"]) - set(r["own"])
+            swaps.append(dict.fromkeys(gone, -1.0) | dict.fromkeys(new, 1.0))
     labels = np.array([r["label"] for r in found], np.float64)
     width = len(vocabulary_words)
     bias, weights = _weights(_Sparse(texts, width), _Sparse(swaps, width), labels)

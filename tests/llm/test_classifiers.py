@@ -1,0 +1,230 @@
+"""Quality, toxicity and language: held-out accuracy, regularisation, and odd inputs."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from salesflow.llm import labelled, langid, quality, toxicity
+from salesflow.llm.tables import hash_bucket, table
+
+from .samples import documents, labels, no_documents, odd_documents, words
+
+SF = "/root/testdata/sf0.01"
+
+
+def area(scores, truth):
+    good, bad = scores[truth == 1], scores[truth == 0]
+    return np.mean([(bad < g).mean() + 0.5 * (bad == g).mean() for g in good])
+
+
+def judged(found, spark, label):
+    """Scores and labels of the held-out documents."""
+    rows = found.join(table(spark, SF, "labels"), "doc_id").filter("held_out").collect()
+    return np.array([r["score"] for r in rows]), np.array([r[label] for r in rows])
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, SF, "documents")
+
+
+@pytest.fixture(scope="module")
+def rules(spark, docs):
+    return quality.learn(docs, table(spark, SF, "labels"))
+
+
+@pytest.fixture(scope="module")
+def weighed(spark, docs):
+    return toxicity.learn(docs, table(spark, SF, "labels"))
+
+
+@pytest.fixture(scope="module")
+def prototypes(docs):
+    return langid.learn(docs)
+
+
+def test_quality_of_held_out_documents(spark, docs, rules):
+    scores, truth = judged(quality.scored(docs, rules), spark, "quality")
+    assert area(scores, truth) > 0.95
+    assert ((scores >= 0.7) == truth).mean() > 0.95
+
+
+def test_rules_are_sparse_conjunctions(rules):
+    assert 0 < len(rules.rules) < 100
+    assert all(r.weight and r.conditions for r in rules.rules)
+
+
+def test_statistics(spark):
+    rows = documents(spark, ["Ab ab ab, 12!\nx", "", None, "a a a a"])
+    found = {r["doc_id"]: r["statistics"] for r in quality.with_statistics(rows.select("doc_id", "text")).collect()}
+    assert found[0]["log_words"] == pytest.approx(math.log(6))
+    assert found[0]["upper_case"] == pytest.approx(1 / 15)
+    assert found[0]["digits"] == pytest.approx(2 / 15)
+    assert found[0]["symbols"] == pytest.approx(1 / 15)
+    assert found[0]["same_as_before"] == 0
+    assert found[3]["same_as_before"] == pytest.approx(3 / 4)
+    assert found[3]["distinct_words"] == pytest.approx(1 / 4)
+    assert found[1] == found[2]
+
+
+def test_rule_scores_are_the_written_sum(spark, docs, rules):
+    rows = quality.with_statistics(docs.select("doc_id", "text")).select(
+        "statistics", rules.score().alias("score")
+    )
+    for row in rows.limit(50).collect():
+        total = rules.intercept
+        for rule in rules.rules:
+            held = all(
+                row["statistics"][n] <= v if at_most else row["statistics"][n] > v
+                for n, at_most, v in rule.conditions
+            )
+            total += rule.weight * held
+        assert row["score"] == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_quality_without_labels_keeps_everything(spark):
+    odd = odd_documents(spark)
+    for given in (labels(spark), labels(spark, [(1, 1, 0), (8, 1, 0)])):
+        model = quality.learn(odd, given)
+        assert not model.rules
+        assert quality.good_only(odd, model).count() == odd.count()
+        assert {r["predicted"] for r in quality.scored(odd, model).collect()} == {1}
+
+
+def test_quality_of_odd_documents(spark, rules):
+    odd = odd_documents(spark)
+    found = quality.scored(odd, rules)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    assert found.count() == odd.count()
+    assert found.filter("score is null or held_out is null").isEmpty()
+    assert quality.good_only(odd, rules).columns == odd.columns
+    assert quality.scored(no_documents(spark), rules).isEmpty()
+    assert quality.learn(no_documents(spark), labels(spark)).rules == ()
+
+
+def test_toxicity_of_held_out_documents(spark, docs, weighed):
+    scores, truth = judged(toxicity.scored(docs, weighed), spark, "toxic")
+    assert area(scores, truth) > 0.9
+    assert (scores[truth == 0] >= 0.5).mean() < 0.05
+
+
+def group_texts():
+    """Toxic texts, which mention one group more often, and clean texts about either group."""
+    rows = []
+    for i in range(120):
+        toxic = i % 2
+        term = "muslim" if (i % 8 if toxic else i % 8 == 0) else "christian"
+        insult = "awful" if toxic and i % 6 != 1 else "fine"
+        rows.append((i, f"{words(i, 6)} {term} {insult} neighbours", toxic))
+    return rows
+
+
+def test_group_terms_are_weighed_alike(spark, monkeypatch):
+    sample = spark.createDataFrame(group_texts(), "doc_id long, text string, label int")
+    monkeypatch.setattr(toxicity, "PENALTY", 0.1)
+
+    def fitted(swap_penalty):
+        monkeypatch.setattr(toxicity, "SWAP_PENALTY", swap_penalty)
+        model = toxicity.fit(sample)
+        one, other = (model.score(f"the {term} neighbours") for term in ("muslim", "christian"))
+        return abs(one - other), model
+
+    free, _ = fitted(0.0)
+    tied, model = fitted(20.0)
+    assert free > 0.2
+    assert tied < free / 3
+    assert model.score("awful people") > model.score("fine people")
+
+
+def test_scores_of_a_batch_are_those_of_single_texts(docs, weighed):
+    texts = [r["text"] for r in docs.limit(40).collect()] + ["", "IDIOT", "éß 12"]
+    assert weighed.scores(texts) == [weighed.score(t) for t in texts]
+
+
+def test_gradient_steps_reach_the_minimum():
+    rng = np.random.default_rng(3)
+    rows = [{int(c): 1.0 for c in rng.choice(8, 3, replace=False)} for _ in range(200)]
+    truth = np.array([float(0 in r) if rng.random() < 0.9 else float(rng.random() < 0.5) for r in rows])
+    matrix = toxicity._Sparse(rows, 8)
+    bias, weights = toxicity._weights(matrix, toxicity._Sparse([], 8), truth)
+
+    def cost(b, w):
+        z = matrix.times(w) + b
+        return (np.logaddexp(0, z) - truth * z).sum() + toxicity.PENALTY * np.abs(w).sum()
+
+    best = cost(bias, weights)
+    for i in range(8):
+        for step in (-0.05, 0.05):
+            moved = weights.copy()
+            moved[i] += step
+            assert cost(bias, moved) >= best - 1e-3
+
+
+def test_toxicity_of_odd_documents(spark, weighed):
+    odd = odd_documents(spark)
+    found = toxicity.scored(odd, weighed)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    assert found.count() == odd.count()
+    assert found.filter("score is null or held_out is null").isEmpty()
+    assert toxicity.scored(no_documents(spark), weighed).isEmpty()
+    none = toxicity.learn(odd, labels(spark))
+    assert none.weights == {}
+    assert {r["predicted"] for r in toxicity.scored(odd, none).collect()} == {0}
+
+
+def test_sample_of_labels(spark):
+    docs = documents(spark, [words(i, 5) for i in range(200)] + ["again"], [*range(200), 7])
+    given = labels(
+        spark, [(i, i % 2, None) for i in range(200)] + [(3, 0, None), (None, 1, 1), (999, 1, 1)]
+    )
+    everything = F.lit(True)
+    rows = labelled.labelled_sample(docs, given, "quality", everything).collect()
+    assert len(rows) == 200
+    assert {r["doc_id"]: r["label"] for r in rows}[3] == 1  # half of its labels
+    assert labelled.labelled_sample(docs, given, "toxic", everything).isEmpty()
+    some = labelled.labelled_sample(docs, given, "quality", everything, rows=50).count()
+    assert 20 < some < 90
+    held = hash_bucket(F.col("doc_id"), 4) != 2
+    kept = labelled.labelled_sample(docs, given, "quality", held).select(hash_bucket(F.col("doc_id"), 4).alias("b"))
+    assert {r["b"] for r in kept.collect()} == {0, 1, 3}
+
+
+def test_language_of_held_out_documents(docs, prototypes):
+    rows = langid.identified(docs, prototypes).join(docs.select("doc_id", "lang"), "doc_id")
+    held = rows.filter("held_out").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in held)
+
+
+def test_profile_is_the_sum_of_bound_letters():
+    profiles = langid.Profiles()
+
+    def bound(a, b, c):
+        one, two, three = (profiles._letter(ord(x)).astype(int) for x in (a, b, c))
+        return np.roll(one, 2) * np.roll(two, 1) * three
+
+    expected = bound(" ", "a", "b") * 2 + bound("a", "b", " ") * 2 + bound(" ", "é", " ")
+    assert (profiles.profiles(["Ab 12 é, ab!"])[0] == expected).all()
+    assert not profiles.profiles(["12 3 !"]).any()
+
+
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    text = words(3, 400)
+    whole = langid.Profiles().sequences(text)
+    monkeypatch.setattr(langid, "_PIECE", 50)
+    pieces = langid.Profiles().sequences(text)
+    assert dict(zip(*map(list, whole), strict=True)) == dict(zip(*map(list, pieces), strict=True))
+
+
+def test_language_of_odd_documents(spark, prototypes):
+    odd = odd_documents(spark)
+    found = langid.identified(odd, prototypes)
+    assert found.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    assert found.count() == odd.count()
+    unknown = {r["doc_id"] for r in found.filter("lang_pred = 'und'").collect()}
+    assert unknown == {3, 4, 5, 7}
+    assert langid.identified(no_documents(spark), prototypes).isEmpty()
+    nothing = langid.learn(no_documents(spark))
+    assert {r["lang_pred"] for r in langid.identified(odd, nothing).collect()} == {"und"}
