@@ -8,7 +8,7 @@ import json
 from pyspark.sql import SparkSession
 
 from salesflow.plans import jobs
-from salesflow.schemas import STAGING
+from salesflow.schemas import STAGING, STAGING_AREA, STAR
 from salesflow.sources.csv import read_csv
 from salesflow.sources.stores import CatalogStore, JdbcStore, ParquetStore
 from salesflow.streaming.ingest import ingest_files
@@ -37,7 +37,6 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{store}-properties", metavar="JSON_FILE")
         if batches:
             sub.add_argument("--batch-rows", type=int, default=jobs.BATCH_ROWS)
-            sub.add_argument("--whole-ids", action="store_true")
         return sub
 
     both = ("staging", "production")
@@ -50,6 +49,10 @@ def parser() -> argparse.ArgumentParser:
     command("transfer", "transfer the next batch", *both, batches=True).add_argument(
         "--preview", type=int, default=0, metavar="ROWS"
     )
+    command("repair", "transfer cleaned rows that the fact table lacks", *both).add_argument(
+        "--above", type=int, default=0, metavar="ID", help="ids up to this one are complete"
+    )
+    commands.add_parser("ddl", help="print the table definitions")
     command("run", "clean and transfer until nothing is left", *both, batches=True)
     command("backlog", "clean and transfer everything in one pass", *both)
     command("cluster", "cluster all orders", "production")
@@ -75,23 +78,19 @@ def run(spark: SparkSession, arguments: list[str] | None = None):
         case "load-csv":
             staging.append(read_csv(spark, options.csv), STAGING)
         case "clean":
-            return jobs.clean_next_batch(
-                staging, options.batch_rows, options.whole_ids, options.preview
-            )
+            return jobs.clean_next_batch(staging, options.batch_rows, options.preview)
         case "clean-missing":
             return jobs.clean_missing(staging)
         case "transfer":
             return jobs.transfer_next_batch(
-                staging,
-                production,
-                options.batch_rows,
-                options.whole_ids,
-                preview=options.preview,
+                staging, production, options.batch_rows, options.preview
             )
+        case "repair":
+            return jobs.repair_star(staging, production, options.above)
+        case "ddl":
+            return "\n\n".join(table.definition for table in (*STAGING_AREA, *STAR))
         case "run":
-            return jobs.run_to_completion(
-                staging, production, options.batch_rows, options.whole_ids
-            )
+            return jobs.run_to_completion(staging, production, options.batch_rows)
         case "backlog":
             return jobs.load_backlog(staging, production)
         case "cluster":

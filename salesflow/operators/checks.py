@@ -32,6 +32,38 @@ def too_long(df: DataFrame, column: str, length: int) -> DataFrame:
     return df.filter(F.length(column) > length)
 
 
+def key_violations(rows: DataFrame, table: Table) -> DataFrame:
+    """Values of a table's declared key that occur more than once."""
+    found = duplicate_keys(rows, table.key)
+    return found.select(
+        F.lit(table.name).alias("table_name"), F.col(table.key).alias("key_value"), "copies"
+    )
+
+
+def null_violations(rows: DataFrame, table: Table) -> DataFrame:
+    """Rows without a value in a column that the table declares NOT NULL."""
+    required = [c.name for c in table.columns if c.required]
+    missing = F.array_compact(F.array(*(F.when(F.col(n).isNull(), F.lit(n)) for n in required)))
+    return rows.select(
+        F.lit(table.name).alias("table_name"), "orderid", F.explode(missing).alias("column_name")
+    )
+
+
+def length_violations(rows: DataFrame, table: Table) -> DataFrame:
+    """Texts longer than the table declares, and their lengths."""
+    limited = [c for c in table.columns if c.length]
+    excess = [
+        F.when(
+            F.length(c.name) > c.length,
+            F.struct(F.lit(c.name).alias("column_name"), F.length(c.name).alias("characters")),
+        )
+        for c in limited
+    ]
+    return rows.select(
+        F.lit(table.name).alias("table_name"), "orderid", F.inline(F.array_compact(F.array(*excess)))
+    )
+
+
 def enforced(df: DataFrame, table: Table) -> DataFrame:
     """The table's columns, failing the query at the first NULL key or over-long text.
 

@@ -117,31 +117,31 @@ def _exact_stddev(grouped: DataFrame) -> list[float]:
     total = grouped.agg(
         F.sum(_ROWS).alias(_ROWS), *_weighted_sums(1), *_weighted_sums(2)
     ).first()
-    n = float(total[_ROWS])
-    spread = []
+    n, spread = int(total[_ROWS]), []
     for name in FEATURES:
-        s, q = float(total[f"{name}_1"]), float(total[f"{name}_2"])
-        variance = (q - s * s / n) / (n - 1.0) if n > 1 else 0.0
-        spread.append(math.sqrt(variance) if variance > 0 else 0.0)
+        s, q = int(total[f"{name}_1"]), int(total[f"{name}_2"])
+        # Integers do not cancel, however far the mean is above the spread.
+        spread.append(math.sqrt(float(n * q - s * s) / float(n * (n - 1))) if n > 1 else 0.0)
     return spread
 
 
-def _nearest(centres: list[tuple[float, ...]], spread: list[float]) -> Column:
-    """Number of the nearest centre in scaled space; the lowest number wins a tie."""
+def _distance(centre: tuple[float, ...], spread: list[float]) -> Column:
+    """Squared distance to a centre in scaled space."""
+    parts = []
+    for name, middle, deviation in zip(FEATURES, centre, spread):
+        if deviation > 0:  # a constant feature scales to zero and adds no distance
+            gap = (F.col(name).cast("double") - F.lit(middle)) / F.lit(deviation)
+            parts.append(gap * gap)
+    total = parts[0] if parts else F.lit(0.0)
+    for part in parts[1:]:
+        total = total + part
+    return total
 
-    def distance(centre) -> Column:
-        parts = []
-        for name, middle, deviation in zip(FEATURES, centre, spread):
-            if deviation > 0:  # a constant feature scales to zero and adds no distance
-                gap = (F.col(name).cast("double") - F.lit(middle)) / F.lit(deviation)
-                parts.append(gap * gap)
-        total = parts[0] if parts else F.lit(0.0)
-        for part in parts[1:]:
-            total = total + part
-        return total
 
+def _nearest(centres: list[tuple[float, ...]], spread: list[float]) -> Column:
+    """Number of the nearest centre in scaled space; the lowest number wins a tie."""
     options = [
-        F.struct(distance(c).alias("distance"), F.lit(i).alias("cluster"))
+        F.struct(_distance(c, spread).alias("distance"), F.lit(i).alias("cluster"))
         for i, c in enumerate(centres)
     ]
     nearest = F.least(*options) if len(options) > 1 else options[0]
@@ -182,3 +182,49 @@ def lloyd(
             break
         centres = moved
     return fact.select("orderid", *FEATURES, _nearest(centres, spread).alias("cluster"))
+
+
+def centres_of(model: PipelineModel) -> list[tuple[float, ...]]:
+    """The model's centres in feature units, in the order of the cluster numbers."""
+    scale = [float(s) for s in model.stages[1].std]
+    scaled = sorted(tuple(map(float, c)) for c in model.stages[-1].clusterCenters())
+    return [tuple(v * s for v, s in zip(centre, scale)) for centre in scaled]
+
+
+def assignment_check(result: DataFrame, model: PipelineModel) -> DataFrame:
+    """For every order whether its cluster is one of the model's, and the nearest of them."""
+    centres, spread = centres_of(model), [float(s) for s in model.stages[1].std]
+    distances = F.array(*(_distance(c, spread) for c in centres))
+    own = F.get(distances, F.col("cluster"))
+    return result.select(
+        "orderid",
+        *FEATURES,
+        F.col("cluster").between(0, len(centres) - 1).alias("in_range"),
+        # Both sides were rounded on different ways.
+        (own <= F.array_min(distances) * (1 + 1e-9) + 1e-12).alias("is_nearest"),
+    )
+
+
+def cost(assigned: DataFrame) -> DataFrame:
+    """One row: orders, clusters, and the summed squared scaled distance to the clusters' means.
+
+    Computed from one row per cluster.
+    """
+    squares = [
+        (F.count(F.lit(1)) * F.var_pop(name)).alias(f"inner_{name}") for name in FEATURES
+    ]
+    total = [F.var_samp(name).alias(f"all_{name}") for name in FEATURES]
+    per_cluster = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias(_ROWS), *squares)
+    inner = per_cluster.agg(
+        F.sum(_ROWS).alias(_ROWS),
+        F.count(F.lit(1)).alias("clusters"),
+        *(F.sum(f"inner_{name}").alias(f"inner_{name}") for name in FEATURES),
+    ).first()
+    spread = assigned.agg(*total).first()
+    value = sum(
+        inner[f"inner_{name}"] / spread[f"all_{name}"] for name in FEATURES if spread[f"all_{name}"]
+    )
+    schema = f"{_ROWS} long, clusters long, cost double"
+    return assigned.sparkSession.createDataFrame(
+        [(inner[_ROWS], inner["clusters"], float(value))], schema
+    )

@@ -1,8 +1,9 @@
 """Incremental reading by order id: high-water mark, next batch, batch numbering.
 
-Order ids are 32-bit integers, so shifting one right by 16 bits yields at most 65,536
-different buckets of at most 65,536 different ids. That bound is what lets the running sums
-below work on pre-aggregated counts, whatever the size of the table.
+A batch is an id range: all copies of an id are in one batch. Order ids are 32-bit integers, so
+shifting one right by 16 bits yields at most 65,536 different buckets of at most 65,536 different
+ids. That bound is what lets the running sums below work on pre-aggregated counts, whatever the
+size of the table.
 """
 
 from __future__ import annotations
@@ -14,15 +15,14 @@ from pyspark.sql import functions as F
 
 ID = "orderid"
 _BUCKET_BITS = 16
-# Rows that one sort-and-limit may merge in a task.
-MERGE_ROWS = 1_000_000
 
 
 class Batch(NamedTuple):
-    """Rows of one batch and how many there are."""
+    """Rows of one batch, how many there are, and its largest id."""
 
     frame: DataFrame
     rows: int
+    last_id: int
 
 
 class _Cut(NamedTuple):
@@ -31,6 +31,19 @@ class _Cut(NamedTuple):
     rows: int
 
 
+class IdCounts:
+    """Row counts of a table by id bucket and by id, as (slot, rows)."""
+
+    def __init__(self, df: DataFrame):
+        self._df = df
+
+    def by_bucket(self, watermark: int) -> DataFrame:
+        return _rows_per(after(self._df, watermark), F.shiftright(ID, _BUCKET_BITS))
+
+    def by_id(self, first: int, last: int) -> DataFrame:
+        return _rows_per(self._df.filter(F.col(ID).between(first, last)), F.col(ID))
+
+
 def high_watermark(df: DataFrame) -> DataFrame:
     """One row: the largest order id, or 0 where there is none."""
     return df.agg(F.coalesce(F.max(ID), F.lit(0)).alias("max_orderid"))
@@ -41,17 +54,23 @@ def after(df: DataFrame, watermark: int) -> DataFrame:
     return df.filter(F.col(ID) > watermark)
 
 
+def between(df: DataFrame, after_id: int, last_id: int) -> DataFrame:
+    return after(df, after_id).filter(F.col(ID) <= last_id)
+
+
 def missing_ids(df: DataFrame, stored: DataFrame) -> DataFrame:
     """Ids of `df` that `stored` lacks, without shuffling ids where nothing is missing.
 
-    Both sides are summed up per id bucket. Buckets with the same count and hash sum hold the
-    same ids; only ids of the others (gaps, but also repeated ids) are compared one by one.
+    Both sides are summed up per id bucket. Buckets with the same count and the same exact sum of
+    id hashes hold the same ids; only ids of the others (gaps, but also repeated ids) are compared
+    one by one, each id once.
     """
     bucket = F.shiftright(ID, _BUCKET_BITS).alias("bucket")
 
     def summary(frame: DataFrame) -> DataFrame:
         return frame.groupBy(bucket).agg(
-            F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(ID)).alias("mix")
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.xxhash64(ID).cast("decimal(20,0)")).alias("mix"),
         )
 
     # At most 65,536 rows, normally none.
@@ -63,20 +82,20 @@ def missing_ids(df: DataFrame, stored: DataFrame) -> DataFrame:
 
     def suspects(frame: DataFrame) -> DataFrame:
         ids = frame.select(ID, bucket)
-        return ids.join(F.broadcast(differing), "bucket", "left_semi").select(ID)
+        return ids.join(F.broadcast(differing), "bucket", "left_semi").select(ID).distinct()
 
-    return suspects(df).distinct().join(suspects(stored), ID, "left_anti")
+    return suspects(df).join(suspects(stored), ID, "left_anti")
 
 
-def _cut(counts: DataFrame, slot: str, limit: int, offset: int = 0) -> _Cut | None:
+def _cut(counts: DataFrame, limit: int, offset: int = 0) -> _Cut | None:
     """First slot at which the running row count reaches the limit (else the last slot).
 
     `counts` has one row per slot, at most 65,536 of them, so its running sum may sit in one task.
     """
-    running = counts.withColumn("upto", offset + F.sum("rows").over(Window.orderBy(slot)))
+    running = counts.withColumn("upto", offset + F.sum("rows").over(Window.orderBy("slot")))
     found = (
         running.filter(F.col("upto") - F.col("rows") < limit)
-        .agg(F.max(F.struct(slot, F.col("upto") - F.col("rows"), "upto")).alias("last"))
+        .agg(F.max(F.struct("slot", F.col("upto") - F.col("rows"), "upto")).alias("last"))
         .first()
     )
     return None if found["last"] is None else _Cut(*found["last"])
@@ -86,85 +105,24 @@ def _rows_per(df: DataFrame, slot) -> DataFrame:
     return df.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _bucket_cut(pending: DataFrame, limit: int) -> _Cut | None:
-    cut = _cut(_rows_per(pending, F.shiftright(ID, _BUCKET_BITS)), "slot", limit)
-    if cut is None:
-        return None
-    return cut._replace(last_id=((cut.last_id + 1) << _BUCKET_BITS) - 1)
-
-
-def _exact_cut(pending: DataFrame, limit: int, bucket: _Cut) -> _Cut:
-    first_id = bucket.last_id + 1 - (1 << _BUCKET_BITS)
-    inside = pending.filter(F.col(ID).between(first_id, bucket.last_id))
-    return _cut(_rows_per(inside, F.col(ID)), "slot", limit, bucket.rows_before)
-
-
-def next_batch(df: DataFrame, watermark: int, limit: int) -> Batch | None:
-    """The `limit` rows with the smallest ids beyond the watermark, or None if there are none.
-
-    The end of the batch is found first from counts per id bucket, which reads the id column
-    only. The sort then sees little more than the batch itself instead of `limit` rows from
-    every input partition, and the id range reaches the scan as a pushed-down filter.
-    A batch may end inside a run of equal ids, exactly as a row limit does.
-    """
-    pending = after(df, watermark)
-    cut = _bucket_cut(pending, limit)
-    if cut is None:
-        return None
-    order = [ID, *(c for c in df.columns if c != ID)]
-    if cut.rows <= MERGE_ROWS:
-        near = pending.filter(F.col(ID) <= cut.last_id)
-        return Batch(near.orderBy(*order).limit(limit), min(limit, cut.rows))
-    cut = _exact_cut(pending, limit, cut)
-    if cut.rows <= limit:
-        return Batch(pending.filter(F.col(ID) <= cut.last_id), cut.rows)
-    below = pending.filter(F.col(ID) < cut.last_id)
-    last = pending.filter(F.col(ID) == cut.last_id)
-    return Batch(below.unionByName(_some_copies(last, order, limit - cut.rows_before)), limit)
-
-
-def _some_copies(df: DataFrame, order: list[str], limit: int) -> DataFrame:
-    """A fixed choice of `limit` rows among the copies of one id, of which there may be very many.
-
-    Rows are cut by their hash in the same way as ids are cut by bucket, so that only one hash
-    bucket in 65,536 needs a sort and a limit.
-    """
-    slot = F.shiftright(F.xxhash64(*order), 48)
-    cut = _cut(_rows_per(df, slot), "slot", limit)
-    edge = _first_copies(df.filter(slot == cut.last_id), order, limit - cut.rows_before)
-    return df.filter(slot < cut.last_id).unionByName(edge)
-
-
-def _first_copies(df: DataFrame, order: list[str], limit: int) -> DataFrame:
-    """Sort and limit for rows that repeat heavily: count equal rows, pick some, repeat them."""
-    picked = (
-        df.groupBy(*order)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .orderBy(*order)
-        .limit(limit)
-    )
-    # At most `limit` rows are left here, so this running sum is bounded too.
-    upto = F.sum("_copies").over(Window.orderBy(*order))
-    wanted = F.least(F.col("_copies"), limit - (upto - F.col("_copies")))
-    return (
-        picked.withColumn("_wanted", wanted)
-        .filter("_wanted > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_wanted").cast("int"))))
-        .select(*df.columns)
-    )
-
-
-def next_range(df: DataFrame, watermark: int, rows: int) -> Batch | None:
-    """Like `next_batch`, but never parts equal ids: a plain id range of at least `rows` rows.
+def next_batch(
+    df: DataFrame, watermark: int, rows: int, counts: IdCounts | None = None
+) -> Batch | None:
+    """The smallest ids beyond the watermark, in all their copies, until `rows` rows are reached.
 
-    Without a sort or a row limit there is no merge point, so batches may be of any size.
+    None if nothing is left. The end of the batch is found from counts per id bucket and then per
+    id inside one bucket, which read the id column only. The batch is an id range that reaches the
+    scan as a pushed-down filter: there is no sort and no row limit that merges partitions. Only
+    copies of its last id can make it larger than `rows`.
     """
-    pending = after(df, watermark)
-    bucket = _bucket_cut(pending, rows)
+    counts = counts or IdCounts(df)
+    bucket = _cut(counts.by_bucket(watermark), rows)
     if bucket is None:
         return None
-    cut = _exact_cut(pending, rows, bucket)
-    return Batch(pending.filter(F.col(ID) <= cut.last_id), cut.rows)
+    first = max(watermark + 1, bucket.last_id << _BUCKET_BITS)
+    last = ((bucket.last_id + 1) << _BUCKET_BITS) - 1
+    cut = _cut(counts.by_id(first, last), rows, bucket.rows_before)
+    return Batch(between(df, watermark, cut.last_id), cut.rows, cut.last_id)
 
 
 def assign_batches(df: DataFrame, watermark: int, batch_rows: int) -> DataFrame:

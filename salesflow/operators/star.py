@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.joins import lookup_side
-from salesflow.schemas import DIM_CATEGORY, DIM_COUNTRY, DIM_DATE, FACT, Table
+from salesflow.schemas import DIM_CATEGORY, DIM_COUNTRY, DIM_DATE, DIMENSIONS, FACT, Table
 
 
 def dimension_rows(cleaned: DataFrame, dim: Table) -> DataFrame:
@@ -21,10 +20,35 @@ def dimension_rows(cleaned: DataFrame, dim: Table) -> DataFrame:
         .groupBy(dim.key, *dim.attributes)
         .agg(F.min("orderid").alias("orderid"))
     )
+    return _first_seen(seen, dim)
+
+
+def _first_seen(seen: DataFrame, dim: Table) -> DataFrame:
     first = F.min(F.struct("orderid", *dim.attributes)).alias("first")
     return seen.groupBy(dim.key).agg(first).select(dim.key, "first.*").drop("orderid")
 
 
+def seen_attributes(cleaned: DataFrame) -> DataFrame:
+    """The attribute sets of all dimensions with their smallest order id, in one pass.
+
+    A grouping set for each dimension; `member` tells which one a row belongs to.
+    """
+    sets = [dim.names for dim in DIMENSIONS]
+    columns = [name for names in sets for name in names]
+    # Attributes that are in no set of a row are NULL there; a bit of grouping_id marks each.
+    return cleaned.groupingSets(sets, *columns).agg(
+        F.grouping_id().alias("member"), F.min("orderid").alias("orderid")
+    )
+
+
+def dimension_of(seen: DataFrame, dim: Table) -> DataFrame:
+    """One row per key of a dimension, from `seen_attributes`; the same as `dimension_rows`."""
+    columns = [name for table in DIMENSIONS for name in table.names]
+    absent = int("".join("0" if name in dim.names else "1" for name in columns), 2)
+    own = seen.filter((F.col("member") == absent) & F.col(dim.key).isNotNull())
+    return _first_seen(own.select("orderid", *dim.names), dim)
+
+
 def fact_rows(cleaned: DataFrame) -> DataFrame:
     """One row per order id; among copies the smallest row, so that reruns agree."""
     return (
@@ -62,7 +86,7 @@ def orphan_facts(
     """Fact rows that miss at least one dimension row, with the state of all three."""
 
     def keys(dim: DataFrame, table: Table) -> DataFrame:
-        return lookup_side(dim.select(table.key, F.lit(True).alias(f"has_{table.name}")))
+        return dim.select(table.key, F.lit(True).alias(f"has_{table.name}"))
 
     found = (
         fact.select("orderid", "dateid", "categoryid", "countryid")

@@ -16,16 +16,14 @@ from pyspark.sql import functions as F
 from salesflow.functions.cleaning import clean
 from salesflow.operators import clustering
 from salesflow.operators.incremental import (
-    Batch,
     after,
     assign_batches,
     batch_bounds,
-    high_watermark,
+    between,
     missing_ids,
     next_batch,
-    next_range,
 )
-from salesflow.operators.star import dimension_rows, fact_rows, new_rows
+from salesflow.operators.star import dimension_of, fact_rows, new_rows, seen_attributes
 from salesflow.schemas import CLEANED, DIMENSIONS, FACT, RESULT, STAGING, STAR, Table
 
 # Fixed value: rows per batch.
@@ -40,37 +38,17 @@ class JobResult(NamedTuple):
     done: bool
 
 
-def _watermark(df: DataFrame, known: int | None = None) -> int:
-    """The watermark; one that is known already lets the scan skip files with smaller ids."""
-    if known is None:
-        return high_watermark(df).first()["max_orderid"]
-    return max(known, high_watermark(after(df, known)).first()["max_orderid"])
-
-
-def _pick(df: DataFrame, watermark: int, rows: int, whole_ids: bool) -> Batch | None:
-    return (next_range if whole_ids else next_batch)(df, watermark, rows)
-
-
-def _between(df: DataFrame, after_id: int, last_id: int) -> DataFrame:
-    return after(df, after_id).filter(F.col("orderid") <= last_id)
-
-
 def clean_next_batch(
-    staging,
-    batch_rows: int = BATCH_ROWS,
-    whole_ids: bool = False,
-    preview: int = 0,
-    known: int | None = None,
+    staging, batch_rows: int = BATCH_ROWS, preview: int = 0, known: int = 0
 ) -> JobResult:
     """Clean the next raw rows and append them to the cleaned table.
 
-    With `whole_ids` a batch is an id range that keeps equal ids together; use it for batches
-    of more than some 100,000 rows. `preview` prints that many raw rows. `known` is a watermark
-    already reached, if the caller has one.
+    A batch is an id range with all copies of its ids. `preview` prints that many raw rows.
+    `known` is a watermark already reached, if the caller has one.
     """
     staging.require(STAGING, CLEANED)
-    watermark = _watermark(staging.read(CLEANED), known)
-    batch = _pick(staging.read(STAGING), watermark, batch_rows, whole_ids)
+    watermark = staging.largest_id(CLEANED, known)
+    batch = next_batch(staging.read(STAGING), watermark, batch_rows, staging.id_counts(STAGING))
     if batch is None:
         return JobResult(0, watermark, True)
     if preview:
@@ -83,12 +61,11 @@ def clean_missing(staging) -> int:
     """Clean raw rows up to the watermark whose id was never cleaned; returns how many ids.
 
     The watermark skips what a partly failed append left out, and rows that arrived late. This
-    job takes both on request; the repair of the next transfer then moves them to the star.
+    job takes both on request; `repair_star` then moves them to the star.
     """
     staging.require(STAGING, CLEANED)
-    cleaned = staging.read(CLEANED)
-    raw = _between(staging.read(STAGING), 0, _watermark(cleaned))
-    missing = missing_ids(raw, cleaned).persist()
+    raw = between(staging.read(STAGING), 0, staging.largest_id(CLEANED))
+    missing = missing_ids(raw, staging.read(CLEANED)).persist()
     try:
         ids = missing.count()
         if ids:
@@ -98,132 +75,100 @@ def clean_missing(staging) -> int:
         missing.unpersist()
 
 
-def load_star(rows: DataFrame, production) -> int:
+def load_star(rows: DataFrame, production, first_id: int, last_id: int) -> None:
     """Add cleaned rows to the star: unseen dimension keys first, then unseen facts.
 
-    Returns the number of rows looked at.
-
-    Each append skips the keys its table already has, so running it again after a failure
-    completes the load instead of repeating or losing rows.
+    All ids of the rows lie between `first_id` and `last_id`. One pass finds the attributes of all
+    dimensions, another one the facts. Each append skips the keys its table already has, so
+    running it again after a failure completes the load instead of repeating or losing rows.
     """
-    span = rows.agg(
-        F.min("orderid").alias("first"),
-        F.max("orderid").alias("last"),
-        F.count(F.lit(1)).alias("rows"),
-    ).first()
-    if span["first"] is None:
-        return 0
+    # About as many rows as the dimensions have keys: kept so that they are computed once.
+    seen = seen_attributes(rows).persist()
 
     @inheritable_thread_target(rows.sparkSession)
     def load_dimension(dim: Table) -> None:
-        # About as many rows as the dimension has keys: cached so that testing for new keys
-        # and writing them is one computation.
-        fresh = new_rows(dimension_rows(rows, dim), production.read(dim), dim.key).persist()
+        fresh = new_rows(dimension_of(seen, dim), production.read(dim), dim.key).persist()
         try:
             if not fresh.isEmpty():
-                production.append(fresh, dim)
+                production.append(fresh, dim, keys_are_new=True)
         finally:
             fresh.unpersist()
 
-    # The dimensions do not depend on each other, so their jobs may share the cluster.
-    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        list(pool.map(load_dimension, DIMENSIONS))
-    facts = fact_rows(rows)
+    try:
+        # The dimensions do not depend on each other, so their jobs may share the cluster.
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            list(pool.map(load_dimension, DIMENSIONS))
+    finally:
+        seen.unpersist()
     # Only the id range of these rows can hold their ids; the range reaches the scan.
-    stored = production.read(FACT).filter(F.col("orderid").between(span["first"], span["last"]))
-    production.append(new_rows(facts, stored, FACT.key), FACT)
-    return span["rows"]
+    stored = production.read(FACT).filter(F.col("orderid").between(first_id, last_id))
+    production.append(new_rows(fact_rows(rows), stored, FACT.key), FACT, keys_are_new=True)
 
 
-def repair_star(staging, production) -> int:
-    """Transfer cleaned rows up to the watermark that the fact table lacks; returns their number.
+def repair_star(staging, production, above: int = 0) -> int:
+    """Transfer cleaned rows up to the watermark that the fact table lacks; returns their ids.
 
-    A write that failed halfway can leave such gaps, and the watermark alone would skip them.
+    A write that failed halfway can leave such gaps, and the watermark alone would skip them. Ids
+    up to `above` are known to be complete and are not looked at.
     """
     staging.require(CLEANED)
     production.require(*STAR)
-    fact = production.read(FACT)
-    watermark = _watermark(fact)
-    if watermark <= 0:
+    watermark = production.largest_id(FACT)
+    if watermark <= above:
         return 0
-    done = _between(staging.read(CLEANED), 0, watermark)
+    done = between(staging.read(CLEANED), above, watermark)
+    fact = between(production.read(FACT), above, watermark)
     missing = missing_ids(done, fact).persist()
     try:
-        if missing.isEmpty():
-            return 0
-        return load_star(done.join(missing, "orderid", "left_semi"), production)
+        ids = missing.count()
+        if ids:
+            rows = done.join(missing, "orderid", "left_semi")
+            load_star(rows, production, above + 1, watermark)
+        return ids
     finally:
         missing.unpersist()
 
 
 def transfer_next_batch(
-    staging,
-    production,
-    batch_rows: int = BATCH_ROWS,
-    whole_ids: bool = False,
-    repair: bool = True,
-    preview: int = 0,
-    known: int | None = None,
+    staging, production, batch_rows: int = BATCH_ROWS, preview: int = 0, known: int = 0
 ) -> JobResult:
-    """Move the next cleaned rows to the star schema, after closing any earlier gap."""
+    """Move the next cleaned rows to the star schema. Earlier gaps are `repair_star`'s work."""
     staging.require(CLEANED)
     production.require(*STAR)
-    repaired = repair_star(staging, production) if repair else 0
-    watermark = _watermark(production.read(FACT), known)
-    batch = _pick(staging.read(CLEANED), watermark, batch_rows, whole_ids)
+    watermark = production.largest_id(FACT, known)
+    batch = next_batch(staging.read(CLEANED), watermark, batch_rows, staging.id_counts(CLEANED))
     if batch is None:
-        return JobResult(repaired, watermark, repaired == 0)
+        return JobResult(0, watermark, True)
     if preview:
         batch.frame.show(preview)
-    if whole_ids:
-        load_star(batch.frame, production)
-    else:
-        rows = batch.frame.persist()
-        try:
-            load_star(rows, production)
-        finally:
-            rows.unpersist()
-    return JobResult(repaired + batch.rows, watermark, False)
-
-
-def run_to_completion(
-    staging, production, batch_rows: int = BATCH_ROWS, whole_ids: bool = False
-) -> int:
-    """Clean and transfer batch after batch until no new rows are left; returns the rounds."""
-    if whole_ids:
-        return _run_ranges(staging, production, batch_rows)
-    rounds, cleaned_to, moved_to = 0, None, None
-    while True:
-        cleaned = clean_next_batch(staging, batch_rows, known=cleaned_to)
-        # Earlier gaps need closing once; the rounds of this run leave none behind.
-        moved = transfer_next_batch(
-            staging, production, batch_rows, repair=rounds == 0, known=moved_to
-        )
-        if cleaned.done and moved.done:
-            return rounds
-        rounds += 1
-        cleaned_to, moved_to = cleaned.watermark, moved.watermark
+    load_star(batch.frame, production, watermark + 1, batch.last_id)
+    return JobResult(batch.rows, watermark, False)
+
 
+def run_to_completion(staging, production, batch_rows: int = BATCH_ROWS) -> int:
+    """Clean and transfer batch after batch until no new rows are left; returns the rounds.
 
-def _run_ranges(staging, production, batch_rows: int) -> int:
-    """The loop with all batch ends planned by one pass over the ids."""
+    Gaps of earlier runs are closed first. All batch ends are planned by one pass over the ids; a
+    round reads back only the rows that it has cleaned itself.
+    """
     staging.require(STAGING, CLEANED)
     production.require(*STAR)
     repair_star(staging, production)
-    cleaned_to = _watermark(staging.read(CLEANED))
-    moved_to = _watermark(production.read(FACT))
+    cleaned_to, moved_to = staging.largest_id(CLEANED), production.largest_id(FACT)
+    rounds = 0
+    if cleaned_to > moved_to:  # what an earlier run has cleaned only
+        load_star(
+            between(staging.read(CLEANED), moved_to, cleaned_to), production, moved_to + 1, cleaned_to
+        )
+        rounds += 1
     raw = staging.read(STAGING)
     bounds = batch_bounds(assign_batches(raw, cleaned_to, batch_rows)).orderBy("batch_no")
-    rounds = 0
     for batch in bounds.toLocalIterator():
         last = batch["last_orderid"]
-        staging.append(clean(_between(raw, cleaned_to, last)), CLEANED)
-        # The first transfer also takes rows that an earlier run cleaned only.
-        load_star(_between(staging.read(CLEANED), moved_to, last), production)
-        cleaned_to = moved_to = last
-        rounds += 1
-    if cleaned_to > moved_to:
-        load_star(_between(staging.read(CLEANED), moved_to, cleaned_to), production)
+        rows = clean(between(raw, cleaned_to, last))
+        stored = staging.append_range(rows, CLEANED, cleaned_to, last)
+        load_star(stored, production, cleaned_to + 1, last)
+        cleaned_to = last
         rounds += 1
     return rounds
 
@@ -231,14 +176,21 @@ def _run_ranges(staging, production, batch_rows: int) -> int:
 def load_backlog(staging, production) -> JobResult:
     """Clean and transfer everything beyond the watermarks in one pass, without batches."""
     staging.require(STAGING, CLEANED)
-    watermark = _watermark(staging.read(CLEANED))
-    raw = after(staging.read(STAGING), watermark)
-    if not raw.isEmpty():
-        staging.append(clean(raw), CLEANED)
+    production.require(*STAR)
     repaired = repair_star(staging, production)
-    moved_to = _watermark(production.read(FACT))
-    rows = repaired + load_star(after(staging.read(CLEANED), moved_to), production)
-    return JobResult(rows, moved_to, rows == 0)
+    cleaned_to, moved_to = staging.largest_id(CLEANED), production.largest_id(FACT)
+    last = staging.largest_id(STAGING, cleaned_to)
+    if last <= moved_to:
+        return JobResult(repaired, moved_to, repaired == 0)
+    stored = staging.read(CLEANED)
+    if last > cleaned_to:
+        rows = clean(after(staging.read(STAGING), cleaned_to))
+        stored = staging.append_range(rows, CLEANED, cleaned_to, last)
+        if cleaned_to > moved_to:  # an earlier run has cleaned rows without moving them
+            stored = staging.read(CLEANED)
+    pending = between(stored, moved_to, last)
+    load_star(pending, production, moved_to + 1, last)
+    return JobResult(repaired + pending.count(), moved_to, False)
 
 
 def cluster_fact(

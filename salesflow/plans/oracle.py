@@ -69,24 +69,31 @@ def _batch(source: str, watermark: int, rows: int = 10000) -> str:
     return f"select * from {source} where orderid > {watermark} order by orderid limit {rows}"
 
 
+def _even(columns: str) -> str:
+    key = columns.split(", ")[0]
+    return f"select * from ({_first(columns, 'cleaned')}) every_key where {key} % 2 = 0"
+
+
 def _new(columns: str) -> str:
     key = columns.split(", ")[0]
     return _with(
         f"select * from found where {key} not in (select {key} from existing)",
-        seed=_batch("cleaned", 0, 3),
-        existing=_first(columns, "seed"),
+        existing=_even(columns),
         found=_first(columns, "cleaned"),
     )
 
 
+# Rows moved by an earlier transfer of 1,000 and one of 10,000.
+_MOVED = _batch("cleaned", 0, 11000)
+
+
 def _transferred(columns: str) -> str:
     key = columns.split(", ")[0]
     return _with(
         "select * from existing union all"
         f" select * from found where {key} not in (select {key} from existing)",
-        seed=_batch("cleaned", 0, 3),
-        batch=_batch("cleaned", 3),
-        existing=_first(columns, "seed"),
+        batch=_MOVED,
+        existing=_even(columns),
         found=_first(columns, "batch"),
     )
 
@@ -94,13 +101,13 @@ def _transferred(columns: str) -> str:
 def _lloyd(iterations: int = 5, k: int = 4) -> str:
     steps = {
         "fact": _first(_FACT, "cleaned"),
-        "totals": "select cast(count(*) as double) as n,"
-        " cast(sum(countryid) as double) as s0,"
-        " cast(sum(countryid * countryid) as double) as q0,"
-        " cast(sum(amount) as double) as s1,"
-        " cast(sum(cast(amount as hugeint) * amount) as double) as q1 from fact",
-        "spread": "select sqrt((q0 - s0 * s0 / n) / (n - 1.0)) as d0,"
-        " sqrt((q1 - s1 * s1 / n) / (n - 1.0)) as d1 from totals",
+        "totals": "select cast(count(*) as hugeint) as n,"
+        " cast(sum(countryid) as hugeint) as s0,"
+        " cast(sum(countryid * countryid) as hugeint) as q0,"
+        " cast(sum(amount) as hugeint) as s1,"
+        " cast(sum(cast(amount as hugeint) * amount) as hugeint) as q1 from fact",
+        "spread": "select sqrt(cast(n * q0 - s0 * s0 as double) / cast(n * (n - 1) as double)) as d0,"
+        " sqrt(cast(n * q1 - s1 * s1 as double) / cast(n * (n - 1) as double)) as d1 from totals",
         "c0": "select cast(row_number() over (order by orderid) - 1 as int) as id,"
         " cast(countryid as double) as x, cast(amount as double) as y"
         f" from (select * from fact order by orderid limit {k}) lowest",
@@ -133,14 +140,12 @@ _NUMBERED = (
 )
 
 _ORPHANS = """
-select orderid,
-  coalesce(dateid in (select dateid from seed), false) as has_dim_date,
-  coalesce(categoryid in (select categoryid from seed), false) as has_dim_category,
-  coalesce(countryid in (select countryid from seed), false) as has_dim_country
-from fact
-where not coalesce(dateid in (select dateid from seed), false)
-  or not coalesce(categoryid in (select categoryid from seed), false)
-  or not coalesce(countryid in (select countryid from seed), false)
+select * from (
+  select orderid, coalesce(dateid % 2 = 0, false) as has_dim_date,
+    coalesce(categoryid % 2 = 0, false) as has_dim_category,
+    coalesce(countryid % 2 = 0, false) as has_dim_country
+  from fact
+) checked where not (has_dim_date and has_dim_category and has_dim_country)
 """
 
 _STAR = """
@@ -167,12 +172,67 @@ def _quality(stage: str, source: str) -> str:
 
 
 def _exists() -> str:
+    def line(name: str, rows: str) -> str:
+        listed = f"select count(*) > 0 from duckdb_views() where view_name = '{name}'"
+        return f"select '{name}' as table_name, ({listed}) as found, {rows} as row_count"
+
     lines = [
-        f"select '{name}' as table_name, true as found, count(*) as row_count from {name}"
+        line(name, f"(select count(*) from {name})")
         for name in ("orders", "customer", "nation", "region")
     ]
-    lines.append("select 'no_such_table', false, 0")
-    return " union all ".join(lines)
+    return " union all ".join([*lines, line("no_such_table", "0")])
+
+
+_KEYS = {
+    "dim_date": "dateid",
+    "dim_category": "categoryid",
+    "dim_country": "countryid",
+    "fact_orders": "orderid",
+}
+_LENGTHS = {
+    "sales_staging_cleaned": {
+        "quartername": 2, "monthname": 50, "weekdayname": 50, "category": 50, "country": 50,
+    },
+    "dim_date": {"quartername": 2, "monthname": 50, "weekdayname": 50},
+    "dim_category": {"category": 50},
+    "dim_country": {"country": 50},
+}
+
+
+def _damaged() -> str:
+    holes = {"dateid": 11, "categoryid": 13, "countryid": 17}
+    longer = {"quartername": 7, "monthname": 9, "weekdayname": 10, "category": 14, "country": 15}
+    columns = [f"case when orderid % {m} <> 0 then {n} end as {n}" for n, m in holes.items()]
+    columns += [
+        f"case when orderid % {m} = 0 then repeat({n}, 20) else {n} end as {n}"
+        for n, m in longer.items()
+    ]
+    return f"select orderid, {', '.join(columns)} from cleaned"
+
+
+def _key_violations() -> str:
+    return " union all ".join(
+        f"select '{table}' as table_name, {key} as key_value, count(*) as copies from cleaned"
+        f" where {key} is not null group by {key} having count(*) > 1"
+        for table, key in _KEYS.items()
+    )
+
+
+def _null_violations() -> str:
+    return " union all ".join(
+        f"select '{table}' as table_name, orderid, '{key}' as column_name from damaged"
+        f" where {key} is null"
+        for table, key in _KEYS.items()
+    )
+
+
+def _length_violations() -> str:
+    return " union all ".join(
+        f"select '{table}' as table_name, orderid, '{name}' as column_name,"
+        f" cast(length({name}) as int) as characters from damaged where length({name}) > {length}"
+        for table, lengths in _LENGTHS.items()
+        for name, length in lengths.items()
+    )
 
 
 def oracle_sql() -> dict[str, str]:
@@ -254,17 +314,24 @@ def oracle_sql() -> dict[str, str]:
             " round(amount / d1, 6) as amount from fact, spread",
             **stddev,
         ),
+        "kmeans_result": _with(
+            "select orderid, countryid, amount, true as in_range, true as is_nearest from fact",
+            **fact,
+        ),
+        "kmeans_summary": _with(
+            "select count(*) as rows, cast(4 as bigint) as clusters, true as good from fact", **fact
+        ),
         "lloyd_assignment": _lloyd(),
         "clean_batch": _with("select * from fixed", **cleaned_batch),
         "clean_batch_2": _with("select * from fixed", **cleaned_batch_2),
         "transfer_dim_date": _transferred(_DATE),
         "transfer_dim_category": _transferred(_CATEGORY),
         "transfer_dim_country": _transferred(_COUNTRY),
-        "transfer_fact": _transferred(_FACT),
-        "final_fact": fact_query,
-        "final_dim_date": dates,
-        "final_dim_category": categories,
-        "final_dim_country": countries,
+        "transfer_fact": _with(_first(_FACT, "batch"), batch=_MOVED),
+        "pipeline_final_fact": fact_query,
+        "pipeline_final_dim_date": dates,
+        "pipeline_final_dim_category": categories,
+        "pipeline_final_dim_country": countries,
         "backlog_fact": fact_query,
         "stream_final_fact": fact_query,
         "batch_assignment": _with(_NUMBERED),
@@ -273,17 +340,9 @@ def oracle_sql() -> dict[str, str]:
             " cast(sum(copies) as bigint) as rows from numbered group by batch_no",
             numbered=_NUMBERED,
         ),
-        "pk_violations": _with(
-            "select dateid, count(*) as copies from cleaned"
-            " where dateid is not null group by dateid having count(*) > 1"
-        ),
-        "null_key_violations": _with(
-            "select orderid, weekday, weekdayname from stg where weekdayname is null"
-        ),
-        "length_violations": _with(
-            "select orderid, country, cast(length(country) as int) as characters from stg"
-            " where length(country) > 10"
-        ),
+        "pk_violations": _with(_key_violations()),
+        "null_key_violations": _with(_null_violations(), damaged=_damaged()),
+        "length_violations": _with(_length_violations(), damaged=_damaged()),
         "dim_conflicts": _with(
             "select countryid, count(distinct country) as distinct_values from stg"
             " where countryid is not null group by countryid"
@@ -295,7 +354,7 @@ def oracle_sql() -> dict[str, str]:
             dims_date=_first(_DATE, "cleaned"),
             dims_country=_first(_COUNTRY, "cleaned"),
         ),
-        "orphan_facts": _with(_ORPHANS, **fact, seed=_batch("cleaned", 0, 3)),
+        "orphan_facts": _with(_ORPHANS, **fact),
         "quality_report": _with(
             _quality("raw", "stg") + " union all " + _quality("cleaned", "fixed"), **whole
         ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +33,8 @@ from salesflow.streaming.ingest import ingest_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rows of an earlier load whose dimension keys and facts are already in place.
-SEED_ROWS = 3
+# Rows that an earlier transfer has moved.
+EARLIER_ROWS = 1_000
 # Batch size of the batch numbering: small, so that several batches exist at every scale.
 NUMBERED_ROWS = 1_000
 # Rounds in which the loading jobs take the whole input.
@@ -73,13 +73,14 @@ def _stored_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved(_cleaned(spark, sf_dir), "cleaned")
 
 
-def _seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return saved(_batch(_cleaned(spark, sf_dir), 0, SEED_ROWS), "seed")
+def _even_keys(rows: DataFrame, dim: Table) -> DataFrame:
+    """A dimension as an earlier load may have left it: half of its keys are known."""
+    return star.dimension_rows(rows, dim).filter(F.col(dim.key) % 2 == 0)
 
 
 def _batch(df: DataFrame, watermark: int, rows: int = jobs.BATCH_ROWS) -> DataFrame:
     batch = incremental.next_batch(df, watermark, rows)
-    return df.limit(0) if batch is None else batch.frame
+    return df.filter(F.lit(False)) if batch is None else batch.frame
 
 
 def _store(spark: SparkSession, label: str, *tables: Table) -> ParquetStore:
@@ -110,13 +111,16 @@ def batch_second(spark, sf_dir):
 
 @_query
 def dim_key_scan(spark, sf_dir):
-    rows = _stored_cleaned(spark, sf_dir)
+    """The keys of the stored dimensions; a scan of each table's key column."""
+    store = _store(spark, "dim_key_scan", *DIMENSIONS)
+    keys = [c for dim in DIMENSIONS for c in dim.names]
+    seen = saved(star.seen_attributes(_cleaned(spark, sf_dir).select("orderid", *keys)), "seen")
 
-    def keys(dim: Table) -> DataFrame:
-        found = star.dimension_rows(rows, dim)
-        return found.select(F.lit(dim.name).alias("dimension"), F.col(dim.key).alias("id"))
+    def scan(dim: Table) -> DataFrame:
+        store.append(star.dimension_of(seen, dim), dim)
+        return store.read(dim).select(F.lit(dim.name).alias("dimension"), F.col(dim.key).alias("id"))
 
-    return reduce(DataFrame.unionByName, map(keys, DIMENSIONS))
+    return reduce(DataFrame.unionByName, map(scan, DIMENSIONS))
 
 
 @_query
@@ -158,7 +162,7 @@ def append_cleaned(spark, sf_dir):
     """The cleaned table after cleaning everything in appended batches."""
     store = _store(spark, "append_cleaned", CLEANED)
     rows = _write_raw(store, spark, sf_dir)
-    while not jobs.clean_next_batch(store, math.ceil(rows / 2) or 1, whole_ids=True).done:
+    while not jobs.clean_next_batch(store, math.ceil(rows / 2) or 1).done:
         pass
     return store.read(CLEANED)
 
@@ -205,8 +209,8 @@ def find_missing_names(spark, sf_dir):
 
 
 def _new_keys(spark, sf_dir, dim):
-    existing = star.dimension_rows(_seed(spark, sf_dir), dim)
-    return star.new_rows(star.dimension_rows(_cleaned(spark, sf_dir), dim), existing, dim.key)
+    rows = saved(_cleaned(spark, sf_dir).select("orderid", *dim.names), dim.name)
+    return star.new_rows(star.dimension_rows(rows, dim), _even_keys(rows, dim), dim.key)
 
 
 @_query
@@ -318,11 +322,26 @@ def scaled_features(spark, sf_dir):
     )
 
 
+def _clustered(spark, sf_dir, label):
+    store = _store(spark, label, FACT)
+    store.append(_fact(spark, sf_dir), FACT)
+    return store, jobs.cluster_fact(store)
+
+
 @_query
 def kmeans_result(spark, sf_dir):
-    store = _store(spark, "kmeans_result", FACT)
-    store.append(_fact(spark, sf_dir), FACT)
-    return jobs.cluster_fact(store)
+    """Every order after the clustering job, checked against the centres of the repeated training."""
+    store, result = _clustered(spark, sf_dir, "kmeans_result")
+    return clustering.assignment_check(result, clustering.fit(store.read(FACT)))
+
+
+@_query
+def kmeans_summary(spark, sf_dir):
+    """Orders, clusters, and whether the cost is at most 5 % above that of plain Lloyd iterations."""
+    store, result = _clustered(spark, sf_dir, "kmeans_summary")
+    plain = clustering.cost(clustering.lloyd(store.read(FACT))).first()["cost"]
+    found = clustering.cost(result)
+    return found.select("rows", "clusters", (F.col("cost") <= 1.05 * plain).alias("good"))
 
 
 @_query
@@ -333,21 +352,38 @@ def lloyd_assignment(spark, sf_dir):
 # Jobs
 
 
+def _staging_store(spark, sf_dir, label):
+    store = _store(spark, label, CLEANED, *STAR)
+    _write_raw(store, spark, sf_dir)
+    return store
+
+
 @_query
 def clean_batch(spark, sf_dir):
-    return cleaning.clean(_batch(raw_sales(spark, sf_dir), 0))
+    """The cleaned table after one cleaning job."""
+    store = _staging_store(spark, sf_dir, "clean_batch")
+    jobs.clean_next_batch(store)
+    return store.read(CLEANED)
 
 
 @_query
 def clean_batch_2(spark, sf_dir):
-    return cleaning.clean(_batch(raw_sales(spark, sf_dir), jobs.BATCH_ROWS))
+    """What a second cleaning job adds to the cleaned table."""
+    store = _staging_store(spark, sf_dir, "clean_batch_2")
+    jobs.clean_next_batch(store)
+    second = jobs.clean_next_batch(store)
+    return incremental.after(store.read(CLEANED), second.watermark)
 
 
-def _transferred(spark, sf_dir, dim):
-    """A dimension after one transfer on top of the earlier load."""
-    seed = star.dimension_rows(_seed(spark, sf_dir), dim)
-    batch = _batch(_cleaned(spark, sf_dir), SEED_ROWS)
-    return seed.unionByName(star.new_rows(star.dimension_rows(batch, dim), seed, dim.key))
+def _transferred(spark, sf_dir, table):
+    """A star table after two transfers into a star that knows half of the dimension keys."""
+    store = _store(spark, "transferred", CLEANED, *STAR)
+    store.append(_cleaned(spark, sf_dir), CLEANED)
+    for dim in DIMENSIONS:
+        store.append(_even_keys(store.read(CLEANED), dim), dim)
+    jobs.transfer_next_batch(store, store, EARLIER_ROWS)
+    jobs.transfer_next_batch(store, store)
+    return store.read(table)
 
 
 @_query
@@ -367,9 +403,7 @@ def transfer_dim_country(spark, sf_dir):
 
 @_query
 def transfer_fact(spark, sf_dir):
-    seed = star.fact_rows(_seed(spark, sf_dir))
-    batch = _batch(_cleaned(spark, sf_dir), SEED_ROWS)
-    return seed.unionByName(star.new_rows(star.fact_rows(batch), seed, FACT.key))
+    return _transferred(spark, sf_dir, FACT)
 
 
 def _write_raw(store: ParquetStore, spark: SparkSession, sf_dir: str, **options) -> int:
@@ -377,42 +411,31 @@ def _write_raw(store: ParquetStore, spark: SparkSession, sf_dir: str, **options)
     return store.read(STAGING).count()
 
 
-@cache
-def _loaded(application: str, sf_dir: str) -> ParquetStore:
-    """Tables after the loading loop has run to its end; one run serves all four readers."""
-    spark = SparkSession.active()
+def _final(spark, sf_dir, table):
+    """A star table after the loading loop has run to its end, in four batches at every scale."""
     store = _store(spark, "loaded", CLEANED, *STAR)
     rows = _write_raw(store, spark, sf_dir)
-    jobs.run_to_completion(store, store, math.ceil(rows / ROUNDS) or 1, whole_ids=True)
-    return store
-
-
-def forget_loaded() -> None:
-    """Let the next query run the loading loop again."""
-    _loaded.cache_clear()
-
-
-def _final(spark, sf_dir, table):
-    return _loaded(spark.sparkContext.applicationId, sf_dir).read(table)
+    jobs.run_to_completion(store, store, math.ceil(rows / ROUNDS) or 1)
+    return store.read(table)
 
 
 @_query
-def final_fact(spark, sf_dir):
+def pipeline_final_fact(spark, sf_dir):
     return _final(spark, sf_dir, FACT)
 
 
 @_query
-def final_dim_date(spark, sf_dir):
+def pipeline_final_dim_date(spark, sf_dir):
     return _final(spark, sf_dir, DIM_DATE)
 
 
 @_query
-def final_dim_category(spark, sf_dir):
+def pipeline_final_dim_category(spark, sf_dir):
     return _final(spark, sf_dir, DIM_CATEGORY)
 
 
 @_query
-def final_dim_country(spark, sf_dir):
+def pipeline_final_dim_country(spark, sf_dir):
     return _final(spark, sf_dir, DIM_COUNTRY)
 
 
@@ -451,23 +474,39 @@ def stream_final_fact(spark, sf_dir):
 # Checks and reports
 
 
+def _damaged(spark, sf_dir):
+    """Cleaned rows with missing keys and too long texts, by rules on the order id."""
+    rows = _cleaned(spark, sf_dir)
+    holes = {"dateid": 11, "categoryid": 13, "countryid": 17}
+    longer = {"quartername": 7, "monthname": 9, "weekdayname": 10, "category": 14, "country": 15}
+    place = F.col("orderid")
+    return rows.withColumns(
+        {n: F.when(place % m != 0, F.col(n)) for n, m in holes.items()}
+        | {n: F.when(place % m == 0, F.repeat(n, 20)).otherwise(F.col(n)) for n, m in longer.items()}
+    )
+
+
 @_query
 def pk_violations(spark, sf_dir):
-    return checks.duplicate_keys(_cleaned(spark, sf_dir), "dateid")
+    """Keys that the cleaned rows, taken as rows of the star tables, hold more than once."""
+    rows = saved(_cleaned(spark, sf_dir).select(*(t.key for t in STAR)), "keys")
+    return reduce(DataFrame.unionByName, (checks.key_violations(rows, t) for t in STAR))
 
 
 @_query
 def null_key_violations(spark, sf_dir):
-    return checks.null_values(raw_sales(spark, sf_dir), "weekdayname").select(
-        "orderid", "weekday", "weekdayname"
-    )
+    """Damaged rows that a star table would refuse for a column declared NOT NULL."""
+    rows = saved(_damaged(spark, sf_dir).select(*(t.key for t in STAR)), "damaged")
+    return reduce(DataFrame.unionByName, (checks.null_violations(rows, t) for t in STAR))
 
 
 @_query
 def length_violations(spark, sf_dir):
-    return checks.too_long(raw_sales(spark, sf_dir), "country", 10).select(
-        "orderid", "country", F.length("country").alias("characters")
-    )
+    """Damaged rows that a table would refuse for the declared length of a text."""
+    texts = [c.name for c in CLEANED.columns if c.length]
+    rows = saved(_damaged(spark, sf_dir).select("orderid", *texts), "damaged")
+    tables = (CLEANED, *DIMENSIONS)
+    return reduce(DataFrame.unionByName, (checks.length_violations(rows, t) for t in tables))
 
 
 @_query
@@ -477,7 +516,8 @@ def dim_conflicts(spark, sf_dir):
 
 @_query
 def star_sales_by_country_quarter(spark, sf_dir):
-    rows = _stored_cleaned(spark, sf_dir)
+    needed = dict.fromkeys([*FACT.names, *DIM_DATE.names, *DIM_COUNTRY.names])
+    rows = saved(_cleaned(spark, sf_dir).select(*needed), "cleaned")
     return star.sales_by_country_quarter(
         star.fact_rows(rows),
         star.dimension_rows(rows, DIM_DATE),
@@ -487,11 +527,9 @@ def star_sales_by_country_quarter(spark, sf_dir):
 
 @_query
 def orphan_facts(spark, sf_dir):
-    seed = _seed(spark, sf_dir)
-    return star.orphan_facts(
-        _fact(spark, sf_dir),
-        *(star.dimension_rows(seed, dim) for dim in DIMENSIONS),
-    )
+    """Facts of all orders against dimensions that know half of the keys."""
+    rows = _stored_cleaned(spark, sf_dir)
+    return star.orphan_facts(star.fact_rows(rows), *(_even_keys(rows, dim) for dim in DIMENSIONS))
 
 
 @_query

@@ -6,15 +6,13 @@ SQL engine can derive the same rows.
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.operators.joins import lookup_side
-
 _RAW = """
-select cast(o_orderkey as int) as orderid, cast(floor(o_totalprice) as int) as amount,
+select case when o_orderkey between -2147483648 and 2147483647 then cast(o_orderkey as int)
+    else cast(raise_error('an order id does not fit into 32 bits') as int) end as orderid,
+   cast(floor(o_totalprice) as int) as amount,
   cast(date_diff(cast(o_orderdate as date), date'1995-01-01') + 1 as int) as dateid,
   cast(n_nationkey as int) as countryid, cast(substr(o_orderpriority, 1, 1) as int) as categoryid,
   cast(o_orderdate as date) as date, cast(year(o_orderdate) as int) as year,
@@ -35,33 +33,18 @@ from {orders} join {buyers} on o_custkey = c_custkey
 """
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@cache
-def _rows(application: str, sf_dir: str, name: str) -> int:
-    """Counted once per input: it decides how to join, never what comes out."""
-    return _table(SparkSession.active(), sf_dir, name).count()
-
-
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def table(name: str) -> DataFrame:
-        return _table(spark, sf_dir, name)
+    """All raw rows. Spark chooses how to join by the sizes of the tables."""
 
-    def rows(name: str) -> int:
-        return _rows(spark.sparkContext.applicationId, sf_dir, name)
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     # Few nations and regions meet the customers first, so that orders are joined once, by the
     # customer, and never by one of the few values of a nation.
-    places = table("nation").join(
-        lookup_side(table("region"), rows("region")), F.expr("n_regionkey = r_regionkey")
-    )
+    places = table("nation").join(table("region"), F.expr("n_regionkey = r_regionkey"))
     buyers = (
         table("customer")
-        .join(lookup_side(places, rows("nation")), F.expr("c_nationkey = n_nationkey"))
+        .join(places, F.expr("c_nationkey = n_nationkey"))
         .select("c_custkey", "n_nationkey", "r_name")
     )
-    return spark.sql(
-        _RAW, orders=table("orders"), buyers=lookup_side(buyers, rows("customer"))
-    )
+    return spark.sql(_RAW, orders=table("orders"), buyers=buyers)

@@ -1,18 +1,21 @@
 """Tables at rest: Parquet folders, catalog tables and JDBC databases with the same methods.
 
-A store offers exists, create, read, append and overwrite. Only "there is no such table" makes
+A store offers exists, create, read, append and overwrite, and what batches need: the largest id,
+counts per id, and rows of an id range written and read back. Only "there is no such table" makes
 `exists` false; any other failure is raised.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.operators.checks import enforced
+from salesflow.operators.checks import duplicate_keys, enforced
+from salesflow.operators.incremental import ID, IdCounts, after, between, high_watermark
 from salesflow.schemas import FACT, STAGING_AREA, STAR, Table
 
 
@@ -20,6 +23,10 @@ class MissingTable(LookupError):
     """A table that a job needs has not been created."""
 
 
+class RepeatedKey(ValueError):
+    """Rows to be appended have a key that is there already, or have it more than once."""
+
+
 class _Store:
     spark: SparkSession
 
@@ -40,6 +47,40 @@ class _Store:
     def create(self, tables: Iterable[Table]) -> None:
         raise NotImplementedError
 
+    def read(self, table: Table) -> DataFrame:
+        raise NotImplementedError
+
+    def _add(self, df: DataFrame, table: Table) -> None:
+        raise NotImplementedError
+
+    def append(self, df: DataFrame, table: Table, keys_are_new: bool = False) -> None:
+        """Add rows. A table with a key refuses rows that repeat one.
+
+        `keys_are_new` skips that look at the stored keys for rows made by an anti join with them.
+        """
+        if table.key and not keys_are_new:
+            keys = self.read(table).select(table.key).unionByName(df.select(table.key))
+            # A repeated key that is stored already is no fault of these rows.
+            repeated = duplicate_keys(keys, table.key).join(
+                df.select(table.key), table.key, "left_semi"
+            )
+            if not repeated.isEmpty():
+                raise RepeatedKey(f"{table.name}.{table.key} would not be unique")
+        self._add(df, table)
+
+    def append_range(self, df: DataFrame, table: Table, after_id: int, last_id: int) -> DataFrame:
+        """Append rows whose ids lie in a range; returns the stored rows of that range."""
+        self.append(df, table)
+        return between(self.read(table), after_id, last_id)
+
+    def largest_id(self, table: Table, known: int = 0) -> int:
+        """The largest id beyond one that is known to be there, or that one."""
+        found = high_watermark(after(self.read(table), known)).first()["max_orderid"]
+        return max(known, found)
+
+    def id_counts(self, table: Table) -> IdCounts:
+        return IdCounts(self.read(table))
+
 
 class ParquetStore(_Store):
     """One folder per table below a root that every executor can reach."""
@@ -77,9 +118,13 @@ class ParquetStore(_Store):
         self.require(table)
         return self._load(table)
 
-    def append(self, df: DataFrame, table: Table) -> None:
+    def _add(self, df: DataFrame, table: Table) -> None:
         enforced(df, table).write.mode("append").parquet(self.path(table))
 
+    def append_range(self, df: DataFrame, table: Table, after_id: int, last_id: int) -> DataFrame:
+        """The rows become a part of their own, which is read back without listing the others."""
+        return self.replace_part(df, table, f"ids-{after_id}-{last_id}-{uuid.uuid4().hex[:8]}")
+
     def overwrite(self, df: DataFrame, table: Table) -> None:
         df.write.mode("overwrite").parquet(self.path(table))
 
@@ -130,7 +175,7 @@ class CatalogStore(_Store):
         self.require(table)
         return self.spark.table(self.name(table))
 
-    def append(self, df: DataFrame, table: Table) -> None:
+    def _add(self, df: DataFrame, table: Table) -> None:
         rows = enforced(df, table)
         if self._bucketed(table):
             rows = rows.repartition(self.buckets, table.key)  # one file per bucket
@@ -202,13 +247,44 @@ class JdbcStore(_Store):
             properties=self.properties,
         )
 
+    def largest_id(self, table: Table, known: int = 0) -> int:
+        self.require(table)
+        found = self._query(
+            f"SELECT max({ID}) AS max_orderid FROM {self.name(table)} WHERE {ID} > {known}"
+        ).first()["max_orderid"]
+        return known if found is None else found
+
+    def id_counts(self, table: Table) -> IdCounts:
+        self.require(table)
+        return _SqlIdCounts(self, table)
+
     def _write(self, df: DataFrame, table: Table, mode: str) -> None:
         df.write.option("numPartitions", self.partitions).jdbc(
             self.url, self.name(table), mode=mode, properties=self.properties
         )
 
-    def append(self, df: DataFrame, table: Table) -> None:
+    def _add(self, df: DataFrame, table: Table) -> None:
         self._write(enforced(df, table), table, "append")
 
     def overwrite(self, df: DataFrame, table: Table) -> None:
         self._write(df, table, "overwrite")
+
+
+class _SqlIdCounts(IdCounts):
+    """Counts made by the database, so that no ids travel."""
+
+    def __init__(self, store: JdbcStore, table: Table):
+        self._store, self._name = store, store.name(table)
+
+    def by_bucket(self, watermark: int) -> DataFrame:
+        # Ids beyond a watermark are positive, so that a division rounds down.
+        return self._store._query(
+            f"SELECT {ID} / 65536 AS slot, count(*) AS rows FROM {self._name}"
+            f" WHERE {ID} > {watermark} GROUP BY {ID} / 65536"
+        )
+
+    def by_id(self, first: int, last: int) -> DataFrame:
+        return self._store._query(
+            f"SELECT {ID} AS slot, count(*) AS rows FROM {self._name}"
+            f" WHERE {ID} BETWEEN {first} AND {last} GROUP BY {ID}"
+        )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,9 +23,11 @@ def ingest_files(
     Files arrive in any id order, so progress is kept by the checkpoint, not by an id
     watermark. A repeated micro-batch rewrites its own part of the cleaned table and adds only
     facts and dimension keys that are still missing, so repeating one changes nothing. Parts
-    are named after the checkpoint, which is what numbers the batches.
+    are named after the id of the stream, which its checkpoint keeps, and the batch number.
+    The staging area must be a folder, because a stream reads files and rewrites parts.
     """
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    if not isinstance(staging, ParquetStore):
+        raise TypeError("a stream needs a staging area in a folder, not in a catalog or database")
     staging.require(STAGING, CLEANED)
     production.require(*STAR)
     reader = staging.spark.readStream.schema(STAGING.struct)
@@ -36,9 +36,12 @@ def ingest_files(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def load(rows: DataFrame, batch_id: int) -> None:
+        stream = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         valid = clean(rows.filter(F.col("orderid") > 0))
         stored = staging.replace_part(valid, CLEANED, f"stream-{stream}-{batch_id}")
-        load_star(stored, production)
+        span = stored.agg(F.min("orderid").alias("first"), F.max("orderid").alias("last")).first()
+        if span["first"] is not None:
+            load_star(stored, production, span["first"], span["last"])
 
     return (
         reader.parquet(staging.path(STAGING))

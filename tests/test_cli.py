@@ -34,7 +34,8 @@ def test_from_csv_to_clusters(spark, tmp_path, capsys):
     assert "only showing top 5 rows" in capsys.readouterr().out
     moved = cli.run(spark, ["transfer", *both, "--batch-rows", "4", "--preview", "2"])
     assert moved == JobResult(4, 0, False)
-    assert cli.run(spark, ["run", *both, "--batch-rows", "15", "--whole-ids"]) == 2
+    assert cli.run(spark, ["run", *both, "--batch-rows", "15"]) == 3
+    assert cli.run(spark, ["repair", *both]) == 0
     assert cli.run(spark, ["backlog", *both]).done
     assert ids_of(store.read(FACT)) == list(range(1, 31))
     assert {r["country"] for r in store.read(CLEANED).collect()} == {"ASIA_A"}
@@ -55,3 +56,11 @@ def test_stream_command(spark, tmp_path):
 def test_unknown_command_is_refused(spark):
     with pytest.raises(SystemExit):
         cli.run(spark, ["vacuum"])
+
+
+def test_definitions_have_primary_keys(spark):
+    text = cli.run(spark, ["ddl"])
+    assert text.count("CREATE TABLE") == 6
+    assert text.count("PRIMARY KEY") == 4
+    assert "  orderid INT NOT NULL," in text and "PRIMARY KEY (orderid)" in text
+    assert "quartername VARCHAR(2)" in text

@@ -4,14 +4,12 @@ import random
 
 import pytest
 
-from salesflow.operators import incremental
 from salesflow.operators.incremental import (
     assign_batches,
     batch_bounds,
     high_watermark,
     missing_ids,
     next_batch,
-    next_range,
 )
 from tests.rows import ids_of, sales
 
@@ -43,61 +41,49 @@ def test_null_zero_and_negative_ids_are_never_read(spark):
 
 def test_no_pending_rows_is_no_batch(spark):
     assert next_batch(sales(spark, [1, 2]), 2, 10) is None
-    assert next_range(sales(spark, []), 0, 10) is None
+    assert next_batch(sales(spark, []), 0, 10) is None
     assert assign_batches(sales(spark, []), 0, 10).isEmpty()
 
 
-def test_row_limit_may_split_equal_ids(spark):
-    df = sales(spark, [1, 2, 2, 3])
-    first = next_batch(df, 0, 2)
-    assert ids_of(first.frame) == [1, 2]
-    assert ids_of(next_batch(df, 2, 2).frame) == [3]
+def whole(ids, after, limit):
+    """The lowest ids until the limit is reached, with all copies of the last one."""
+    pending = lowest(ids, after, len(ids))
+    return [i for i in pending if i <= pending[min(limit, len(pending)) - 1]]
 
 
-def test_range_keeps_equal_ids_together(spark):
-    batch = next_range(sales(spark, [1, 2, 2, 3]), 0, 2)
+def test_batch_ends_on_a_whole_id(spark):
+    batch = next_batch(sales(spark, [1, 2, 2, 3]), 0, 2)
     assert ids_of(batch.frame) == [1, 2, 2]
-    assert batch.rows == 3
+    assert (batch.rows, batch.last_id) == (3, 2)
 
 
-@pytest.mark.parametrize("merge_rows", [1_000_000, 10])
 @pytest.mark.parametrize("after,limit", [(0, 1), (0, 700), (65_535, 512), (250_000, 5000)])
-def test_batch_is_the_lowest_ids(spark, monkeypatch, merge_rows, after, limit):
-    monkeypatch.setattr(incremental, "MERGE_ROWS", merge_rows)
+def test_batch_is_the_lowest_ids(spark, after, limit):
     ids = scattered(limit)
     batch = next_batch(sales(spark, ids), after, limit)
-    assert ids_of(batch.frame) == lowest(ids, after, limit)
+    assert ids_of(batch.frame) == whole(ids, after, limit)
     assert batch.rows == batch.frame.count()
 
 
-@pytest.mark.parametrize("limit", [1, 5, 40, 41, 700])
-def test_batch_that_ends_in_a_hot_id(spark, monkeypatch, limit):
-    monkeypatch.setattr(incremental, "MERGE_ROWS", 10)
+@pytest.mark.parametrize("limit", [1, 5, 40, 700])
+def test_batch_that_ends_in_a_hot_id(spark, limit):
     ids = [1, 2, 3] + [70_000] * 600 + [80_000] * 5
-    equal = sales(spark, ids)
     differing = sales(spark, ids[:300]).unionByName(sales(spark, ids[300:], amount=11))
-    for df in (equal, differing):
-        batch = next_batch(df, 0, limit)
-        assert ids_of(batch.frame) == lowest(ids, 0, limit)
-        assert batch.rows == min(limit, len(ids))
-
-
-def test_batch_rows_agree_between_runs(spark):
-    df = sales(spark, [5] * 50).unionByName(sales(spark, [5] * 50, amount=3)).repartition(7)
-    first = next_batch(df, 0, 60).frame
-    again = next_batch(df.repartition(3), 0, 60).frame
-    assert first.exceptAll(again).isEmpty()
+    batch = next_batch(differing, 0, limit)
+    assert ids_of(batch.frame) == whole(ids, 0, limit)
+    assert batch.rows == len(whole(ids, 0, limit))
 
 
 def test_ranges_cover_every_row_once(spark):
     ids = scattered(3) + [250_000] * 500
     df = sales(spark, ids).cache()
     seen, after = [], 0
-    while (batch := next_range(df, after, 600)) is not None:
+    while (batch := next_batch(df, after, 600)) is not None:
         part = ids_of(batch.frame)
         assert len(part) == batch.rows
         seen += part
-        after = part[-1]
+        after = batch.last_id
+        assert after == part[-1]
     assert seen == lowest(ids, 0, len(ids))
 
 
@@ -105,7 +91,7 @@ def test_largest_id_is_reachable(spark):
     highest = 2**31 - 1
     df = sales(spark, [1, highest, highest])
     assert ids_of(next_batch(df, 0, 10).frame) == [1, highest, highest]
-    assert ids_of(next_range(df, 1, 1).frame) == [highest, highest]
+    assert ids_of(next_batch(df, 1, 1).frame) == [highest, highest]
     assert next_batch(df, highest, 10) is None
 
 
@@ -133,7 +119,7 @@ def test_batch_bounds(spark):
 
 def test_batch_filter_reaches_the_scan(spark, tmp_path, capsys):
     sales(spark, range(1, 100)).write.parquet(str(tmp_path / "raw"))
-    batch = next_range(spark.read.parquet(str(tmp_path / "raw")), 10, 20)
+    batch = next_batch(spark.read.parquet(str(tmp_path / "raw")), 10, 20)
     batch.frame.explain()
     plan = capsys.readouterr().out
     assert "GreaterThan(orderid,10)" in plan
@@ -148,9 +134,27 @@ def test_batch_filter_reaches_the_scan(spark, tmp_path, capsys):
         ([1, 2, 2, 70_000, 70_001], [1, 2, 70_000], [70_001]),
         ([1, 2, 3], [2, 4, 5], [1, 3]),
         ([5, 5, 5], [5], []),
+        ([1, 1, 2, 3], [2, 2, 2, 3], [1]),
+        ([1, 1, 2, 2], [2, 2, 2, 2], [1]),
         (range(1, 200_000), [*range(1, 65_000), *range(65_010, 200_000)], range(65_000, 65_010)),
     ],
 )
 def test_missing_ids(spark, ids, stored, missing):
     found = missing_ids(sales(spark, ids), sales(spark, stored))
     assert ids_of(found) == list(missing)
+
+
+def test_missing_ids_against_sets(spark):
+    pick = random.Random(8)
+    for _ in range(4):
+        ids = [pick.choice([*range(1, 30), *range(70_000, 70_030)]) for _ in range(60)]
+        stored = [pick.choice([*range(1, 30), *range(70_000, 70_030)]) for _ in range(60)]
+        found = missing_ids(sales(spark, ids), sales(spark, stored))
+        assert ids_of(found) == sorted(set(ids) - set(stored))
+
+
+def test_a_hot_stored_id_is_combined_before_the_shuffle(spark, capsys):
+    missing_ids(sales(spark, [1, 2]), sales(spark, [1] * 50)).explain()
+    plan = capsys.readouterr().out
+    for exchange in plan.split("Exchange hashpartitioning(orderid")[1:]:
+        assert "HashAggregate(keys=[orderid" in exchange.splitlines()[1]

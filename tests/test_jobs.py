@@ -3,6 +3,7 @@
 import pytest
 from pyspark.errors import PySparkException
 
+from salesflow.operators.star import dimension_of, dimension_rows, seen_attributes
 from salesflow.plans import jobs
 from salesflow.plans.jobs import (
     JobResult,
@@ -16,7 +17,7 @@ from salesflow.plans.jobs import (
 )
 from salesflow.schemas import CLEANED, DIM_COUNTRY, DIMENSIONS, FACT, STAGING, STAR
 from salesflow.sources.sample import raw_sales
-from salesflow.sources.stores import CatalogStore, MissingTable, ParquetStore
+from salesflow.sources.stores import CatalogStore, MissingTable, ParquetStore, RepeatedKey
 from tests.rows import FILLED, ids_of, raw_rows, sales
 
 DATA = "/root/testdata/sf0.001"
@@ -54,29 +55,31 @@ def test_nothing_to_do_ends_the_loop(store):
     assert store.read(FACT).isEmpty()
 
 
-def test_row_limit_loses_the_second_half_of_a_split_id(spark, store):
+def test_batches_lose_no_copy(spark, store):
     store.append(sales(spark, [1, 2, 2, 3]), STAGING)
-    run_to_completion(store, store, 2)
-    assert ids_of(store.read(CLEANED)) == [1, 2, 3]
+    assert run_to_completion(store, store, 2) == 2
+    assert ids_of(store.read(CLEANED)) == [1, 2, 2, 3]
     assert ids_of(store.read(FACT)) == [1, 2, 3]
 
 
-def test_whole_ids_lose_nothing(spark, store):
-    store.append(sales(spark, [1, 2, 2, 3]), STAGING)
-    run_to_completion(store, store, 2, whole_ids=True)
-    assert ids_of(store.read(CLEANED)) == [1, 2, 2, 3]
-    assert ids_of(store.read(FACT)) == [1, 2, 3]
+def test_single_batches_lose_no_copy(spark, store):
+    store.append(sales(spark, [1, 2, 2, 2, 3]), STAGING)
+    assert clean_next_batch(store, 2) == JobResult(4, 0, False)
+    assert clean_next_batch(store, 2) == JobResult(1, 2, False)
+    assert ids_of(store.read(CLEANED)) == [1, 2, 2, 2, 3]
+    assert transfer_next_batch(store, store, 3) == JobResult(4, 0, False)
+    assert ids_of(store.read(FACT)) == [1, 2]
 
 
 def test_ranges_take_rows_that_were_only_cleaned(spark, store):
     store.append(sales(spark, range(1, 9)), STAGING)
     clean_next_batch(store, 3)
-    assert run_to_completion(store, store, 5, whole_ids=True) == 1
+    assert run_to_completion(store, store, 5) == 2
     assert ids_of(store.read(FACT)) == list(range(1, 9))
     store.append(sales(spark, [9]), STAGING)
     clean_next_batch(store, 3)
-    assert run_to_completion(store, store, 5, whole_ids=True) == 1
-    assert run_to_completion(store, store, 5, whole_ids=True) == 0
+    assert run_to_completion(store, store, 5) == 1
+    assert run_to_completion(store, store, 5) == 0
     assert ids_of(store.read(FACT)) == list(range(1, 10))
 
 
@@ -108,8 +111,10 @@ def test_gaps_below_the_watermark_are_repaired(spark, store):
     store.append(sales(spark, [*range(1, 21), 4]), CLEANED)
     kept = [3, *range(6, 21)]
     store.append(sales(spark, kept).select(*FACT.names), FACT)
-    assert transfer_next_batch(store, store, repair=False).done
-    assert not transfer_next_batch(store, store).done
+    assert transfer_next_batch(store, store).done
+    assert repair_star(store, store, above=4) == 1
+    assert ids_of(store.read(FACT)) == [3, *range(5, 21)]
+    assert repair_star(store, store) == 3
     assert ids_of(store.read(FACT)) == list(range(1, 21))
     assert repair_star(store, store) == 0
 
@@ -133,29 +138,49 @@ def test_skipped_rows_are_cleaned_on_request(spark, store):
 def test_repeating_a_load_changes_nothing(spark, store):
     rows = sales(spark, [1, 1, 2, 3])
     for _ in range(2):
-        load_star(rows, store)
+        load_star(rows, store, 1, 3)
     assert ids_of(store.read(FACT)) == [1, 2, 3]
     assert [store.read(d).count() for d in DIMENSIONS] == [1, 1, 1]
 
 
 def test_load_interrupted_before_the_fact_is_completed(spark, store, monkeypatch):
     rows = sales(spark, [1, 2])
-    append = ParquetStore.append
+    add = ParquetStore._add
 
     def failing(self, df, table):
         if table is FACT:
             raise OSError("disk full")
-        append(self, df, table)
+        add(self, df, table)
 
-    monkeypatch.setattr(ParquetStore, "append", failing)
+    monkeypatch.setattr(ParquetStore, "_add", failing)
     with pytest.raises(OSError):
-        load_star(rows, store)
+        load_star(rows, store, 1, 2)
     monkeypatch.undo()
-    load_star(rows, store)
+    load_star(rows, store, 1, 2)
     assert ids_of(store.read(FACT)) == [1, 2]
     assert store.read(DIM_COUNTRY).count() == 1
 
 
+def test_star_tables_refuse_repeated_keys(spark, store):
+    facts = sales(spark, [1, 2]).select(*FACT.names)
+    store.append(facts, FACT)
+    for wrong in ([2, 3], [4, 4]):
+        with pytest.raises(RepeatedKey, match="fact_orders.orderid"):
+            store.append(sales(spark, wrong).select(*FACT.names), FACT)
+    store.append(sales(spark, [3]).select(*FACT.names), FACT)
+    assert ids_of(store.read(FACT)) == [1, 2, 3]
+
+
+def test_dimensions_of_one_pass_are_those_of_three(spark):
+    rows = raw_sales(spark, DATA)
+    odd = [{**FILLED, "orderid": i, "category": c, "categoryid": k} for i, c, k in
+           [(-3, None, 9), (-2, "x", 9), (-1, "x", None), (None, "y", 10)]]
+    rows = rows.unionByName(raw_rows(spark, odd))
+    seen = seen_attributes(rows)
+    for dim in DIMENSIONS:
+        assert same(dimension_of(seen, dim), dimension_rows(rows, dim)), dim.name
+
+
 def test_missing_tables_are_an_error(spark, tmp_path):
     empty = ParquetStore(spark, str(tmp_path / "nothing"))
     with pytest.raises(MissingTable, match="sales_staging"):
@@ -179,6 +204,13 @@ def test_too_long_text_fails_the_batch(spark, store):
     assert store.read(CLEANED).isEmpty()
 
 
+def one_by_one(store, rows):
+    while not clean_next_batch(store, rows).done:
+        pass
+    while not transfer_next_batch(store, store, rows).done:
+        pass
+
+
 def tables_after(store, load):
     load(store)
     return {t.name: store.read(t) for t in (CLEANED, *STAR)}
@@ -187,8 +219,8 @@ def tables_after(store, load):
 def test_all_ways_of_loading_agree(spark, tmp_path):
     raw = raw_sales(spark, DATA)
     loads = {
-        "rows": lambda s: run_to_completion(s, s, 400),
-        "ranges": lambda s: run_to_completion(s, s, 400, whole_ids=True),
+        "rows": lambda s: one_by_one(s, 400),
+        "ranges": lambda s: run_to_completion(s, s, 400),
         "backlog": lambda s: load_backlog(s, s),
     }
     results = {}

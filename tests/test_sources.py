@@ -115,3 +115,22 @@ def test_jdbc_tables_without_ids_and_missing_ones(spark):
     assert "column" not in session.calls[-1][2]
     with pytest.raises(MissingTable):
         store.read(STAGING)
+
+
+def test_jdbc_watermark_and_counts_are_sent_as_sql(spark):
+    store, session = jdbc_store(spark, 1, 2)
+    session.answers["max(orderid) AS max_orderid"] = spark.createDataFrame([(12,)], "max_orderid int")
+    assert store.largest_id(FACT, 5) == 12
+    asked = [table for _, table, _ in session.calls]
+    assert asked[-1] == "(SELECT max(orderid) AS max_orderid FROM public.fact_orders WHERE orderid > 5) q"
+    counts = store.id_counts(FACT)
+    counts.by_bucket(12)
+    counts.by_id(13, 99)
+    asked = [table for _, table, _ in session.calls]
+    assert asked[-2:] == [
+        "(SELECT orderid / 65536 AS slot, count(*) AS rows FROM public.fact_orders"
+        " WHERE orderid > 12 GROUP BY orderid / 65536) q",
+        "(SELECT orderid AS slot, count(*) AS rows FROM public.fact_orders"
+        " WHERE orderid BETWEEN 13 AND 99 GROUP BY orderid) q",
+    ]
+    assert "public.fact_orders" not in asked  # the table itself was never read

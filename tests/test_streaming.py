@@ -1,11 +1,13 @@
 """Micro-batch loading: completeness, late ids, restarts and repeated batches."""
 
+import shutil
+
 import pytest
 
 from salesflow.plans.jobs import load_backlog
 from salesflow.schemas import CLEANED, DIM_COUNTRY, FACT, STAGING, STAR
 from salesflow.sources.sample import raw_sales
-from salesflow.sources.stores import ParquetStore
+from salesflow.sources.stores import CatalogStore, ParquetStore
 from salesflow.streaming.ingest import ingest_files
 from tests.rows import ids_of, sales
 
@@ -50,14 +52,14 @@ def test_later_files_continue_and_late_ids_are_taken(spark, tmp_path):
 def test_failed_batch_is_repeated_without_copies(spark, tmp_path, monkeypatch):
     store, state = made(spark, tmp_path / "tables"), tmp_path / "state"
     store.append(sales(spark, range(1, 9)), STAGING)
-    append = ParquetStore.append
+    add = ParquetStore._add
 
     def failing(self, df, table):
-        append(self, df.filter("orderid < 4") if table is FACT else df, table)
+        add(self, df.filter("orderid < 4") if table is FACT else df, table)
         if table is FACT:
             raise OSError("lost after a partial write")
 
-    monkeypatch.setattr(ParquetStore, "append", failing)
+    monkeypatch.setattr(ParquetStore, "_add", failing)
     with pytest.raises(Exception, match="lost after a partial write"):
         run(store, state)
     monkeypatch.undo()
@@ -65,3 +67,19 @@ def test_failed_batch_is_repeated_without_copies(spark, tmp_path, monkeypatch):
     run(store, state)
     assert ids_of(store.read(FACT)) == ids_of(store.read(CLEANED)) == list(range(1, 9))
     assert store.read(DIM_COUNTRY).count() == 1
+
+
+def test_a_new_stream_at_an_old_place_keeps_earlier_parts(spark, tmp_path):
+    store = made(spark, tmp_path / "tables")
+    store.append(sales(spark, [1, 2]), STAGING)
+    run(store, tmp_path / "state")
+    shutil.move(tmp_path / "state", tmp_path / "old-state")
+    store.append(sales(spark, [3]), STAGING)
+    run(store, tmp_path / "state")
+    assert ids_of(store.read(CLEANED)) == [1, 1, 2, 2, 3]
+    assert ids_of(store.read(FACT)) == [1, 2, 3]
+
+
+def test_staging_must_be_a_folder(spark, tmp_path):
+    with pytest.raises(TypeError, match="in a folder"):
+        ingest_files(CatalogStore(spark, "any"), None, str(tmp_path))
