@@ -232,7 +232,8 @@ def one_of_each(docs: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
     ids = saved(ids.select(F.col("doc_id").alias("_id"), "n"), "kept_ids")
     rows = docs.select(F.struct("*").alias("row"))
     with_id = F.col("row.doc_id").cast("long") == F.col("_id")
-    kept = rows.join(ids.filter("n = 1"), with_id, "left_semi")
+    # Ids are hashed per partition, so that texts are dealt by id once but not sorted.
+    kept = rows.join(ids.filter("n = 1").hint("shuffle_hash"), with_id, "left_semi")
     repeated = ids.filter("n > 1")
     nameless = rows.filter(F.col("row.doc_id").isNull())
     if not (repeated.isEmpty() and nameless.isEmpty()):
