@@ -75,19 +75,17 @@ def ways_up(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             F.col("depth").alias("next_depth"),
             F.col("total").alias("next_total"),
         )
-        met = reach.join(
-            ahead, reach["conv_id"].eqNullSafe(ahead["c"]) & (reach["up"] == ahead["n"]), "left"
-        )
-        reach = saved(
-            met.select(
-                "conv_id",
-                "node",
-                F.col("next_up").alias("up"),
-                (F.col("depth") + F.coalesce("next_depth", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("next_total", F.lit(0.0))).alias("total"),
-            ),
-            "replies",
+        # Only messages that are still on their way take part; the others are done.
+        met = pending.join(
+            ahead, pending["conv_id"].eqNullSafe(ahead["c"]) & (pending["up"] == ahead["n"])
+        ).select(
+            "conv_id",
+            "node",
+            F.col("next_up").alias("up"),
+            (F.col("depth") + F.col("next_depth")).alias("depth"),
+            (F.col("total") + F.col("next_total")).alias("total"),
         )
+        reach = saved(reach.filter(F.col("up").isNull()).unionByName(met), "replies")
     return reach.filter(F.col("up").isNull()).select("conv_id", "node", "depth", "total"), stretches
 
 
