@@ -12,7 +12,6 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ PREFIXES = (3, 4, 5, 6)
 PENALTY = 1.0  # of the L1 norm, in labelled texts
 SWAP_PENALTY = 1.0  # of a squared score change, for each counterfactual text
 STEPS = 400
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 _TEXTS = 128
 # Without labels a text counts as not toxic: so many clean and toxic texts are assumed beforehand.
 PRIOR_CLEAN, PRIOR_TOXIC = 3.0, 1.0
@@ -88,9 +87,9 @@ class WordModel:
         total = self.intercept + sum(self.weights[w] for w in found)
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, total))))
 
-    def scores(self, texts) -> list[float]:
-        """The scores of many texts; each word's known forms are looked up once."""
-        known: dict[str, tuple[str, ...]] = {}
+    def scores(self, texts, known: dict[str, tuple[str, ...]] | None = None) -> list[float]:
+        """The scores of many texts; `known` keeps the forms of words met before."""
+        known = {} if known is None else known
         result = []
         for text in texts:
             found: set[str] = set()
@@ -244,12 +243,21 @@ def scored(docs: DataFrame, model: WordModel) -> DataFrame:
     out. Repeated rows are scored alike, each on its own.
     """
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(texts), dtype="float64")
-
-    return id_and_text(docs).select(
+    def rows(batches):
+        known: dict[str, tuple[str, ...]] = {}
+        for batch in batches:
+            found = [
+                score
+                for start in range(0, batch.num_rows, _TEXTS)
+                for score in model.scores(batch.column(1).slice(start, _TEXTS).to_pylist(), known)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"]
+            )
+
+    return id_and_text(docs).mapInArrow(rows, "doc_id long, score double").select(
         "doc_id",
         F.coalesce(hash_bucket(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
-        score("text").alias("score"),
-    ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )

@@ -84,6 +84,6 @@ def test_each_stage_takes_odd_and_no_documents(spark, tmp_path, name):
         assert result.select("doc_id").distinct().count() == odd.select("doc_id").distinct().count()
     else:
         assert result.columns == odd.columns
-        assert result.count() == (10 if name == "near_duplicates" else odd.count())
+        assert result.count() == (9 if name == "near_duplicates" else odd.count())
     empty = stage(spark, no_documents(spark), str(tmp_path))
     assert empty.isEmpty()
