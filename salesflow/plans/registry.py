@@ -95,7 +95,7 @@ def _store(spark: SparkSession, label: str, *tables: Table) -> ParquetStore:
 @_query
 def scan_fact(spark, sf_dir):
     store = _store(spark, "scan_fact", FACT)
-    store.append(_fact(spark, sf_dir), FACT)
+    store.append(_fact(spark, sf_dir), FACT, keys_are_new=True)
     return store.read(FACT)
 
 
@@ -117,7 +117,7 @@ def dim_key_scan(spark, sf_dir):
     seen = saved(star.seen_attributes(_cleaned(spark, sf_dir).select("orderid", *keys)), "seen")
 
     def scan(dim: Table) -> DataFrame:
-        store.append(star.dimension_of(seen, dim), dim)
+        store.append(star.dimension_of(seen, dim), dim, keys_are_new=True)
         return store.read(dim).select(F.lit(dim.name).alias("dimension"), F.col(dim.key).alias("id"))
 
     return reduce(DataFrame.unionByName, map(scan, DIMENSIONS))
@@ -324,7 +324,7 @@ def scaled_features(spark, sf_dir):
 
 def _clustered(spark, sf_dir, label):
     store = _store(spark, label, FACT)
-    store.append(_fact(spark, sf_dir), FACT)
+    store.append(_fact(spark, sf_dir), FACT, keys_are_new=True)
     return store, jobs.cluster_fact(store)
 
 

@@ -56,7 +56,8 @@ class _Store:
     def append(self, df: DataFrame, table: Table, keys_are_new: bool = False) -> None:
         """Add rows. A table with a key refuses rows that repeat one.
 
-        `keys_are_new` skips that look at the stored keys for rows made by an anti join with them.
+        `keys_are_new` skips that look at the keys for rows that are unique and new by construction,
+        such as those of an anti join.
         """
         if table.key and not keys_are_new:
             keys = self.read(table).select(table.key).unionByName(df.select(table.key))
@@ -82,6 +83,12 @@ class _Store:
         return IdCounts(self.read(table))
 
 
+def _no_rows(spark: SparkSession, table: Table) -> DataFrame:
+    """An empty table of the declared types, made by a plan without any data."""
+    nothing = spark.range(0, 0, 1, 1)
+    return nothing.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in table.struct))
+
+
 class ParquetStore(_Store):
     """One folder per table below a root that every executor can reach."""
 
@@ -104,8 +111,7 @@ class ParquetStore(_Store):
     def create(self, tables: Iterable[Table]) -> None:
         for table in tables:
             if not self.exists(table):
-                empty = self.spark.createDataFrame([], table.struct)
-                empty.coalesce(1).write.parquet(self.path(table))
+                _no_rows(self.spark, table).write.parquet(self.path(table))
 
     def _load(self, table: Table) -> DataFrame:
         # Batches of a stream lie in subfolders of their table; see `replace_part`.
@@ -224,6 +230,7 @@ class JdbcStore(_Store):
                 types = ", ".join(
                     f"{c.name} VARCHAR({c.length})" for c in table.columns if c.length
                 )
+                # A schema of its own, because it says which columns are NOT NULL.
                 empty = self.spark.createDataFrame([], table.struct)
                 writer = empty.write.option("createTableColumnTypes", types) if types else empty.write
                 writer.jdbc(self.url, self.name(table), properties=self.properties)

@@ -2,7 +2,7 @@
 
 import pytest
 
-from salesflow.operators import joins, star
+from salesflow.operators import star
 from salesflow.schemas import DIM_CATEGORY, DIM_COUNTRY, DIM_DATE, DIMENSIONS
 from tests.rows import FILLED, raw_rows, sales
 
@@ -56,9 +56,9 @@ def test_conflicts_count_different_values(spark):
     assert pairs(found, "countryid", "distinct_values") == [(1, 2)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 2_000_000])
-def test_orphans_name_the_missing_dimensions(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", ["-1", "10m"])
+def test_orphans_name_the_missing_dimensions(spark, broadcast_bytes):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_bytes)
     fact = star.fact_rows(
         raw_rows(
             spark,
@@ -77,6 +77,7 @@ def test_orphans_name_the_missing_dimensions(spark, monkeypatch, broadcast_rows)
         (2, False, True, True),
         (3, True, False, False),
     ]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_sales_by_country_and_quarter(spark):
