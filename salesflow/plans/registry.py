@@ -73,9 +73,9 @@ def _stored_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saved(_cleaned(spark, sf_dir), "cleaned")
 
 
-def _even_keys(rows: DataFrame, dim: Table) -> DataFrame:
+def _even_keys(dimension: DataFrame, dim: Table) -> DataFrame:
     """A dimension as an earlier load may have left it: half of its keys are known."""
-    return star.dimension_rows(rows, dim).filter(F.col(dim.key) % 2 == 0)
+    return dimension.filter(F.col(dim.key) % 2 == 0)
 
 
 def _batch(df: DataFrame, watermark: int, rows: int = jobs.BATCH_ROWS) -> DataFrame:
@@ -210,7 +210,8 @@ def find_missing_names(spark, sf_dir):
 
 def _new_keys(spark, sf_dir, dim):
     rows = saved(_cleaned(spark, sf_dir).select("orderid", *dim.names), dim.name)
-    return star.new_rows(star.dimension_rows(rows, dim), _even_keys(rows, dim), dim.key)
+    found = star.dimension_rows(rows, dim)
+    return star.new_rows(found, _even_keys(found, dim), dim.key)
 
 
 @_query
@@ -379,8 +380,9 @@ def _transferred(spark, sf_dir, table):
     """A star table after two transfers into a star that knows half of the dimension keys."""
     store = _store(spark, "transferred", CLEANED, *STAR)
     store.append(_cleaned(spark, sf_dir), CLEANED)
+    seen = saved(star.seen_attributes(store.read(CLEANED)), "seen")
     for dim in DIMENSIONS:
-        store.append(_even_keys(store.read(CLEANED), dim), dim)
+        store.append(_even_keys(star.dimension_of(seen, dim), dim), dim, keys_are_new=True)
     jobs.transfer_next_batch(store, store, EARLIER_ROWS)
     jobs.transfer_next_batch(store, store)
     return store.read(table)
@@ -529,7 +531,9 @@ def star_sales_by_country_quarter(spark, sf_dir):
 def orphan_facts(spark, sf_dir):
     """Facts of all orders against dimensions that know half of the keys."""
     rows = _stored_cleaned(spark, sf_dir)
-    return star.orphan_facts(star.fact_rows(rows), *(_even_keys(rows, dim) for dim in DIMENSIONS))
+    seen = saved(star.seen_attributes(rows), "seen")
+    known = (_even_keys(star.dimension_of(seen, dim), dim) for dim in DIMENSIONS)
+    return star.orphan_facts(star.fact_rows(rows), *known)
 
 
 @_query
