@@ -22,8 +22,6 @@ LEARNT_ROLE = "assistant"
 # Characters that control strings begin with, and what stands for them inside texts (fixed values).
 ESCAPES = (("\\", "\\e"), ("<", "\\l"), ("[", "\\b"))
 _ROLE_ESCAPES = (*ESCAPES, ("\n", "\\n"))
-# Rounds of doubling: more than any path of messages can need.
-_MOST_ROUNDS = 40
 
 
 def escaped(text: Column, pairs=ESCAPES) -> Column:
@@ -62,11 +60,15 @@ def ways_up(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         ),
         "replies",
     )
-    stretches = []
-    for _ in range(_MOST_ROUNDS):
+    stretches, before = [], None
+    while True:
         pending = reach.filter(F.col("up").isNotNull())
-        if pending.isEmpty():
+        # While any message is on its way to a root, some arrive in each round: those whose
+        # number is left at the end go round in rings.
+        under_way = pending.count()
+        if under_way in (0, before):
             break
+        before = under_way
         stretches.append(pending.select("conv_id", "node", "up"))
         ahead = reach.select(
             F.col("conv_id").alias("c"),
@@ -128,6 +130,8 @@ def conversations(messages: DataFrame, paths: int = 1) -> DataFrame:
     are the places (start, end) of the escaped assistant texts in `formatted`, in code points.
     A conversation is one text, so its messages come together in one row.
     """
+    # Read several times, most of them without the texts.
+    messages = saved(messages.select("conv_id", "node", "parent", "score", "role", "text"), "messages")
     chosen = best_paths(messages, paths)
     texts = messages.select(
         F.col("conv_id").alias("c"),

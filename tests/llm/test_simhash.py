@@ -88,11 +88,6 @@ def test_links_at_every_distance(spark, hot_key):
 
 
 def test_chain_of_links_is_one_group(spark):
-    value, chain = 0, []
-    for step in range(30):
-        chain.append(value)
-        value |= (0xF << (step * 4 % 60)) if step < 15 else 0
-        value ^= 0x3 << 60 if step >= 15 and step % 2 else 0
     links = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
     assert {r["root"] for r in connected_components(links).collect()} == {0}
     assert connected_components(links).count() == 201
