@@ -24,6 +24,8 @@ DIMENSIONS = 1024
 SEED = 11
 # Documents of each language that its prototype is learnt from, about.
 SAMPLE_ROWS = 4_000
+# Languages that have a prototype: the most frequent ones, in case labels are not languages at all.
+LANGUAGES = 500
 UNKNOWN = "und"
 # Sequences whose vectors a worker keeps.
 _CACHED = 16_384
@@ -143,14 +145,16 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Prototypes:
     """Prototypes from documents with a language that are not held out.
 
     About `rows` documents of each language are taken, by a hash of the id; of a rarer language
-    all. Languages are labels, so their number is small; a table without them gives no prototype.
+    all. At most `LANGUAGES` are learnt, which bounds what reaches the driver; a table without any
+    gives no prototype.
     """
     labelled = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
         .filter(hash_bucket(F.col("doc_id"), 4) != 2)
     )
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["count"] for r in frequent.collect()}
     if not counts:
         return Prototypes((), np.zeros((0, DIMENSIONS)))
     shares = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, rows / n))))

@@ -228,3 +228,11 @@ def test_language_of_odd_documents(spark, prototypes):
     assert langid.identified(no_documents(spark), prototypes).isEmpty()
     nothing = langid.learn(no_documents(spark))
     assert {r["lang_pred"] for r in langid.identified(odd, nothing).collect()} == {"und"}
+
+
+def test_most_frequent_languages_are_learnt(spark, monkeypatch):
+    rows = [(i, words(i, 20), "ab"[i % 2] if i < 40 else "c", "s", 1) for i in range(44)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert langid.learn(docs).names == ("a", "b", "c")
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    assert langid.learn(docs).names == ("a", "b")
