@@ -156,7 +156,7 @@ def _bitmap(items: DataFrame) -> bytes:
     words = (
         items.select(
             F.shiftright(bit, 6).cast("int").alias("word"),
-            F.expr(f"shiftleft(1L, cast(item_window & {63} as int))").alias("mask"),
+            F.expr("shiftleft(1L, cast(item_window & 63 as int))").alias("mask"),
         )
         .groupBy("word")
         .agg(F.bit_or("mask").alias("mask"))

@@ -195,13 +195,14 @@ def pack(
     """`pieces` with the sequence_id and offset of each.
 
     Pieces are dealt evenly, whatever their ids, to groups of about `group_pieces`; each group is
-    packed by one task, longest pieces first, and numbers its own sequences. What remains open in a
+    packed by one task, longest pieces first and in a fixed order, and numbers its own sequences. What remains open in a
     group is a few sequences, so that more groups cost next to nothing. A full piece is a
     sequence by itself. Lengths must lie between 1 and `size`. An empty table gives an empty one.
     """
     total = pieces.count()
     groups = max(1, -(-total // group_pieces))
-    dealt = pieces.repartition(groups).sortWithinPartitions(F.desc("length"), *pieces.columns[:2])
+    order = [F.desc("length"), "doc_id", "piece", "start", "ids_crc32"]
+    dealt = pieces.repartition(groups).sortWithinPartitions(*order)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
     return dealt.mapInArrow(_pack_group(size), f"{schema}, sequence_id long, offset long")
 

@@ -202,10 +202,13 @@ def fit(sample: DataFrame, vocabulary: int = VOCABULARY) -> WordModel:
     known = F.broadcast(
         sample.sparkSession.createDataFrame(sorted(number.items()), "word string, number int")
     )
-    keyed = rows.withColumn("row", F.monotonically_increasing_id())
-    sides = keyed.select("row", "label", F.explode_outer("own").alias("word"), F.lit(0).alias("side"))
-    sides = sides.unionByName(
-        keyed.select("row", "label", F.explode("other").alias("word"), F.lit(1).alias("side"))
+    def marked(column: str, side: int) -> Column:
+        return F.transform(column, lambda w: F.struct(w.alias("word"), F.lit(side).alias("side")))
+
+    sides = (
+        rows.withColumn("row", F.monotonically_increasing_id())
+        .select("row", "label", F.explode_outer(F.concat(marked("own", 0), marked("other", 1))).alias("f"))
+        .select("row", "label", "f.word", "f.side")
     )
 
     def numbers(side: int) -> Column:
