@@ -1,9 +1,8 @@
 """Benchmark passages in documents, found by their templates.
 
 Numbers, names and units become typed placeholders, so that a question with other values has the
-same template. Windows of five template words are hash-joined; a window counts if its placeholders
-repeat alike on both sides, and an alignment of a document with an item counts if the values behind
-the placeholders correspond one to one.
+same template. Windows of five template words are hash-joined. In an alignment of a document with an
+item, a window counts if each of its values is unchanged or is always changed to the same value.
 """
 
 from __future__ import annotations
@@ -167,9 +166,15 @@ def _bitmap(items: DataFrame) -> bytes:
     return found.astype("<i8").tobytes()
 
 
-def _repeats(slots: Column) -> Column:
-    """Where each value first occurs: equal for two lists whose values repeat alike."""
-    return F.transform(slots, lambda s: F.array_position(slots, s))
+def _longest_run(places: Column) -> Column:
+    """The most places that follow one another in a sorted list of different ones."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def longer(state: Column, place: Column) -> Column:
+        run = F.when(place == state["last"] + 1, state["run"] + 1).otherwise(F.lit(1))
+        return F.struct(place.alias("last"), run.alias("run"), F.greatest(state["best"], run).alias("best"))
+
+    return F.aggregate(places, start, longer, lambda state: state["best"])
 
 
 def held_items(
@@ -187,28 +192,45 @@ def held_items(
     bitmap = spark.sparkContext.broadcast(_bitmap(items))
     texts = _keyed_texts(docs, "doc_id")
     hits = saved(texts.mapInArrow(_telling_windows(size, bitmap), WINDOWS), "hits")
-    met = (
-        hits.distinct()
-        .join(items, F.col("window") == F.col("item_window"))
-        .filter(_repeats(F.col("slots")) == _repeats(F.col("item_slots")))
-    )
+    met = hits.distinct().join(items, F.col("window") == F.col("item_window"))
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    one_met = F.struct(F.col("item_position").alias("place"), pairs.alias("pairs"))
     # In one alignment each place of the item meets one place of the text, so lists are short.
     aligned = (
         met.withColumn("shift", F.col("position") - F.col("item_position"))
         .groupBy("id", "content", "item_id", "item", "item_windows", "shift")
-        .agg(
-            F.collect_set("item_position").alias("places"),
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("values"),
+        .agg(F.sort_array(F.collect_set(one_met)).alias("met"))
+        .withColumn("values", F.sort_array(F.array_distinct(F.flatten("met.pairs"))))
+        # Values of the item that meet several values; equal ones are neighbours.
+        .withColumn(
+            "torn",
+            F.array_distinct(
+                F.filter(
+                    F.transform(
+                        "values",
+                        lambda v, i: F.when((i > 0) & (F.get("values", i - 1)["item"] == v["item"]), v["item"]),
+                    ),
+                    lambda v: v.isNotNull(),
+                )
+            ),
         )
     )
-    one_to_one = (F.size(F.array_distinct("values.item")) == F.size("values")) & (
-        F.size(F.array_distinct("values.doc")) == F.size("values")
+    unchanged = lambda v: v["item"] == v["doc"]
+    agrees = lambda v: unchanged(v) | ~F.array_contains("torn", v["item"])
+    aligned = (
+        aligned.withColumn("met", F.filter("met", lambda m: F.forall(m["pairs"], agrees)))
+        .withColumn("places", F.col("met.place"))
+        .withColumn("kept", F.size(F.filter("met", lambda m: F.forall(m["pairs"], unchanged))))
     )
-    changed = F.exists("values", lambda v: v["item"] != v["doc"])
+    # Where values disagree, unchanged windows are evidence, and changed ones that follow one another.
     per_item = (
-        aligned.filter(one_to_one)
-        .select("*", F.size("places").alias("aligned"), changed.alias("changed"))
+        aligned.select(
+            "*",
+            F.when(F.size("torn") == 0, F.size("places"))
+            .otherwise(F.greatest("kept", _longest_run(F.col("places"))))
+            .alias("aligned"),
+            F.exists("values", lambda v: ~unchanged(v)).alias("changed"),
+        )
         .withColumn("place", F.explode("places"))
         .groupBy("id", "content", "item_id", "item", "item_windows")
         .agg(

@@ -62,6 +62,27 @@ def test_other_values(spark):
     assert held(spark, texts) == {(0, 0): False, (1, 0): True, (3, 0): True}
 
 
+def test_one_conflict_costs_only_its_windows(spark):
+    w = words(11, 160).split()
+    w[2] = w[80] = "1990"
+    copy = [*w[:2], "1991", *w[3:]]
+    bag = (
+        "A bag holds 12 red marbles from the old shop and the other bag holds 30 blue marbles "
+        "that the children found there"
+    )
+    both = "The first box weighs 3 stones while the second large box weighs three stones when it is empty"
+    texts = [
+        " ".join(copy),
+        bag.replace("12", "14").replace("30", "14"),
+        both.replace("3", "5").replace("three", "5"),
+    ]
+    rows = decontam.contaminated(documents(spark, texts), benchmark(spark, [" ".join(w), bag, both])).collect()
+    found = {(r["doc_id"], r["item_id"]): (r["windows"], r["item_windows"]) for r in rows}
+    assert found.keys() == {(0, 0), (1, 1), (2, 2)}
+    assert found[0, 0] == (153, 156)
+    assert found[1, 1][0] == found[1, 1][1] and found[2, 2][0] == found[2, 2][1]
+
+
 def test_numbers_alone_are_no_evidence(spark):
     items = ["1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16", QUESTION]
     assert held(spark, ["21 22 23 24 25 26 27 28 29 30 31 32 33 34 35 36"], items) == {}
