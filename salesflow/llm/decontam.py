@@ -3,6 +3,7 @@
 Numbers, names and units become typed placeholders, so that a question with other values has the
 same template. Windows of five template words are hash-joined. In an alignment of a document with an
 item, a window counts if each of its values is unchanged or is always changed to the same value.
+Windows with too few other words, and items shorter than a window, are joined by their exact words.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from salesflow.llm.tables import text_of
 from salesflow.sources.workspace import saved
 
 WINDOW_WORDS = 5
-# Words of a window that are no placeholders; windows with fewer say nothing.
+# Words of a window that are no placeholders; windows with fewer only say something word for word.
 LEAST_LITERALS = 3
 # A document holds an item if it has this share of its windows, or as many in one alignment.
 SHARE = 0.8
@@ -51,7 +52,7 @@ _KINDS = {**dict.fromkeys(NUMBERS, 1), **dict.fromkeys(UNITS, 2), **dict.fromkey
 _WORDS = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[^\W_]")
 _CACHED_WORDS = 200_000
 
-WINDOWS = "id long, content long, position int, window long, slots array<string>, words int"
+WINDOWS = "id long, content long, position int, window long, slots array<string>, telling boolean, length int"
 
 
 class Templates:
@@ -59,45 +60,69 @@ class Templates:
 
     def __init__(self, size: int):
         self._size = size
-        self._cache: dict[str, tuple[int, int]] = {}
+        self._cache: dict[str, tuple[int, int, int]] = {}
         generator = np.random.default_rng(20)
         self._factors = generator.integers(1, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def _word(self, word: str) -> tuple[int, int]:
-        """The hash of a word or its placeholder, and the placeholder's kind or 0."""
+    def _word(self, word: str) -> tuple[int, int, int]:
+        """The hashes of a word or its placeholder and of the word, and the placeholder's kind or 0."""
         kind = 1 if word[0].isdigit() else _KINDS.get(word, 0)
-        found = (xxhash.xxh64_intdigest(f"<{kind}>" if kind else word), kind)
+        exact = xxhash.xxh64_intdigest(word)
+        found = (xxhash.xxh64_intdigest(f"<{kind}>") if kind else exact, exact, kind)
         if len(self._cache) >= _CACHED_WORDS:
             self._cache.clear()
         self._cache[word] = found
         return found
 
-    def windows(self, text: str):
-        """words, hashes of the windows, kinds of the words, and whether a window is telling."""
-        words = _WORDS.findall(text.lower())
-        count = len(words) - self._size + 1
-        if count < 1:
-            return words, np.zeros(0, np.uint64), None, np.zeros(0, bool)
-        cache = self._cache
-        pairs = [cache.get(w) or self._word(w) for w in words]
-        hashes = np.fromiter((p[0] for p in pairs), np.uint64, len(pairs))
-        kinds = np.fromiter((p[1] for p in pairs), np.int8, len(pairs))
+    def _hashes(self, words: np.ndarray, size: int) -> np.ndarray:
+        """The hashes of the windows of `size` words."""
+        count = len(words) - size + 1
         total = np.zeros(count, np.uint64)
-        literals = np.zeros(count, np.int8)
-        for k in range(self._size):
-            total += hashes[k : k + count] * self._factors[k]
-            literals += kinds[k : k + count] == 0
+        for k in range(size):
+            total += words[k : k + count] * self._factors[k]
         total ^= total >> np.uint64(29)
         total *= np.uint64(0xBF58476D1CE4E5B9)
         total ^= total >> np.uint64(32)
-        return words, total, kinds, literals >= min(LEAST_LITERALS, self._size)
+        return total
+
+    def windows(self, text: str, lengths=None):
+        """The words, their kinds, and (size, hashes, whether telling) of the windows.
+
+        Windows that are not telling have the hash of their exact words. Windows of fewer words are
+        made for the given lengths; without those, one of all words of a text shorter than `size`.
+        """
+        words = _WORDS.findall(text.lower())
+        cache = self._cache
+        found = [cache.get(w) or self._word(w) for w in words]
+        count = len(words) - self._size + 1
+        kinds = np.fromiter((p[2] for p in found), np.int8, len(found))
+        if lengths is None:
+            lengths = [len(words)] if 0 < len(words) < self._size else []
+        lengths = [n for n in lengths if n <= len(words)]
+        exact, windows = None, []
+        if count > 0:
+            hashes = self._hashes(np.fromiter((p[0] for p in found), np.uint64, len(found)), self._size)
+            literals = np.zeros(count, np.int8)
+            for k in range(self._size):
+                literals += kinds[k : k + count] == 0
+            telling = literals >= min(LEAST_LITERALS, self._size)
+            if lengths or not telling.all():
+                exact = np.fromiter((p[1] for p in found), np.uint64, len(found))
+                hashes = np.where(telling, hashes, self._hashes(exact, self._size))
+            windows.append((self._size, hashes, telling))
+        elif lengths:
+            exact = np.fromiter((p[1] for p in found), np.uint64, len(found))
+        for n in lengths:
+            hashes = self._hashes(exact, n)
+            windows.append((n, hashes, np.zeros(len(hashes), bool)))
+        return words, kinds, windows
 
 
 def _bit(windows: np.ndarray) -> np.ndarray:
     return windows & np.uint64(MAP_BITS - 1)
 
 
-def _telling_windows(size: int, bitmap=None):
+def _windows(size: int, bitmap=None, lengths=None):
     """Rows of `WINDOWS` for each text; with a bitmap only for windows that are in it."""
 
     def rows_of(batches):
@@ -107,16 +132,20 @@ def _telling_windows(size: int, bitmap=None):
             ids, contents = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
             for row, text in enumerate(batch.column(2)):
-                words, windows, kinds, telling = templates.windows(text.as_py())
-                if bits is not None and len(windows):
-                    at = _bit(windows)
-                    telling = telling & ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1)
-                for i in np.flatnonzero(telling).tolist():
-                    slots = [words[j] for j in range(i, i + size) if kinds[j]]
-                    rows.append((ids[row], contents[row], i, int(windows[i].view(np.int64)), slots, len(words)))
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(6)]
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32())
-            names = ["id", "content", "position", "window", "slots", "words"]
+                words, kinds, found = templates.windows(text.as_py(), lengths)
+                for length, windows, telling in found:
+                    places = range(len(windows))
+                    if bits is not None:
+                        at = _bit(windows)
+                        known = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        places = np.flatnonzero(known).tolist()
+                    for i in places:
+                        slots = [words[j] for j in range(i, i + length) if kinds[j]]
+                        window = int(windows[i].view(np.int64))
+                        rows.append((ids[row], contents[row], i, window, slots, bool(telling[i]), length))
+            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(7)]
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int32())
+            names = ["id", "content", "position", "window", "slots", "telling", "length"]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
             )
@@ -131,19 +160,19 @@ def _keyed_texts(rows: DataFrame, key: str) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """The telling windows of each item, and how many it has."""
-    found = saved(
-        _keyed_texts(benchmark, "item_id").mapInArrow(_telling_windows(size), WINDOWS), "items"
-    )
+    """The windows of each item, and how many it has, telling ones and all."""
+    found = saved(_keyed_texts(benchmark, "item_id").mapInArrow(_windows(size), WINDOWS), "items")
     windows = found.select(
         F.col("id").alias("item_id"),
         F.col("content").alias("item"),
         F.col("position").alias("item_position"),
         F.col("window").alias("item_window"),
         F.col("slots").alias("item_slots"),
+        F.col("telling").alias("item_tells"),
+        F.col("length").alias("item_length"),
     )
     counts = found.groupBy(F.col("id").alias("_id"), F.col("content").alias("_item")).agg(
-        F.count(F.lit(1)).alias("item_windows")
+        F.count(F.lit(1)).alias("item_windows"), F.count_if("telling").alias("item_telling")
     )
     same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item") == F.col("_item"))
     return windows.join(counts, same).drop("_id", "_item")
@@ -183,22 +212,27 @@ def held_items(
     """(doc_id, content, item_id, ...) for each document text that holds a benchmark item.
 
     A text is looked at as a whole. Of all its windows only those in the bounded map of benchmark
-    windows leave the task; the join then drops the map's accidental ones. Items and documents with
-    fewer than `size` words hold nothing and are in nothing, and so are NULL and empty texts. Equal
-    texts have equal findings, repeated rows one for each id. Items with equal id and text count once.
+    windows leave the task; the join then drops the map's accidental ones. An item with fewer than
+    `size` words is held by each text that has its words one after another. NULL and empty texts hold
+    nothing and are in nothing. Equal texts have equal findings, repeated rows one for each id. Items
+    with equal id and text count once. Windows that are not telling are of no use where values were
+    changed, so the share is taken of the telling windows too.
     """
     spark = docs.sparkSession
     items = saved(benchmark_windows(benchmark.select("item_id", "text").distinct(), size), "item_windows")
     bitmap = spark.sparkContext.broadcast(_bitmap(items))
     texts = _keyed_texts(docs, "doc_id")
-    hits = saved(texts.mapInArrow(_telling_windows(size, bitmap), WINDOWS), "hits")
+    # Lengths of the items that are shorter than a window, at most `size` - 1 numbers.
+    short = items.filter(F.col("item_length") < size).select("item_length").distinct()
+    lengths = sorted(r["item_length"] for r in short.collect())
+    hits = saved(texts.mapInArrow(_windows(size, bitmap, lengths), WINDOWS), "hits")
     met = hits.distinct().join(items, F.col("window") == F.col("item_window"))
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
-    one_met = F.struct(F.col("item_position").alias("place"), pairs.alias("pairs"))
+    one_met = F.struct(F.col("item_position").alias("place"), pairs.alias("pairs"), F.col("item_tells").alias("tells"))
     # In one alignment each place of the item meets one place of the text, so lists are short.
     aligned = (
         met.withColumn("shift", F.col("position") - F.col("item_position"))
-        .groupBy("id", "content", "item_id", "item", "item_windows", "shift")
+        .groupBy("id", "content", "item_id", "item", "item_windows", "item_telling", "shift")
         .agg(F.sort_array(F.collect_set(one_met)).alias("met"))
         .withColumn("values", F.sort_array(F.array_distinct(F.flatten("met.pairs"))))
         # Values of the item that meet several values; equal ones are neighbours.
@@ -231,15 +265,22 @@ def held_items(
             .alias("aligned"),
             F.exists("values", lambda v: ~unchanged(v)).alias("changed"),
         )
-        .withColumn("place", F.explode("places"))
-        .groupBy("id", "content", "item_id", "item", "item_windows")
+        .withColumn("one", F.explode(F.transform("met", lambda m: F.struct(m["place"], m["tells"]))))
+        .groupBy("id", "content", "item_id", "item", "item_windows", "item_telling")
         .agg(
-            F.countDistinct("place").cast("int").alias("windows"),
+            F.collect_set("one").alias("found"),
             F.max("aligned").alias("aligned"),
             F.max("changed").alias("other_values"),
         )
     )
-    found = (F.col("windows") >= share * F.col("item_windows")) | (F.col("aligned") >= ALIGNED_WINDOWS)
+    per_item = per_item.withColumn("windows", F.size("found")).withColumn(
+        "telling", F.size(F.filter("found", lambda w: w["tells"]))
+    )
+    found = (
+        (F.col("windows") >= share * F.col("item_windows"))
+        | ((F.col("item_telling") > 0) & (F.col("telling") >= share * F.col("item_telling")))
+        | (F.col("aligned") >= ALIGNED_WINDOWS)
+    )
     return per_item.filter(found).select(
         F.col("id").alias("doc_id"),
         "content",

@@ -88,6 +88,25 @@ def test_numbers_alone_are_no_evidence(spark):
     assert held(spark, ["21 22 23 24 25 26 27 28 29 30 31 32 33 34 35 36"], items) == {}
 
 
+def test_number_heavy_and_short_items_are_found_verbatim(spark):
+    items = [
+        "What is 17 * 23 + 5 * 8 - 4?",
+        "Compute 12 + 7, then 19 * 4, then 76 - 30, then 46 / 2.",
+        "Compute 81 / 9",
+        "Name the capital",
+    ]
+    changed = [re.sub("[0-9]+", lambda m: str(int(m[0]) + 1), t) for t in items[:3]]
+    texts = [*items, *(f"{words(i, 30)} {t} {words(9 - i, 30)}" for i, t in enumerate(items)), *changed]
+    texts += ["Compute 81", "Name a capital", words(5, 30)]
+    assert held(spark, texts, items) == {(i, i % 4): False for i in range(8)}
+
+
+def test_windows_of_numbers_cost_a_changed_item_nothing(spark):
+    item = "A large old wooden box weighs 12 kg and 14 kg with 3 5 7 cm sides"
+    text = re.sub("[0-9]+", lambda m: str(int(m[0]) + 100), item)
+    assert held(spark, [item, text], [item]) == {(0, 0): False, (1, 0): True}
+
+
 def test_part_of_an_item(spark):
     item = words(9, 40)
     w = item.split()
