@@ -4,11 +4,15 @@ Numbers, names and units become typed placeholders, so that a question with othe
 same template. Windows of five template words are hash-joined. In an alignment of a document with an
 item, a window counts if each of its values is unchanged or is always changed to the same value.
 Windows with too few other words, and items shorter than a window, are joined by their exact words.
+
+Texts are read twice: in lower case with listed names, and by their case, where other capitalised words
+are names too and number words of one number are one placeholder. A finding of either reading counts.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +52,75 @@ NAMES = (
     "george carol edward amanda jason melissa ryan deborah jacob stephanie alice bob tom anna emma "
     "olivia sophia liam noah lucas peter hans marie pierre juan carlos maria jose luis sofia"
 ).split()
+# Number words by what may follow them in one number, and their values.
+_UNIT, _TEEN, _TENS, _SCALE, _DIGITS, _AND = range(1, 7)
+_VALUES = {w: (_UNIT if 0 < n < 10 else _TEEN, n) for n, w in enumerate(NUMBERS[:20])}
+_VALUES |= {w: (_TENS, 20 + 10 * n) for n, w in enumerate(NUMBERS[20:28])}
+_VALUES |= dict(hundred=(_SCALE, 100), thousand=(_SCALE, 10**3), million=(_SCALE, 10**6))
+_VALUES |= dict(billion=(_SCALE, 10**9), dozen=(_SCALE, 12))
+# "half" is a number of its own.
+_PARTS = {"and": _AND, "half": 0} | {w: kind for w, (kind, _) in _VALUES.items()}
+_FOLLOWS = np.zeros((7, 7), bool)
+_FOLLOWS[_TENS, _UNIT] = True
+_FOLLOWS[[_UNIT, _TEEN, _TENS, _SCALE, _DIGITS], _SCALE] = True
+_FOLLOWS[_SCALE, [_UNIT, _TEEN, _TENS, _AND]] = True
+_FOLLOWS[_AND, [_UNIT, _TEEN, _TENS]] = True
 _KINDS = {**dict.fromkeys(NUMBERS, 1), **dict.fromkeys(UNITS, 2), **dict.fromkeys(NAMES, 3)}
-_WORDS = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[^\W_]")
+# Words, and what ends a sentence or begins a new one: the word after it says nothing by its capital.
+_ENDS = '.!?:;\n\r"“”„«»…'
+_TOKENS = re.compile(rf"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[^\W_]|[{_ENDS}]")
+_END_TOKENS = frozenset(_ENDS)
+_GROUPED = re.compile(r"[0-9]{1,3}(?:,[0-9]{3})+")
 _CACHED_WORDS = 200_000
+# Rows that leave a task at once, about.
+_ROWS = 10_000
+# Readings of a text; one row stands for both if they are equal.
+BOTH, LOWER, BY_CASE = -1, 0, 1
+
+WINDOWS = "id long, content long, position int, window long, slots array<string>, telling boolean, length int, reading int"
+
+
+def _value(words: list[str]) -> str:
+    """The number that a run of number words or digits says, in digits where that is clear."""
+    first = words[0]
+    if len(words) == 1 and first not in _VALUES:
+        return first.replace(",", "") if _GROUPED.fullmatch(first) else first
+    total, part = 0, 0
+    for word in words:
+        if word == "and":
+            continue
+        if word not in _VALUES:
+            digits = _value([word])
+            if not digits.isascii() or not digits.isdigit() or len(digits) > 18:
+                return " ".join(words)
+            part = int(digits)
+            continue
+        kind, value = _VALUES[word]
+        if kind != _SCALE:
+            part += value
+        elif value in (12, 100):
+            part = (part or 1) * value
+        else:
+            total, part = total + (part or 1) * value, 0
+    return str(total + part)
+
+
+@dataclass(frozen=True)
+class Reading:
+    """The words of a text, their hashes, those of their placeholders, and the kinds.
+
+    The words are tokens at the given places in lower case, but for numbers in digits.
+    """
+
+    tokens: list[str]
+    places: np.ndarray
+    exact: np.ndarray
+    template: np.ndarray
+    kinds: np.ndarray
+    numbers: dict[int, str]
 
-WINDOWS = "id long, content long, position int, window long, slots array<string>, telling boolean, length int"
+    def word(self, at: int) -> str:
+        return self.numbers.get(at) or self.tokens[self.places[at]].lower()
 
 
 class Templates:
@@ -60,19 +128,88 @@ class Templates:
 
     def __init__(self, size: int):
         self._size = size
-        self._cache: dict[str, tuple[int, int, int]] = {}
+        self._cache: dict[str, int] = {}
+        # Of each word in the cache: hashes of the word and of its placeholder, kind, part of a
+        # number, whether it is capitalised and whether it ends a sentence.
+        self._exact, self._template = np.zeros((2, 1024), np.uint64)
+        self._kind, self._number, self._capital, self._end = np.zeros((4, 1024), np.int8)
+        self._placeholders = [xxhash.xxh64_intdigest(f"<{kind}>") for kind in range(4)]
         generator = np.random.default_rng(20)
         self._factors = generator.integers(1, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def _word(self, word: str) -> tuple[int, int, int]:
-        """The hashes of a word or its placeholder and of the word, and the placeholder's kind or 0."""
-        kind = 1 if word[0].isdigit() else _KINDS.get(word, 0)
-        exact = xxhash.xxh64_intdigest(word)
-        found = (xxhash.xxh64_intdigest(f"<{kind}>") if kind else exact, exact, kind)
-        if len(self._cache) >= _CACHED_WORDS:
-            self._cache.clear()
-        self._cache[word] = found
-        return found
+    def _add(self, tokens: set[str]) -> None:
+        if len(self._cache) + len(tokens) > len(self._exact):
+            for name in ("_exact", "_template", "_kind", "_number", "_capital", "_end"):
+                old = getattr(self, name)
+                new = np.zeros(2 * (len(old) + len(tokens)), old.dtype)
+                new[: len(old)] = old
+                setattr(self, name, new)
+        tokens = list(tokens)
+        words = [t.lower() for t in tokens]
+        kinds = [1 if w[0].isdigit() else _KINDS.get(w, 0) for w in words]
+        exact = [xxhash.xxh64_intdigest(w) for w in words]
+        at = slice(len(self._cache), len(self._cache) + len(tokens))
+        self._exact[at], self._kind[at] = exact, kinds
+        self._template[at] = [self._placeholders[k] if k else e for k, e in zip(kinds, exact, strict=True)]
+        self._number[at] = [_PARTS.get(w, _DIGITS if k == 1 else 0) for w, k in zip(words, kinds, strict=True)]
+        self._capital[at] = [
+            t[0].isupper() and len(t) > 1 and not k
+            for t, w, k in zip(tokens, words, kinds, strict=True)
+        ]
+        self._end[at] = [t in _END_TOKENS for t in tokens]
+        self._cache.update(zip(tokens, range(at.start, at.stop), strict=True))
+
+    def _places(self, tokens: list[str]) -> np.ndarray:
+        """The number of each token in the cache."""
+        try:
+            return np.fromiter(map(self._cache.__getitem__, tokens), np.int64, len(tokens))
+        except KeyError:
+            if len(self._cache) > _CACHED_WORDS:
+                self._cache.clear()
+            self._add(set(tokens).difference(self._cache))
+            return np.fromiter(map(self._cache.__getitem__, tokens), np.int64, len(tokens))
+
+    def readings(self, text: str) -> list[Reading]:
+        """The text in lower case with listed names, and by its case if that differs."""
+        tokens = _TOKENS.findall(text.replace("İ", "i̇"))
+        at = self._places(tokens)
+        ends = self._end[at]
+        places = np.flatnonzero(ends == 0)
+        at = at[places]
+        kinds = self._kind[at]
+        plain = Reading(tokens, places, self._exact[at], self._template[at], kinds, {})
+        capitals = np.flatnonzero(self._capital[at])
+        starts = (places[capitals] == 0) | (ends[places[capitals] - 1] == 1)
+        names = capitals[~starts]
+        if len(names) and len(names) < len(capitals):
+            names = capitals[np.isin(at[capitals], at[names])]
+        numbers = np.flatnonzero(kinds == 1)
+        if not len(names) and not any(
+            tokens[i].lower() in _VALUES or _GROUPED.fullmatch(tokens[i]) for i in places[numbers].tolist()
+        ):
+            return [plain]
+        kinds, template = kinds.copy(), plain.template.copy()
+        kinds[names], template[names] = 3, self._placeholders[3]
+        first = np.arange(len(at))
+        if len(numbers):
+            first = np.flatnonzero(~self._joined(self._number[at], np.diff(places) > 1))
+        exact, template, kinds = plain.exact[first], template[first], kinds[first]
+        last = np.append(first[1:], len(at))
+        values = {}
+        for i in np.flatnonzero(kinds == 1).tolist():
+            values[i] = _value([tokens[j].lower() for j in places[first[i] : last[i]].tolist()])
+            exact[i] = xxhash.xxh64_intdigest(values[i])
+        return [plain, Reading(tokens, places[first], exact, template, kinds, values)]
+
+    def _joined(self, numbers: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        """Which words belong to the number that the word before them is part of."""
+        joined = np.append(False, _FOLLOWS[numbers[:-1], numbers[1:]] & ~apart)
+        # "and" only joins a number on both sides of it.
+        ands = np.flatnonzero(numbers == _AND)
+        loose = ands[~(joined[ands] & np.append(joined, False)[ands + 1])]
+        joined[loose] = False
+        joined[loose[loose + 1 < len(joined)] + 1] = False
+        return joined
 
     def _hashes(self, words: np.ndarray, size: int) -> np.ndarray:
         """The hashes of the windows of `size` words."""
@@ -85,37 +222,31 @@ class Templates:
         total ^= total >> np.uint64(32)
         return total
 
-    def windows(self, text: str, lengths=None):
-        """The words, their kinds, and (size, hashes, whether telling) of the windows.
-
-        Windows that are not telling have the hash of their exact words. Windows of fewer words are
-        made for the given lengths; without those, one of all words of a text shorter than `size`.
+    def windows(self, read: Reading) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the windows, of their exact words if they are not telling, and which are."""
+        count = len(read.kinds) - self._size + 1
+        if count < 1:
+            return np.zeros(0, np.uint64), np.zeros(0, bool)
+        hashes = self._hashes(read.template, self._size)
+        if not read.kinds.any():
+            return hashes, np.ones(count, bool)
+        literals = np.zeros(count, np.int8)
+        for k in range(self._size):
+            literals += read.kinds[k : k + count] == 0
+        telling = literals >= min(LEAST_LITERALS, self._size)
+        if not telling.all():
+            hashes = np.where(telling, hashes, self._hashes(read.exact, self._size))
+        return hashes, telling
+
+    def short_windows(self, read: Reading, lengths=None) -> list[tuple[int, np.ndarray]]:
+        """Hashes of the exact words of windows of the given lengths, all below `size`.
+
+        Without lengths there is one window, of all words of a text shorter than `size`.
         """
-        words = _WORDS.findall(text.lower())
-        cache = self._cache
-        found = [cache.get(w) or self._word(w) for w in words]
-        count = len(words) - self._size + 1
-        kinds = np.fromiter((p[2] for p in found), np.int8, len(found))
+        count = len(read.kinds)
         if lengths is None:
-            lengths = [len(words)] if 0 < len(words) < self._size else []
-        lengths = [n for n in lengths if n <= len(words)]
-        exact, windows = None, []
-        if count > 0:
-            hashes = self._hashes(np.fromiter((p[0] for p in found), np.uint64, len(found)), self._size)
-            literals = np.zeros(count, np.int8)
-            for k in range(self._size):
-                literals += kinds[k : k + count] == 0
-            telling = literals >= min(LEAST_LITERALS, self._size)
-            if lengths or not telling.all():
-                exact = np.fromiter((p[1] for p in found), np.uint64, len(found))
-                hashes = np.where(telling, hashes, self._hashes(exact, self._size))
-            windows.append((self._size, hashes, telling))
-        elif lengths:
-            exact = np.fromiter((p[1] for p in found), np.uint64, len(found))
-        for n in lengths:
-            hashes = self._hashes(exact, n)
-            windows.append((n, hashes, np.zeros(len(hashes), bool)))
-        return words, kinds, windows
+            lengths = [count] if 0 < count < self._size else []
+        return [(n, self._hashes(read.exact, n)) for n in lengths if n <= count]
 
 
 def _bit(windows: np.ndarray) -> np.ndarray:
@@ -125,6 +256,13 @@ def _bit(windows: np.ndarray) -> np.ndarray:
 def _windows(size: int, bitmap=None, lengths=None):
     """Rows of `WINDOWS` for each text; with a bitmap only for windows that are in it."""
 
+    def as_batch(rows):
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(8)]
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()))
+        types += (pa.bool_(), pa.int32(), pa.int32())
+        names = ["id", "content", "position", "window", "slots", "telling", "length", "reading"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
     def rows_of(batches):
         templates = Templates(size)
         bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
@@ -132,23 +270,27 @@ def _windows(size: int, bitmap=None, lengths=None):
             ids, contents = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
             for row, text in enumerate(batch.column(2)):
-                words, kinds, found = templates.windows(text.as_py(), lengths)
-                for length, windows, telling in found:
+                if len(rows) >= _ROWS:
+                    yield as_batch(rows)
+                    rows = []
+                readings = templates.readings(text.as_py())
+                numbers = (LOWER, BY_CASE) if len(readings) > 1 else (BOTH,)
+                made = [(size, n, r, *templates.windows(r)) for n, r in zip(numbers, readings, strict=True)]
+                for length, windows in templates.short_windows(readings[0], lengths):
+                    made.append((length, numbers[0], readings[0], windows, np.zeros(len(windows), bool)))
+                for length, number, read, windows, telling in made:
                     places = range(len(windows))
                     if bits is not None:
                         at = _bit(windows)
                         known = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
                         places = np.flatnonzero(known).tolist()
                     for i in places:
-                        slots = [words[j] for j in range(i, i + length) if kinds[j]]
+                        slots = [read.word(j) for j in range(i, i + length) if read.kinds[j]]
                         window = int(windows[i].view(np.int64))
-                        rows.append((ids[row], contents[row], i, window, slots, bool(telling[i]), length))
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(7)]
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.bool_(), pa.int32())
-            names = ["id", "content", "position", "window", "slots", "telling", "length"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
-            )
+                        rows.append(
+                            (ids[row], contents[row], i, window, slots, bool(telling[i]), length, number)
+                        )
+            yield as_batch(rows)
 
     return rows_of
 
@@ -170,12 +312,15 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFra
         F.col("slots").alias("item_slots"),
         F.col("telling").alias("item_tells"),
         F.col("length").alias("item_length"),
+        F.col("reading").alias("item_reading"),
     )
-    counts = found.groupBy(F.col("id").alias("_id"), F.col("content").alias("_item")).agg(
+    keys = (F.col("id").alias("_id"), F.col("content").alias("_item"), F.col("reading").alias("_reading"))
+    counts = found.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("item_windows"), F.count_if("telling").alias("item_telling")
     )
     same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item") == F.col("_item"))
-    return windows.join(counts, same).drop("_id", "_item")
+    same &= F.col("item_reading") == F.col("_reading")
+    return windows.join(counts, same).drop("_id", "_item", "_reading")
 
 
 def _bitmap(items: DataFrame) -> bytes:
@@ -209,7 +354,7 @@ def _longest_run(places: Column) -> Column:
 def held_items(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: float = SHARE
 ) -> DataFrame:
-    """(doc_id, content, item_id, ...) for each document text that holds a benchmark item.
+    """(doc_id, content, item_id, ...) for each document text that holds a benchmark item, by reading.
 
     A text is looked at as a whole. Of all its windows only those in the bounded map of benchmark
     windows leave the task; the join then drops the map's accidental ones. An item with fewer than
@@ -226,13 +371,23 @@ def held_items(
     short = items.filter(F.col("item_length") < size).select("item_length").distinct()
     lengths = sorted(r["item_length"] for r in short.collect())
     hits = saved(texts.mapInArrow(_windows(size, bitmap, lengths), WINDOWS), "hits")
-    met = hits.distinct().join(items, F.col("window") == F.col("item_window"))
-    pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
+    either = (F.col("reading") == BOTH) | (F.col("item_reading") == BOTH)
+    same = (F.col("window") == F.col("item_window")) & (either | (F.col("reading") == F.col("item_reading")))
+    met = (
+        hits.distinct()
+        .join(items, same)
+        .withColumn("reading", F.greatest("reading", "item_reading"))
+    )
+    pair = lambda a, b: F.struct(a.alias("item"), b.alias("doc"))
+    # Windows that are not telling on both sides met by their exact words, whatever the kinds of those.
+    pairs = F.when(
+        F.col("item_tells") & F.col("telling"), F.zip_with("item_slots", "slots", pair)
+    ).otherwise(F.transform("item_slots", lambda a: pair(a, a)))
     one_met = F.struct(F.col("item_position").alias("place"), pairs.alias("pairs"), F.col("item_tells").alias("tells"))
     # In one alignment each place of the item meets one place of the text, so lists are short.
     aligned = (
         met.withColumn("shift", F.col("position") - F.col("item_position"))
-        .groupBy("id", "content", "item_id", "item", "item_windows", "item_telling", "shift")
+        .groupBy("id", "content", "item_id", "item", "reading", "item_windows", "item_telling", "shift")
         .agg(F.sort_array(F.collect_set(one_met)).alias("met"))
         .withColumn("values", F.sort_array(F.array_distinct(F.flatten("met.pairs"))))
         # Values of the item that meet several values; equal ones are neighbours.
@@ -266,7 +421,7 @@ def held_items(
             F.exists("values", lambda v: ~unchanged(v)).alias("changed"),
         )
         .withColumn("one", F.explode(F.transform("met", lambda m: F.struct(m["place"], m["tells"]))))
-        .groupBy("id", "content", "item_id", "item", "item_windows", "item_telling")
+        .groupBy("id", "content", "item_id", "item", "reading", "item_windows", "item_telling")
         .agg(
             F.collect_set("one").alias("found"),
             F.max("aligned").alias("aligned"),
@@ -276,9 +431,11 @@ def held_items(
     per_item = per_item.withColumn("windows", F.size("found")).withColumn(
         "telling", F.size(F.filter("found", lambda w: w["tells"]))
     )
+    # By case, an item with capitals all over has few telling windows, which alone say little.
+    least = F.when(F.col("reading") != BY_CASE, F.lit(1)).otherwise(F.col("item_windows") / 2)
     found = (
         (F.col("windows") >= share * F.col("item_windows"))
-        | ((F.col("item_telling") > 0) & (F.col("telling") >= share * F.col("item_telling")))
+        | ((F.col("item_telling") >= least) & (F.col("telling") >= share * F.col("item_telling")))
         | (F.col("aligned") >= ALIGNED_WINDOWS)
     )
     return per_item.filter(found).select(
@@ -294,13 +451,15 @@ def held_items(
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows found, windows of the item, and whether values were changed.
 
-    A row for each document and item in it; documents without any have none.
+    A row for each document and item in it; documents without any have none. The windows are those of
+    the reading that finds the larger share.
     """
     found = held_items(docs, benchmark)
-    return found.groupBy("doc_id", "item_id").agg(
-        F.max("windows").alias("windows"),
-        F.max("item_windows").alias("item_windows"),
-        F.max("other_values").alias("other_values"),
+    best = F.struct(F.col("windows") / F.col("item_windows"), "windows", "item_windows")
+    return (
+        found.groupBy("doc_id", "item_id")
+        .agg(F.max(best).alias("best"), F.max("other_values").alias("other_values"))
+        .select("doc_id", "item_id", "best.windows", "best.item_windows", "other_values")
     )
 
 

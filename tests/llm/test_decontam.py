@@ -99,6 +99,8 @@ def test_number_heavy_and_short_items_are_found_verbatim(spark):
     texts = [*items, *(f"{words(i, 30)} {t} {words(9 - i, 30)}" for i, t in enumerate(items)), *changed]
     texts += ["Compute 81", "Name a capital", words(5, 30)]
     assert held(spark, texts, items) == {(i, i % 4): False for i in range(8)}
+    row = decontam.contaminated(documents(spark, items[:1]), benchmark(spark, items[:1])).first()
+    assert (row["windows"], row["item_windows"]) == (3, 3)
 
 
 def test_windows_of_numbers_cost_a_changed_item_nothing(spark):
@@ -107,6 +109,45 @@ def test_windows_of_numbers_cost_a_changed_item_nothing(spark):
     assert held(spark, [item, text], [item]) == {(0, 0): False, (1, 0): True}
 
 
+def test_names_that_are_not_listed_and_numbers_of_several_words(spark):
+    arjun = (
+        "Arjun has 12 small marbles in the box. Arjun gives Meera 5 of them. How many marbles does Arjun "
+        "still have?"
+    )
+    train = (
+        "The train carries twenty-five boxes, and every box weighs one hundred and five kg, so the whole "
+        "load is heavy"
+    )
+    kofi = arjun.replace("Arjun", "Kofi").replace("Meera", "Ines").replace("12", "9")
+    texts = [
+        kofi,
+        f"{words(1, 20)}. {kofi} {words(2, 20)}",
+        arjun.lower(),
+        kofi.replace("does Kofi", "does Wanjiru").replace("How many", "What"),
+        train.replace("twenty-five", "25").replace("one hundred and five", "105"),
+        train.replace("twenty-five", "1,200").replace("one hundred and five", "7"),
+        train.upper(),
+    ]
+    assert held(spark, texts, [arjun, train]) == {
+        (0, 0): True, (1, 0): True, (2, 0): False, (4, 1): False, (5, 1): True, (6, 1): False
+    }
+
+
+def test_values_of_numbers():
+    for said, value in {
+        "twenty five": "25", "one hundred and five": "105", "five million": "5000000", "two dozen": "24",
+        "3 thousand two hundred": "3200", "5,000": "5000", "3.5": "3.5", "3.5 million": "3.5 million",
+        "hundred": "100", "half": "half",
+    }.items():
+        assert decontam._value(said.split()) == value
+    templates = decontam.Templates(5)
+    said = lambda text: [[r.word(i) for i in range(len(r.kinds))] for r in templates.readings(text)]
+    assert said("one two three and four")[1] == ["1", "2", "3", "and", "4"]
+    assert said("a hundred and many")[1] == ["a", "100", "and", "many"]
+    assert said("a hundred. Five")[1] == ["a", "100", "5"]
+    assert said("") == [[]] and len(said("no capitals. None")) == 1
+
+
 def test_part_of_an_item(spark):
     item = words(9, 40)
     w = item.split()
