@@ -36,17 +36,23 @@ def digest(text: Column) -> Column:
 
 def known(spark: SparkSession, texts=TEXTS) -> DataFrame:
     """(license, digest) of the given texts: one row for each digest."""
-    rows = rows_of(spark, "license string, text string", list(texts))
+    return digests(rows_of(spark, "license string, text string", list(texts)))
+
+
+def digests(texts: DataFrame) -> DataFrame:
+    """(license, digest) of a table (license, text): one row for each digest."""
+    rows = texts.select("license", "text").filter(canonical(F.col("text")) != "")
     return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
 
 
-def scanned(docs: DataFrame) -> DataFrame:
+def scanned(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """doc_id, canonical_sha256, license and notices for each row of documents.
 
     `license` is the licence whose text the whole document is, else NULL; `notices` lists the
     licences named by lines of their own, sorted, comma-joined, else empty. A text without words,
     NULL included, has the digest of the empty text and is no licence. Repeated rows are
-    scanned alike. The known digests are a fixed few, so they are broadcast.
+    scanned alike. The known digests are a fixed few, so they are broadcast. A table (license, text)
+    of other known texts takes their place, of any size.
     """
     spark = docs.sparkSession
     notices = known(spark, NOTICES).collect()
@@ -67,8 +73,8 @@ def scanned(docs: DataFrame) -> DataFrame:
         .otherwise("")
         .alias("notices"),
     )
-    texts = known(spark).withColumnRenamed("digest", "canonical_sha256")
-    return rows.join(F.broadcast(texts), "canonical_sha256", "left").select(
+    whole = F.broadcast(known(spark)) if texts is None else digests(texts)
+    return rows.join(whole.withColumnRenamed("digest", "canonical_sha256"), "canonical_sha256", "left").select(
         "doc_id", "canonical_sha256", "license", "notices"
     )
 

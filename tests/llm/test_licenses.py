@@ -40,6 +40,14 @@ def test_whole_texts_only(spark):
     assert scanned(spark, [mit + " And more.", mit[:-20], "MIT"]) == [(None, "")] * 3
 
 
+def test_other_known_texts(spark):
+    own = [("Own-1.0", "You may do\nas you like."), ("Own-0", ""), ("Own-0", None)]
+    texts = spark.createDataFrame(own, "license string, text string")
+    docs = documents(spark, ["YOU MAY DO, as you like!", "You may not.", "", TEXTS[0][1]])
+    rows = licenses.scanned(docs, texts).orderBy("doc_id").collect()
+    assert [r["license"] for r in rows] == ["Own-1.0", None, None, None]
+
+
 def test_notice_lines(spark):
     lines = [f"Some text.\n{line}\nMore." for _, line in NOTICES]
     assert [n for _, n in scanned(spark, lines)] == [n for n, _ in NOTICES]
