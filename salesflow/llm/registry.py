@@ -17,6 +17,7 @@ from salesflow.llm import (
     pii,
     quality,
     simhash,
+    spelling,
     toxicity,
 )
 from salesflow.llm.tables import table
@@ -101,3 +102,11 @@ def op9_neighbours(spark, sf_dir):
 @_query
 def op10_packing(spark, sf_dir):
     return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_spelling(spark, sf_dir):
+    return spelling.variant_groups(table(spark, sf_dir, "documents"), spelling.DAMAGED_SHARE)
+
+
+_ORACLES["op11_spelling"] = spelling.ORACLE_SQL

@@ -22,6 +22,7 @@ COLUMNS = {
     "op8_quality": "doc_id held_out score predicted",
     "op9_neighbours": "query_id rank vec_id score",
     "op10_packing": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op11_spelling": "word form root n n_near form_n",
 }
 
 
