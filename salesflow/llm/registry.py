@@ -12,10 +12,12 @@ from salesflow.llm import (
     decontam,
     langid,
     licenses,
+    minhash,
     neighbours,
     packing,
     pii,
     quality,
+    repair,
     simhash,
     spelling,
     toxicity,
@@ -110,3 +112,19 @@ def op11_spelling(spark, sf_dir):
 
 
 _ORACLES["op11_spelling"] = spelling.ORACLE_SQL
+
+
+@_query
+def op12_repair(spark, sf_dir):
+    return repair.audited(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+_ORACLES["op12_repair"] = repair.ORACLE_SQL
+
+
+@_query
+def op13_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_ORACLES["op13_minhash"] = minhash.ORACLE_SQL

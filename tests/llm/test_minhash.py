@@ -1,0 +1,155 @@
+"""Sketches against their definition, and groups against all pairs."""
+
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from salesflow.llm import minhash
+from salesflow.llm.tables import table
+
+from .samples import SF, documents, no_documents, odd_documents, words
+
+
+def plain_set(text, size=5):
+    text = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {tuple(found[i : i + size]) for i in range(max(1, len(found) - size + 1))} if found else set()
+
+
+def plain_groups(rows, percent=85):
+    """(doc_id, n, component, kept) of all rows, over all pairs of different sets."""
+    sets = [frozenset(plain_set(t)) for _, t in rows]
+    nodes = [s for s in dict.fromkeys(sets) if s]
+    root = {s: s for s in nodes}
+
+    def find(s):
+        while root[s] != s:
+            s = root[s]
+        return s
+
+    for i, s in enumerate(nodes):
+        for t in nodes[:i]:
+            if 100 * len(s & t) >= percent * len(s | t):
+                root[find(s)] = find(t)
+    lowest = {}
+    for (doc_id, _), s in zip(rows, sets, strict=True):
+        if s and doc_id is not None:
+            lowest[find(s)] = min(doc_id, lowest.get(find(s), doc_id))
+    for (doc_id, _), s in zip(rows, sets, strict=True):
+        component = lowest.get(find(s)) if s else doc_id
+        yield doc_id, len(s), component, doc_id is not None and doc_id == component
+
+
+def collected(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def check(spark, rows):
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    assert collected(minhash.near_duplicates(docs)) == sorted(plain_groups(rows), key=str)
+
+
+def changed(text, seed, count):
+    found, rng = text.split(), np.random.default_rng(seed)
+    for at in rng.choice(len(found), count, replace=False):
+        found[at] = f"w{seed}x{at}"
+    return " ".join(found)
+
+
+def test_every_coordinate_fills():
+    shingles = minhash.Shingles()
+    sets = [shingles.of(words(i, n)) for i, n in enumerate([1, 4, 5, 6, 20, 500, 3000])]
+    filled = minhash.sketches(sets)
+    assert (filled != minhash._EMPTY).all()
+    # Each alone gives the same, so that a batch changes nothing.
+    assert all((minhash.sketches([s])[0] == row).all() for s, row in zip(sets, filled, strict=True))
+
+
+def test_sketches_by_definition():
+    own = minhash.Shingles().of(words(3, 12))
+    t, row = 16, {}
+    for turn in range(2 * t):
+        for x in minhash._mixed(own + np.uint64((turn + 1) * minhash._GOLDEN & minhash._MASK)).tolist():
+            place = ((x >> 40) * t >> 24) if turn < t else turn - t
+            row[place] = min(row.get(place, 1 << 64), (turn << 40) | (x & (1 << 40) - 1))
+        if len(row) == t:
+            break
+    assert minhash.sketches([own], t)[0].tolist() == [row[i] for i in range(t)]
+
+
+def test_agreement_estimates_similarity():
+    base, shingles = words(9, 300), minhash.Shingles()
+    for count in (2, 6, 15):
+        a, b = shingles.of(base), shingles.of(changed(base, count, count))
+        similarity = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        x, y = minhash.sketches([a, b])
+        assert abs((x == y).mean() - similarity) < 0.12
+        bits = minhash.bits_of(np.stack([x, y]))
+        differing = sum(int(v).bit_count() for v in (bits[0] ^ bits[1]).view(np.uint64))
+        assert differing <= (x != y).sum()
+
+
+@pytest.mark.parametrize("text", ["", " \n", "one", "A b", "a B c d e", "x\x0by z\x85w ü Ü İ v u", words(1, 500) * 3])
+def test_shingles_of_definition(text):
+    assert len(minhash.Shingles().of(text)) == len(plain_set(text))
+
+
+def test_groups_of_copies_at_all_distances(spark):
+    rows, ids = [], iter(range(1000))
+    for group in range(6):
+        base = words(group, 130)
+        rows += [(next(ids), changed(base, 100 * group + i, i % 9)) for i in range(12)]
+        rows += [(next(ids), base.upper()), (next(ids), base)]
+    rows += [(next(ids), words(50 + i, 60)) for i in range(20)]
+    check(spark, rows)
+
+
+def test_chains_and_stars(spark):
+    base = words(77, 200)
+    found = base.split()
+    chain = [" ".join([f"c{i}" for i in range(step)] + found[step:]) for step in range(0, 60, 4)]
+    star = [changed(base + " end", 900 + i, 2 + i % 3) for i in range(40)]
+    check(spark, list(enumerate(chain + star)))
+
+
+def test_border_of_similarity(spark):
+    base = [f"b{i}" for i in range(104)]  # 100 shingles
+    near = [" ".join(base[: 104 - n]) for n in (14, 15, 16)]  # 86, 85 and 84 of 100
+    for text in near:
+        check(spark, [(3, " ".join(base)), (8, text)])
+
+
+def test_odd_documents(spark):
+    odd = odd_documents(spark)
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    assert collected(minhash.near_duplicates(odd)) == sorted(plain_groups(rows), key=str)
+
+
+def test_repeated_ids_of_different_texts_stay_apart(spark):
+    a, b = words(1, 40), words(2, 40)
+    check(spark, [(4, a), (4, b), (6, b), (5, a), (None, a), (None, words(3, 40)), (7, "x y"), (8, "X  Y"), (9, "x y z")])
+
+
+def test_no_documents(spark):
+    assert minhash.near_duplicates(no_documents(spark)).collect() == []
+
+
+def test_sql_on_odd_texts(spark):
+    texts = [None, "", " \t", "a B c", "A b C", "one two three four five", "one  two three four FIVE\x0b", words(4, 90)]
+    texts += [changed(words(4, 90), i, 1 + i) for i in range(4)]
+    connection = duckdb.connect()
+    connection.sql("create table documents (doc_id bigint, text varchar)")
+    connection.executemany("insert into documents values (?, ?)", list(enumerate(texts)))
+    found = minhash.near_duplicates(documents(spark, texts))
+    assert collected(found) == sorted(connection.sql(minhash.ORACLE_SQL).fetchall(), key=str)
+
+
+def test_whole_table_against_all_pairs(spark):
+    docs = table(spark, SF, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = minhash.near_duplicates(docs)
+    assert collected(found) == sorted(plain_groups(rows), key=str)
+    assert found.filter(~F.col("kept")).count() > 0

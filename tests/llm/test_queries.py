@@ -23,6 +23,8 @@ COLUMNS = {
     "op9_neighbours": "query_id rank vec_id score",
     "op10_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op11_spelling": "word form root n n_near form_n",
+    "op12_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op13_minhash": "doc_id n_shingles component_id kept",
 }
 
 
