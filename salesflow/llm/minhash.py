@@ -8,8 +8,9 @@ concentration as for independent samples, in time t log t + shingles instead of
 
 Texts with equal sets are one class. Classes with a band of equal coordinates share a bucket. In
 each bucket all classes are first compared with its pivot, the class that shares the most buckets, which
-takes no pairs; what then still lies in different components is compared pair by pair, on the same
-full sets, where sketches and shared shingles leave the required similarity possible.
+takes no pairs. What then still lies in different components is compared pair by pair, on the same full
+sets, but only where sketches, the overlaps of both with the pivot, and the shingles that they share with
+anybody leave the required similarity possible.
 """
 
 from __future__ import annotations
@@ -221,17 +222,20 @@ def _plausible(a: str, b: str, percent: int) -> Column:
     return (100 * small >= percent * large) & (differing <= math.ceil(most))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough."""
+def _with_common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes with the number of shingles of their full sets: n, m and common."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    common = F.size(F.array_intersect("of_a", "of_b"))
     both = pairs.join(right, "b").join(left, "a")
-    return both.filter(_similar(common, F.size("of_a"), F.size("of_b"), percent)).select("a", "b")
+    return both.select(
+        "a", "b", F.size("of_a").alias("n"), F.size("of_b").alias("m"),
+        F.size(F.array_intersect("of_a", "of_b")).alias("common"),
+    )
 
 
-def _pair(first: str, second: str) -> list[Column]:
-    return [F.least(first, second).alias("a"), F.greatest(first, second).alias("b")]
+def _links_of(counted: DataFrame, percent: int) -> DataFrame:
+    similar = counted.filter(_similar(F.col("common"), F.col("n"), F.col("m"), percent))
+    return similar.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _with_shared(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -241,10 +245,17 @@ def _with_shared(members: DataFrame, sets: DataFrame) -> DataFrame:
     alone = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.first("node").alias("node"))
     alone = alone.filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
     return members.join(alone, F.col("member.node") == alone["node"], "left").select(
-        "key", "member", "root", (F.col("member.n") - F.coalesce("alone", F.lit(0))).alias("shared")
+        *members.columns, (F.col("member.n") - F.coalesce("alone", F.lit(0))).alias("shared")
     )
 
 
+def _most_common(x: str, y: str) -> Column:
+    """No more shingles can be common: of the pivot's not more than either has, and of all others
+    not more than either shares with anybody."""
+    outside = [F.col(f"{z}.shared") - F.col(f"{z}.of_pivot") for z in (x, y)]
+    return F.least(f"{x}.of_pivot", f"{y}.of_pivot") + F.least(*outside)
+
+
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) that connect all similar classes; every one is verified on full sets."""
     keyed = classes.select("node", F.explode("bands").alias("key"))
@@ -258,34 +269,37 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
         "members",
     )
     sets = saved(_sets_of(docs, nodes, size), "sets")
-    members = saved(members.join(nodes, "node").select("key", "member", "score"), "bucket_members")
-    pivots = members.groupBy("key").agg(
-        F.max_by("member", F.struct("score", "member.node")).alias("pivot")
-    )
-    star = members.join(pivots, "key").filter(
-        (F.col("member.node") != F.col("pivot.node")) & _plausible("member", "pivot", percent)
-    )
-    star = saved(star.select(*_pair("member.node", "pivot.node")).distinct(), "star_pairs")
-    found = saved(_verified(star, sets, percent), "star_links")
-
-    roots = connected_components(found)
-    placed = members.join(roots, F.col("member.node") == F.col("node"), "left").select(
-        "key", "member", F.coalesce("root", "member.node").alias("root")
+    members = members.join(nodes, "node").select("key", "member", "score")
+    pivots = members.groupBy("key").agg(F.max_by("member.node", F.struct("score", "member.node")).alias("pivot"))
+    members = saved(members.join(pivots, "key").select("key", "member", "pivot"), "bucket_members")
+    star = members.select(F.col("member.node").alias("a"), F.col("pivot").alias("b")).filter("a != b").distinct()
+    star = saved(_with_common(saved(star, "star_pairs"), sets), "star")
+    found = saved(_links_of(star, percent), "star_links")
+
+    # What is in one component already needs no more comparing. Of other pairs in a bucket, the
+    # overlaps with its pivot exclude most.
+    roots = connected_components(found).withColumnRenamed("node", "of")
+    placed = members.join(roots, F.col("member.node") == F.col("of"), "left").select(
+        "key", "member", "pivot", F.coalesce("root", "member.node").alias("root")
     )
     placed = saved(placed, "placed")
     several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     several = several.filter("low != high").select("key")
-    unsure = saved(_with_shared(placed.join(several, "key", "left_semi"), sets), "unsure")
-    left = unsure.select("key", F.struct("member.*", "root", "shared").alias("x"))
-    right = unsure.select("key", F.struct("member.*", "root", "shared").alias("y"))
+    # Pivots count among those who share a shingle, so that all of a member's shingles in one are shared.
+    unsure = _with_shared(placed.join(several, "key", "left_semi"), sets)
+    overlaps = star.select(F.col("a").alias("of"), F.col("b").alias("with"), F.col("common").alias("of_pivot"))
+    known = (F.col("member.node") == F.col("of")) & (F.col("pivot") == F.col("with"))
+    unsure = saved(unsure.join(overlaps, known).select("key", "member", "root", "of_pivot", "shared"), "unsure")
+    left, right = (
+        unsure.select("key", F.struct("member.*", "root", "of_pivot", "shared").alias(n)) for n in "xy"
+    )
     rest = left.join(right, "key").filter(
         (F.col("x.root") < F.col("y.root"))
         & _plausible("x", "y", percent)
-        # No more shingles can be common than either has in common with anybody.
-        & _similar(F.least("x.shared", "y.shared"), F.col("x.n"), F.col("y.n"), percent)
+        & _similar(_most_common("x", "y"), F.col("x.n"), F.col("y.n"), percent)
     )
-    rest = rest.select(*_pair("x.node", "y.node")).distinct().join(star, ["a", "b"], "left_anti")
-    return found.unionByName(_verified(saved(rest, "pairs"), sets, percent))
+    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return found.unionByName(_links_of(_with_common(saved(rest, "pairs"), sets), percent))
 
 
 def near_duplicates(

@@ -115,6 +115,22 @@ def test_chains_and_stars(spark):
     check(spark, list(enumerate(chain + star)))
 
 
+def test_all_in_one_bucket(spark, monkeypatch):
+    """What a pivot and shared shingles exclude is no link, whatever shares a bucket."""
+    monkeypatch.setattr(minhash, "bands_of", lambda filled: np.zeros((len(filled), 1), np.int64))
+    rng, rows = np.random.default_rng(3), []
+    for group in range(4):
+        found = words(300 + group, 70).split()
+        for i in range(30):
+            copy = list(found)
+            # Few places and few new words, so that copies share their changes.
+            for at in rng.choice(70, rng.integers(0, 6), replace=False):
+                copy[at] = f"n{rng.integers(0, 3)}"
+            start = rng.integers(0, 8) if i % 4 == 0 else 0
+            rows.append((len(rows), " ".join(copy[start:])))
+    check(spark, rows)
+
+
 def test_border_of_similarity(spark):
     base = [f"b{i}" for i in range(104)]  # 100 shingles
     near = [" ".join(base[: 104 - n]) for n in (14, 15, 16)]  # 86, 85 and 84 of 100
