@@ -148,32 +148,83 @@ def _nearest(centres: list[tuple[float, ...]], spread: list[float]) -> Column:
     return nearest["cluster"]
 
 
-def lloyd(
-    fact: DataFrame,
-    centres: list[tuple[float, ...]] | None = None,
-    iterations: int = 5,
-    k: int = CLUSTERS,
+def _chance(step: str) -> Column:
+    """A fixed pseudo-random number above 0, up to 1, for a point and a step."""
+    bits = F.xxhash64(F.lit(step), *FEATURES).bitwiseAND((1 << 52) - 1)
+    return (bits + 1) / float(1 << 52)
+
+
+def spread_centres(
+    grouped: DataFrame, spread: list[float], k: int, seed: int = SEED, candidates: int = 4
+) -> list[tuple[float, ...]]:
+    """k starting centres that lie apart: points drawn by orders times squared distance.
+
+    Each step draws a few points with these weights by fixed hashes of the points (the smallest
+    -ln(u) / weight wins), and takes the one that leaves the smallest summed distance. Nothing depends on
+    how points are partitioned, and only the drawn points reach the driver. Fewer centres come back
+    if there are fewer different points in scaled space.
+    """
+    centres: list[tuple[float, ...]] = []
+    for step in range(k):
+        nearest = _least_distance(centres, spread) if centres else None
+        weight = F.col(_ROWS).cast("double") * (F.lit(1.0) if nearest is None else nearest)
+        drawn = (
+            grouped.filter(weight > 0)
+            .select(*FEATURES, (-F.log(_chance(f"{seed}:{step}")) / weight).alias("draw"))
+            .orderBy("draw", *FEATURES)
+            .limit(candidates)
+            .collect()
+        )
+        points_drawn = [tuple(float(row[name]) for name in FEATURES) for row in drawn]
+        if not points_drawn:
+            break
+
+        def left(point: tuple[float, ...]) -> Column:
+            distance = _distance(point, spread)
+            distance = distance if nearest is None else F.least(distance, nearest)
+            # Decimals add up alike in any order.
+            return F.sum((F.col(_ROWS) * distance).cast("decimal(38,9)"))
+
+        sums = grouped.agg(*(left(p).alias(f"left_{i}") for i, p in enumerate(points_drawn))).first()
+        centres.append(min(zip(sums, points_drawn))[1])
+    return centres
+
+
+def seeded_lloyd(
+    fact: DataFrame, k: int = CLUSTERS, iterations: int = 100, starts: int = 3, seed: int = SEED
 ) -> DataFrame:
-    """Assign orders after a fixed number of Lloyd iterations from given centres.
+    """Lloyd iterations until nothing moves, from the best of a few spread starts.
 
-    Without centres, the k orders with the lowest ids are used. Centres are kept in feature
-    units and computed from exact integer sums, so the result does not depend on how rows are
-    partitioned. Only the k centres reach the driver, and they return as literals, so the plan
-    does not grow with the iterations.
+    Repeatable under any partitioning: starts come from hashes, sums are exact.
     """
     grouped = saved(points(fact), "points")
     _require_trainable(grouped)
     spread = _exact_stddev(grouped)
-    if centres is None:
-        start = fact.orderBy("orderid").select(*FEATURES).limit(k).collect()
-        centres = [tuple(float(v) for v in row) for row in start]
+    found = []
+    for start in range(starts):
+        centres = _moved(grouped, spread, spread_centres(grouped, spread, k, seed + start), iterations)
+        inner = F.sum((F.col(_ROWS) * _least_distance(centres, spread)).cast("decimal(38,9)"))
+        found.append((grouped.agg(inner.alias("inner")).first()["inner"], centres))
+    centres = sorted(min(found)[1])
+    return fact.select("orderid", *FEATURES, _nearest(centres, spread).alias("cluster"))
+
+
+def _least_distance(centres: list[tuple[float, ...]], spread: list[float]) -> Column:
+    distances = [_distance(c, spread) for c in centres]
+    return F.least(*distances) if len(distances) > 1 else distances[0]
+
+
+def _moved(
+    grouped: DataFrame, spread: list[float], centres: list[tuple[float, ...]], iterations: int
+) -> list[tuple[float, ...]]:
+    """Centres after Lloyd iterations; a cluster without orders keeps its centre."""
     for _ in range(iterations):
         sums = (
             grouped.groupBy(_nearest(centres, spread).alias("cluster"))
             .agg(F.sum(_ROWS).alias(_ROWS), *_weighted_sums(1))
             .collect()
         )
-        moved = list(centres)  # a cluster without orders keeps its centre
+        moved = list(centres)
         for row in sums:
             moved[row["cluster"]] = tuple(
                 float(row[f"{name}_1"]) / float(row[_ROWS]) for name in FEATURES
@@ -181,6 +232,29 @@ def lloyd(
         if moved == centres:
             break
         centres = moved
+    return centres
+
+
+def lloyd(
+    fact: DataFrame,
+    centres: list[tuple[float, ...]] | None = None,
+    iterations: int = 5,
+    k: int = CLUSTERS,
+) -> DataFrame:
+    """Assign orders after a fixed number of Lloyd iterations from given centres.
+
+    Without centres, the k orders with the lowest ids are used. Centres are kept in feature
+    units and computed from exact integer sums, so the result does not depend on how rows are
+    partitioned. Only the k centres reach the driver, and they return as literals, so the plan
+    does not grow with the iterations.
+    """
+    grouped = saved(points(fact), "points")
+    _require_trainable(grouped)
+    spread = _exact_stddev(grouped)
+    if centres is None:
+        start = fact.orderBy("orderid").select(*FEATURES).limit(k).collect()
+        centres = [tuple(float(v) for v in row) for row in start]
+    centres = _moved(grouped, spread, centres, iterations)
     return fact.select("orderid", *FEATURES, _nearest(centres, spread).alias("cluster"))
 
 

@@ -100,6 +100,13 @@ def orphan_facts(
     ).filter(" or ".join(f"not {f}" for f in flags))
 
 
+def key_totals(fact: DataFrame, *more: str) -> DataFrame:
+    """Orders and amount per country and day (and whatever else is named)."""
+    return fact.groupBy(*more, "countryid", "dateid").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("amount").alias("amount")
+    )
+
+
 def sales_by_country_quarter(
     fact: DataFrame, dates: DataFrame, countries: DataFrame
 ) -> DataFrame:
@@ -108,11 +115,13 @@ def sales_by_country_quarter(
     Facts are summed per key pair before they meet the dimensions, so the joins see at most
     one row per country and day and a hot country costs nothing.
     """
-    per_key = fact.groupBy("countryid", "dateid").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("amount").alias("amount")
-    )
+    return sales_of_totals(key_totals(fact), dates, countries)
+
+
+def sales_of_totals(totals: DataFrame, dates: DataFrame, countries: DataFrame) -> DataFrame:
+    """The same from totals per country and day, of which several may be parts of one sum."""
     return (
-        per_key.join(countries.select("countryid", "country"), "countryid")
+        totals.join(countries.select("countryid", "country"), "countryid")
         .join(dates.select("dateid", "year", "quartername"), "dateid")
         .groupBy("country", "year", "quartername")
         .agg(F.sum("orders").alias("orders"), F.sum("amount").alias("total_amount"))

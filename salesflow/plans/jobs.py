@@ -11,15 +11,12 @@ from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from salesflow.functions.cleaning import clean
 from salesflow.operators import clustering
 from salesflow.operators.incremental import (
-    after,
     assign_batches,
     batch_bounds,
-    between,
     missing_ids,
     next_batch,
 )
@@ -51,9 +48,10 @@ def clean_next_batch(
     batch = next_batch(staging.read(STAGING), watermark, batch_rows, staging.id_counts(STAGING))
     if batch is None:
         return JobResult(0, watermark, True)
+    rows = staging.rows_between(STAGING, watermark, batch.last_id)
     if preview:
-        batch.frame.show(preview)
-    staging.append(clean(batch.frame), CLEANED)
+        rows.show(preview)
+    staging.append(clean(rows), CLEANED)
     return JobResult(batch.rows, watermark, False)
 
 
@@ -64,7 +62,7 @@ def clean_missing(staging) -> int:
     job takes both on request; `repair_star` then moves them to the star.
     """
     staging.require(STAGING, CLEANED)
-    raw = between(staging.read(STAGING), 0, staging.largest_id(CLEANED))
+    raw = staging.rows_between(STAGING, 0, staging.largest_id(CLEANED))
     missing = missing_ids(raw, staging.read(CLEANED)).persist()
     try:
         ids = missing.count()
@@ -75,13 +73,8 @@ def clean_missing(staging) -> int:
         missing.unpersist()
 
 
-def load_star(rows: DataFrame, production, first_id: int, last_id: int) -> None:
-    """Add cleaned rows to the star: unseen dimension keys first, then unseen facts.
-
-    All ids of the rows lie between `first_id` and `last_id`. One pass finds the attributes of all
-    dimensions, another one the facts. Each append skips the keys its table already has, so
-    running it again after a failure completes the load instead of repeating or losing rows.
-    """
+def load_dimensions(rows: DataFrame, production) -> None:
+    """Add the dimension keys of cleaned rows that are not there yet."""
     # About as many rows as the dimensions have keys: kept so that they are computed once.
     seen = seen_attributes(rows).persist()
 
@@ -100,9 +93,20 @@ def load_star(rows: DataFrame, production, first_id: int, last_id: int) -> None:
             list(pool.map(load_dimension, DIMENSIONS))
     finally:
         seen.unpersist()
+
+
+def load_star(rows: DataFrame, production, first_id: int, last_id: int) -> None:
+    """Add cleaned rows to the star: unseen dimension keys first, then unseen facts.
+
+    All ids of the rows lie between `first_id` and `last_id`. One pass finds the attributes of all
+    dimensions, another one the facts. Each append skips the keys its table already has, so
+    running it again after a failure completes the load instead of repeating or losing rows.
+    """
+    load_dimensions(rows, production)
     # Only the id range of these rows can hold their ids; the range reaches the scan.
-    stored = production.read(FACT).filter(F.col("orderid").between(first_id, last_id))
+    stored = production.rows_between(FACT, first_id - 1, last_id)
     production.append(new_rows(fact_rows(rows), stored, FACT.key), FACT, keys_are_new=True)
+    production.facts_changed(first_id - 1, last_id)
 
 
 def repair_star(staging, production, above: int = 0) -> int:
@@ -116,9 +120,8 @@ def repair_star(staging, production, above: int = 0) -> int:
     watermark = production.largest_id(FACT)
     if watermark <= above:
         return 0
-    done = between(staging.read(CLEANED), above, watermark)
-    fact = between(production.read(FACT), above, watermark)
-    missing = missing_ids(done, fact).persist()
+    done = staging.rows_between(CLEANED, above, watermark)
+    missing = production.missing_facts(done, above, watermark).persist()
     try:
         ids = missing.count()
         if ids:
@@ -139,9 +142,10 @@ def transfer_next_batch(
     batch = next_batch(staging.read(CLEANED), watermark, batch_rows, staging.id_counts(CLEANED))
     if batch is None:
         return JobResult(0, watermark, True)
+    rows = staging.rows_between(CLEANED, watermark, batch.last_id)
     if preview:
-        batch.frame.show(preview)
-    load_star(batch.frame, production, watermark + 1, batch.last_id)
+        rows.show(preview)
+    load_star(rows, production, watermark + 1, batch.last_id)
     return JobResult(batch.rows, watermark, False)
 
 
@@ -158,14 +162,14 @@ def run_to_completion(staging, production, batch_rows: int = BATCH_ROWS) -> int:
     rounds = 0
     if cleaned_to > moved_to:  # what an earlier run has cleaned only
         load_star(
-            between(staging.read(CLEANED), moved_to, cleaned_to), production, moved_to + 1, cleaned_to
+            staging.rows_between(CLEANED, moved_to, cleaned_to), production, moved_to + 1, cleaned_to
         )
         rounds += 1
-    raw = staging.read(STAGING)
-    bounds = batch_bounds(assign_batches(raw, cleaned_to, batch_rows)).orderBy("batch_no")
+    pending = staging.rows_after(STAGING, cleaned_to)
+    bounds = batch_bounds(assign_batches(pending, cleaned_to, batch_rows)).orderBy("batch_no")
     for batch in bounds.toLocalIterator():
         last = batch["last_orderid"]
-        rows = clean(between(raw, cleaned_to, last))
+        rows = clean(staging.rows_between(STAGING, cleaned_to, last))
         stored = staging.append_range(rows, CLEANED, cleaned_to, last)
         load_star(stored, production, cleaned_to + 1, last)
         cleaned_to = last
@@ -182,13 +186,12 @@ def load_backlog(staging, production) -> JobResult:
     last = staging.largest_id(STAGING, cleaned_to)
     if last <= moved_to:
         return JobResult(repaired, moved_to, repaired == 0)
-    stored = staging.read(CLEANED)
+    pending = None
     if last > cleaned_to:
-        rows = clean(after(staging.read(STAGING), cleaned_to))
-        stored = staging.append_range(rows, CLEANED, cleaned_to, last)
-        if cleaned_to > moved_to:  # an earlier run has cleaned rows without moving them
-            stored = staging.read(CLEANED)
-    pending = between(stored, moved_to, last)
+        rows = clean(staging.rows_after(STAGING, cleaned_to))
+        pending = staging.append_range(rows, CLEANED, cleaned_to, last)
+    if pending is None or cleaned_to > moved_to:  # an earlier run has cleaned rows without moving them
+        pending = staging.rows_between(CLEANED, moved_to, last)
     load_star(pending, production, moved_to + 1, last)
     return JobResult(repaired + pending.count(), moved_to, False)
 

@@ -155,6 +155,49 @@ group by country, year, quartername
 """
 
 
+_CSV_REJECTS = """
+select line, case orderid % 100 when 7 then 'amount' when 8 then 'date' when 9 then 'amount, date'
+    else 'number of fields' end as reason
+from (select orderid, concat_ws(',', orderid, case when orderid % 100 in (7, 9) then 'about ' else '' end || amount,
+  dateid, countryid, categoryid, case when orderid % 100 in (8, 9) then '1995-13-01' else cast(date as varchar) end,
+  year, quarter, coalesce(quartername, ''), month, monthname, day, weekday, coalesce(weekdayname, ''),
+  category, country) || case when orderid % 100 = 10 then ',more' else '' end as line from stg)
+where orderid % 100 between 7 and 10
+"""
+
+_SKETCHED = ("amount", "dateid", "countryid", "categoryid", "orderid")
+_SKETCHES = " union all ".join(
+    f"select '{n}' as column_name, count(*) as rows, count(*) - count({n}) as missing,"
+    f" count(distinct {n}) as distinct_values, true as distinct_good, true as quantiles_good from stg"
+    for n in _SKETCHED
+)
+
+
+def _moved(name: str) -> str:
+    """The exact largest difference of ranks between each later quarter of the ids and the first."""
+    return f"""
+select cast(b as int) as batch, '{name}' as column_name, max(abs(upto / total - first_upto / first_total)) > 0.25 as moved
+from (select b, v, sum(n) over (partition by b order by v) as upto, sum(n) over (partition by b) as total,
+        sum(n0) over (partition by b order by v) as first_upto, sum(n0) over (partition by b) as first_total
+      from (select b, v, count(*) filter (k = b)::double as n, count(*) filter (k = 0)::double as n0
+            from (select {name} as v, least(orderid * 4 // (max(orderid) over () + 1), 3) as k from stg) valued,
+              (select unnest([1, 2, 3]) as b) batches
+            where k in (0, b) group by b, v) counted) ranked
+group by b"""
+
+
+_DRIFT = " union all ".join(map(_moved, _SKETCHED))
+
+# The name with the smallest order id of each day; a version begins where it changes.
+_HISTORY = {
+    "daily": "select countryid, dateid, arg_min(country, orderid) as country from stg group by countryid, dateid",
+    "changes": "select *, lag(country) over w is distinct from country or row_number() over w = 1 as begins"
+    " from daily window w as (partition by countryid order by dateid)",
+    "history": "select countryid, country, dateid as valid_from,"
+    " lead(dateid) over (partition by countryid order by dateid) as valid_to from changes where begins",
+}
+
+
 def _quality(stage: str, source: str) -> str:
     weekdays = "'Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday'"
     counts = {
@@ -248,6 +291,9 @@ def oracle_sql() -> dict[str, str]:
         **fact,
         "spread": "select stddev_samp(countryid) as d0, stddev_samp(amount) as d1 from fact",
     }
+    star_sales = _with(
+        _STAR, **fact, dims_date=_first(_DATE, "cleaned"), dims_country=_first(_COUNTRY, "cleaned")
+    )
     return {
         "scan_fact": fact_query,
         "batch_first": _with(_batch("stg", 0)),
@@ -266,6 +312,7 @@ def oracle_sql() -> dict[str, str]:
             " nullif(weekdayname, '') as weekdayname, nullif(country, '') as country,"
             " nullif(category, '') as category, nullif(monthname, '') as monthname) from stg"
         ),
+        "csv_rejects": _with(_CSV_REJECTS),
         "append_cleaned": _with("select * from cleaned"),
         "overwrite_result": _lloyd(),
         "project_fact": _with(f"select {_FACT} from cleaned"),
@@ -321,6 +368,9 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_summary": _with(
             "select count(*) as rows, cast(4 as bigint) as clusters, true as good from fact", **fact
         ),
+        "kmeans_seeded_summary": _with(
+            "select count(*) as rows, cast(4 as bigint) as clusters, true as good from fact", **fact
+        ),
         "lloyd_assignment": _lloyd(),
         "clean_batch": _with("select * from fixed", **cleaned_batch),
         "clean_batch_2": _with("select * from fixed", **cleaned_batch_2),
@@ -334,6 +384,22 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_final_dim_country": countries,
         "backlog_fact": fact_query,
         "stream_final_fact": fact_query,
+        "stream_state_fact": fact_query,
+        "loop_resumed_fact": fact_query,
+        "sliced_final_fact": fact_query,
+        "sketch_report": _with(_SKETCHES),
+        "batch_drift": _with(_DRIFT),
+        "missing_order_ids": _with(
+            "select orderid from cleaned where not (orderid % 10 <> 3 and orderid % 1000 >= 70)"
+        ),
+        "dim_history": _with("select * from history", **_HISTORY),
+        "fact_as_of": _with(
+            f"select {', '.join(f'fact.{n}' for n in _FACT.split(', '))}, country from fact"
+            " left join history on fact.countryid = history.countryid and fact.dateid >= valid_from"
+            " and fact.dateid < coalesce(valid_to, 2147483647)",
+            **fact,
+            **_HISTORY,
+        ),
         "batch_assignment": _with(_NUMBERED),
         "batch_ranges": _with(
             "select batch_no, min(orderid) as first_orderid, max(orderid) as last_orderid,"
@@ -348,12 +414,8 @@ def oracle_sql() -> dict[str, str]:
             " where countryid is not null group by countryid"
             " having count(distinct country) > 1"
         ),
-        "star_sales_by_country_quarter": _with(
-            _STAR,
-            **fact,
-            dims_date=_first(_DATE, "cleaned"),
-            dims_country=_first(_COUNTRY, "cleaned"),
-        ),
+        "star_sales_by_country_quarter": star_sales,
+        "star_sales_maintained": star_sales,
         "orphan_facts": _with(_ORPHANS, **fact),
         "quality_report": _with(
             _quality("raw", "stg") + " union all " + _quality("cleaned", "fixed"), **whole

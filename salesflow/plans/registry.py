@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.functions import cleaning
-from salesflow.operators import checks, clustering, incremental, star
+from salesflow.operators import checks, clustering, history, incremental, sketches, star
 from salesflow.plans import jobs
+from salesflow.plans.summaries import keep_summaries
 from salesflow.schemas import (
     CLEANED,
     DIM_CATEGORY,
@@ -25,11 +26,13 @@ from salesflow.schemas import (
     STAR,
     Table,
 )
-from salesflow.sources.csv import read_csv, write_csv
+from salesflow.sources.csv import read_csv, read_csv_with_rejects, write_csv
 from salesflow.sources.sample import raw_sales
+from salesflow.sources.sliced import SlicedStore
 from salesflow.sources.stores import ParquetStore
 from salesflow.sources.workspace import new_folder, saved
-from salesflow.streaming.ingest import ingest_files
+from salesflow.streaming.ingest import ingest_files, ingest_new_ids
+from salesflow.streaming.loop import run_loop
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,9 +40,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 EARLIER_ROWS = 1_000
 # Batch size of the batch numbering: small, so that several batches exist at every scale.
 NUMBERED_ROWS = 1_000
+# Ids of a slice, as a power of two: small, so that several slices exist at every scale.
+SLICE_BITS = 10
 # Rounds in which the loading jobs take the whole input.
 ROUNDS = 4
 
+# What a fact table with gaps holds: not every tenth order, and none of some stretches.
+_HELD = "orderid % 10 <> 3 and orderid % 1000 >= 70"
+
+# A column has moved if the ranks of its values differ by more than this share.
+DRIFT = 0.25
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -154,6 +165,24 @@ def csv_load(spark, sf_dir):
     return read_csv(spark, folder)
 
 
+@_query
+def csv_rejects(spark, sf_dir):
+    """The lines of damaged CSV files that are no rows, each with the reason."""
+    folder = new_folder(spark, "csv_rejects")
+    _damaged_lines(raw_sales(spark, sf_dir)).write.text(folder)
+    return read_csv_with_rejects(spark, folder, header=False).rejected.select("line", "reason")
+
+
+def _damaged_lines(raw: DataFrame) -> DataFrame:
+    """Raw rows as text, some of which do not fit, by rules on the order id."""
+    kind = F.col("orderid") % 100
+    value = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in STAGING.names}
+    value["amount"] = F.when(kind.isin(7, 9), F.concat(F.lit("about "), value["amount"])).otherwise(value["amount"])
+    value["date"] = F.when(kind.isin(8, 9), F.lit("1995-13-01")).otherwise(value["date"])
+    line = F.concat_ws(",", *value.values())
+    return raw.select(F.when(kind == 10, F.concat(line, F.lit(",more"))).otherwise(line).alias("value"))
+
+
 # Sinks
 
 
@@ -350,6 +379,15 @@ def lloyd_assignment(spark, sf_dir):
     return clustering.lloyd(_stored_fact(spark, sf_dir)).select(*RESULT_COLUMNS)
 
 
+@_query
+def kmeans_seeded_summary(spark, sf_dir):
+    """Orders, clusters, and whether the cost of spread starts is at most that of the clustering job."""
+    store, result = _clustered(spark, sf_dir, "kmeans_seeded")
+    job = clustering.cost(result).first()["cost"]
+    found = clustering.cost(clustering.seeded_lloyd(store.read(FACT)))
+    return found.select("rows", "clusters", (F.col("cost") <= job * (1 + 1e-9)).alias("good"))
+
+
 # Jobs
 
 
@@ -473,6 +511,105 @@ def stream_final_fact(spark, sf_dir):
     return store.read(FACT)
 
 
+@_query
+def stream_state_fact(spark, sf_dir):
+    """The fact table of a stream that knows its ids, after replayed, late and repeated orders.
+
+    A first run takes the orders beyond the median id, a third of them twice; a second one the
+    earlier orders, late now, and all of the first run's again.
+    """
+    store = _store(spark, "stream_state_fact", CLEANED, *STAR)
+    raw = saved(raw_sales(spark, sf_dir), "raw")
+    middle = raw.agg(F.percentile_approx("orderid", 0.5)).first()[0] or 0
+    late, early = raw.filter(F.col("orderid") > middle), raw.filter(F.col("orderid") <= middle)
+    checkpoint = new_folder(spark, "stream_state")
+    for arrivals in ([late, late.filter("orderid % 3 = 0")], [early, late]):
+        for rows in arrivals:
+            rows.write.mode("append").parquet(store.path(STAGING))
+        ingest_new_ids(store, store, checkpoint, 2).awaitTermination()
+    return store.read(FACT)
+
+
+@_query
+def loop_resumed_fact(spark, sf_dir):
+    """The fact table after a loop that was stopped midway and resumed from its checkpoint."""
+    store = _store(spark, "loop_resumed_fact", CLEANED, *STAR)
+    rows = _write_raw(store, spark, sf_dir)
+    checkpoint = new_folder(spark, "loop_state")
+    for batches in (ROUNDS // 2, None):
+        run_loop(store, store, checkpoint, math.ceil(rows / ROUNDS) or 1, batches)
+    return store.read(FACT)
+
+
+@_query
+def sliced_final_fact(spark, sf_dir):
+    """The fact table of the loading loop over tables that are cut into slices of ids."""
+    store = SlicedStore(spark, new_folder(spark, "sliced"), SLICE_BITS)
+    store.create_staging_area()
+    store.create_star()
+    store.append(raw_sales(spark, sf_dir), STAGING)
+    last = store.largest_id(STAGING)
+    jobs.run_to_completion(store, store, math.ceil(last / ROUNDS) or 1)
+    return store.read(FACT)
+
+
+@_query
+def missing_order_ids(spark, sf_dir):
+    """Cleaned order ids that a fact table with gaps lacks, by the bitmaps kept beside it."""
+    store = _store(spark, "missing_order_ids", FACT)
+    summaries = keep_summaries(store)
+    rows = saved(_cleaned(spark, sf_dir).select(*FACT.names), "cleaned")
+    last = incremental.high_watermark(rows).first()["max_orderid"]
+    held = star.fact_rows(rows.filter(_HELD))
+    for after_id, last_id in ((0, last // 2), (last // 2, last)):
+        store.append(incremental.between(held, after_id, last_id), FACT, keys_are_new=True)
+        store.facts_changed(after_id, last_id)
+    return summaries.missing(rows, 0, last)
+
+
+@_query
+def star_sales_maintained(spark, sf_dir):
+    """The star query from sums that loads and a repair have kept up to date.
+
+    The star starts with gaps in the first half of the orders; the rest comes in batches.
+    """
+    store = _store(spark, "star_sales_maintained", CLEANED, *STAR)
+    summaries = keep_summaries(store)
+    store.append(_cleaned(spark, sf_dir), CLEANED)
+    rows = store.read(CLEANED)
+    last = incremental.high_watermark(rows).first()["max_orderid"]
+    jobs.load_star(incremental.between(rows, 0, last // 2).filter(_HELD), store, 1, last // 2)
+    while not jobs.transfer_next_batch(store, store, math.ceil(last / ROUNDS) or 1).done:
+        pass
+    jobs.repair_star(store, store)
+    return summaries.sales_by_country_quarter()
+
+
+# Dimensions over time
+
+_VERSIONED = ("countryid", ["country"])
+
+
+def _country_history(spark, sf_dir):
+    """Versions of the raw country names, from two halves of the orders, the later ones first."""
+    raw = saved(raw_sales(spark, sf_dir).select("orderid", "dateid", "countryid", "country"), "raw")
+    even, odd = (history.observed(raw.filter(f"orderid % 2 = {k}"), *_VERSIONED) for k in (0, 1))
+    seen = saved(history.merged(saved(odd, "observations"), even, *_VERSIONED), "observations")
+    return saved(history.versions(seen, *_VERSIONED), "versions")
+
+
+@_query
+def dim_history(spark, sf_dir):
+    return _country_history(spark, sf_dir)
+
+
+@_query
+def fact_as_of(spark, sf_dir):
+    """Every fact with the name that its country had on its day."""
+    fact = _fact(spark, sf_dir)
+    return history.as_of(fact, _country_history(spark, sf_dir), *_VERSIONED)
+
+
 # Checks and reports
 
 
@@ -539,3 +676,57 @@ def orphan_facts(spark, sf_dir):
 @_query
 def quality_report(spark, sf_dir):
     return checks.quality_report(raw_sales(spark, sf_dir))
+
+
+_SKETCHED = ["amount", "dateid", "countryid", "categoryid", "orderid"]
+
+
+@_query
+def sketch_report(spark, sf_dir):
+    """Merged sketches of all batches against exact counts: whether each is within its error."""
+    raw = saved(raw_sales(spark, sf_dir).select(*_SKETCHED), "sketched")
+    found = sketches.summaries(raw, F.expr(f"orderid % {ROUNDS}"), _SKETCHED)
+    told = sketches.report(sketches.merged(saved(found, "sketches")), [0.25, 0.5, 0.75])
+    counts = [F.count_distinct(n).alias(n) for n in _SKETCHED]
+    exact = raw.agg(*counts).select(F.expr(f"stack({len(_SKETCHED)}, {_stacked(_SKETCHED)}) as (column_name, n)"))
+    # A quantile is as good as its ranks: the shares of values below and up to it enclose the rank.
+    asked = told.select("column_name", F.posexplode("quantiles").alias("place", "value"))
+    values = raw.select(F.expr(f"stack({len(_SKETCHED)}, {_stacked(_SKETCHED)}) as (column_name, v)"))
+    shares = (
+        values.join(F.broadcast(asked), "column_name")  # three values for each column
+        .groupBy("column_name", "place")
+        .agg(F.avg((F.col("v") < F.col("value")).cast("int")).alias("below"),
+             F.avg((F.col("v") <= F.col("value")).cast("int")).alias("upto"))
+    )
+    rank, error = (F.col("place") + 1) / 4, 2 * sketches.RANK_ERROR
+    good = shares.groupBy("column_name").agg(
+        F.bool_and((F.col("below") - error <= rank) & (rank <= F.col("upto") + error)).alias("quantiles_good")
+    )
+    near = F.abs(F.col("distinct_values") - F.col("n")) <= 4 * sketches.DISTINCT_ERROR * F.col("n") + 1
+    return told.join(exact, "column_name").join(good, "column_name").select(
+        "column_name", "rows", "missing", F.col("n").alias("distinct_values"), near.alias("distinct_good"), "quantiles_good"
+    )
+
+
+def _stacked(names: list[str]) -> str:
+    return ", ".join(f"'{n}', cast({n} as long)" for n in names)
+
+
+@_query
+def batch_drift(spark, sf_dir):
+    """Columns of each batch against the first one: whether the distribution has moved.
+
+    Batches are quarters of the id range, so ids move and the other columns do not.
+    """
+    raw = saved(raw_sales(spark, sf_dir).select(*_SKETCHED), "sketched")
+    last = incremental.high_watermark(raw).first()["max_orderid"]
+    batch = F.expr(f"least(orderid * {ROUNDS} div {last + 1}, {ROUNDS - 1})").cast("int")
+    found = saved(sketches.summaries(raw, batch, _SKETCHED), "sketches")
+    first = found.filter("batch = 0")
+    moved = [
+        sketches.drift(found.filter(f"batch = {n}"), first).select(
+            F.lit(n).alias("batch"), "column_name", (F.col("drift") > DRIFT).alias("moved")
+        )
+        for n in range(1, ROUNDS)
+    ]
+    return reduce(DataFrame.unionByName, moved)

@@ -47,11 +47,14 @@ class Table(NamedTuple):
     @property
     def definition(self) -> str:
         """The table as a CREATE TABLE text for a database, with its primary key."""
+        return self.definition_as(self.name) + ";"
+
+    def definition_as(self, name: str) -> str:
         lines = [c.ddl.replace("`", "") for c in self.columns]
         if self.key:
             lines.append(f"PRIMARY KEY ({self.key})")
         listed = ",\n  ".join(lines)
-        return f"CREATE TABLE {self.name} (\n  {listed}\n);"
+        return f"CREATE TABLE {name} (\n  {listed}\n)"
 
 
 # Table names, column names, types, lengths and keys of the data model.

@@ -15,8 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.operators.checks import duplicate_keys, enforced
-from salesflow.operators.incremental import ID, IdCounts, after, between, high_watermark
+from salesflow.operators.incremental import (
+    ID,
+    IdCounts,
+    after,
+    between,
+    high_watermark,
+    missing_ids,
+)
 from salesflow.schemas import FACT, STAGING_AREA, STAR, Table
+from salesflow.sources.publication import current_folder, forget_versions, publish
 
 
 class MissingTable(LookupError):
@@ -29,6 +37,8 @@ class RepeatedKey(ValueError):
 
 class _Store:
     spark: SparkSession
+    # Tables derived from the facts, if they are kept; see `plans.summaries`.
+    summaries = None
 
     def exists(self, table: Table) -> bool:
         raise NotImplementedError
@@ -72,16 +82,36 @@ class _Store:
     def append_range(self, df: DataFrame, table: Table, after_id: int, last_id: int) -> DataFrame:
         """Append rows whose ids lie in a range; returns the stored rows of that range."""
         self.append(df, table)
+        return self.rows_between(table, after_id, last_id)
+
+    def rows_after(self, table: Table, after_id: int) -> DataFrame:
+        """Rows with ids beyond one."""
+        return after(self.read(table), after_id)
+
+    def rows_between(self, table: Table, after_id: int, last_id: int) -> DataFrame:
+        """Rows with ids beyond one, up to another one."""
         return between(self.read(table), after_id, last_id)
 
     def largest_id(self, table: Table, known: int = 0) -> int:
         """The largest id beyond one that is known to be there, or that one."""
-        found = high_watermark(after(self.read(table), known)).first()["max_orderid"]
+        found = high_watermark(self.rows_after(table, known)).first()["max_orderid"]
         return max(known, found)
 
     def id_counts(self, table: Table) -> IdCounts:
         return IdCounts(self.read(table))
 
+    def facts_changed(self, after_id: int, last_id: int) -> None:
+        """To be called when facts with ids of a range have been added."""
+        if self.summaries:
+            self.summaries.refresh(after_id, last_id)
+
+    def missing_facts(self, rows: DataFrame, after_id: int, last_id: int) -> DataFrame:
+        """Ids of rows in a range that the fact table lacks."""
+        if self.summaries:
+            return self.summaries.missing(rows, after_id, last_id)
+        fact = self.rows_between(FACT, after_id, last_id)
+        return missing_ids(between(rows, after_id, last_id), fact)
+
 
 def _no_rows(spark: SparkSession, table: Table) -> DataFrame:
     """An empty table of the declared types, made by a plan without any data."""
@@ -118,25 +148,36 @@ class ParquetStore(_Store):
         reader = self.spark.read.option("recursiveFileLookup", True)
         if table.columns:
             reader = reader.schema(table.struct)
-        return reader.parquet(self.path(table))
+        return reader.parquet(self._place(table))
+
+    def _place(self, table: Table) -> str:
+        return current_folder(self.spark, self.path(table))
 
     def read(self, table: Table) -> DataFrame:
         self.require(table)
         return self._load(table)
 
     def _add(self, df: DataFrame, table: Table) -> None:
-        enforced(df, table).write.mode("append").parquet(self.path(table))
+        enforced(df, table).write.mode("append").parquet(self._place(table))
 
     def append_range(self, df: DataFrame, table: Table, after_id: int, last_id: int) -> DataFrame:
         """The rows become a part of their own, which is read back without listing the others."""
         return self.replace_part(df, table, f"ids-{after_id}-{last_id}-{uuid.uuid4().hex[:8]}")
 
     def overwrite(self, df: DataFrame, table: Table) -> None:
-        df.write.mode("overwrite").parquet(self.path(table))
+        """Publish rows as the next version of a table: readers see all of them or the older ones.
+
+        Fails with `ChangedMeanwhile` if somebody else has overwritten the table since. Older versions
+        stay until `forget_versions`, so a reader that has begun can finish.
+        """
+        publish(df, self.path(table))
+
+    def forget_versions(self, table: Table, keep: int = 1) -> int:
+        return forget_versions(self.spark, self.path(table), keep)
 
     def replace_part(self, df: DataFrame, table: Table, part: str) -> DataFrame:
         """Write one named part of a table, replacing an earlier attempt; returns it as stored."""
-        folder = f"{self.path(table)}/{part}"
+        folder = f"{self._place(table)}/{part}"
         enforced(df, table).write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(table.struct).parquet(folder)
 
@@ -224,16 +265,27 @@ class JdbcStore(_Store):
         return not listed.filter(found).isEmpty()
 
     def create(self, tables: Iterable[Table]) -> None:
-        """Create missing tables by writing no rows, with the declared column types."""
+        """Create missing tables with their declared types, NOT NULL columns and primary keys.
+
+        Spark's own writer cannot declare keys, so the definitions go to the database as they are.
+        """
         for table in tables:
             if not self.exists(table):
-                types = ", ".join(
-                    f"{c.name} VARCHAR({c.length})" for c in table.columns if c.length
-                )
-                # A schema of its own, because it says which columns are NOT NULL.
-                empty = self.spark.createDataFrame([], table.struct)
-                writer = empty.write.option("createTableColumnTypes", types) if types else empty.write
-                writer.jdbc(self.url, self.name(table), properties=self.properties)
+                self._execute(table.definition_as(self.name(table)))
+
+    def _execute(self, statement: str) -> None:
+        """Run one statement on the driver, over a connection of the driver class that Spark uses."""
+        jvm = self.spark._jvm
+        if "driver" in self.properties:
+            jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(self.properties["driver"])
+        properties = jvm.java.util.Properties()
+        for key, value in self.properties.items():
+            properties.setProperty(key, value)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        try:
+            connection.createStatement().execute(statement)
+        finally:
+            connection.close()
 
     def read(self, table: Table) -> DataFrame:
         self.require(table)

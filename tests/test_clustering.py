@@ -143,3 +143,48 @@ def test_result_table_is_replaced(spark, tmp_path):
     store.append(fact(spark, [(3, 7)]).withColumn("orderid", F.lit(1000)), FACT)
     assert cluster_fact(store).count() == 61
 
+
+
+def plain_cost(points, labels, spread):
+    points = np.array(points, float) / spread
+    return sum(((points[labels == c] - points[labels == c].mean(0)) ** 2).sum() for c in set(labels.tolist()))
+
+
+def test_spread_centres_are_far_apart_points(spark):
+    points = [(1, 10), (1, 11), (1, 12), (20, 10), (20, 11), (1, 900), (1, 901), (20, 900)] * 5
+    grouped = clustering.points(fact(spark, points))
+    found = clustering.spread_centres(grouped, [1.0, 100.0], 4)
+    groups = {(c[0] > 10, c[1] > 500) for c in found}
+    assert len(groups) == 4 and set(found) <= {(float(a), float(b)) for a, b in points}
+    assert clustering.spread_centres(grouped.repartition(7), [1.0, 100.0], 4) == found
+
+
+def test_seeded_lloyd_is_a_fixed_point_and_repeatable(spark):
+    points = scattered(300)
+    df = fact(spark, points)
+    rows = clustering.seeded_lloyd(df).orderBy("orderid").collect()
+    labels = np.array([r["cluster"] for r in rows])
+    spread = np.std(points, axis=0, ddof=1)
+    centres = np.array([np.array(points)[labels == c].mean(0) for c in range(4)])
+    assert list(nearest(points, centres, spread)) == labels.tolist()
+    again = clustering.seeded_lloyd(df.repartition(5, "amount")).orderBy("orderid").collect()
+    assert again == rows
+
+
+def test_seeded_lloyd_costs_no_more_than_the_job(spark, orders):
+    points = [(r["countryid"], r["amount"]) for r in orders.orderBy("orderid").collect()]
+    spread = np.std(points, axis=0, ddof=1)
+    found = clustering.seeded_lloyd(orders).orderBy("orderid").collect()
+    job = clustering.score(clustering.fit(orders), orders).orderBy("orderid").collect()
+    costs = [plain_cost(points, np.array([r["cluster"] for r in x]), spread) for x in (found, job)]
+    assert costs[0] <= costs[1] * (1 + 1e-9)
+
+
+def test_seeded_lloyd_of_few_points(spark):
+    df = fact(spark, [(1, 10), (2, 20), (2, 20)])
+    labels = {(r["amount"], r["cluster"]) for r in clustering.seeded_lloyd(df).collect()}
+    assert labels == {(10, 0), (20, 1)}
+    same = fact(spark, [(1, 10)] * 3)
+    assert {r["cluster"] for r in clustering.seeded_lloyd(same).collect()} == {0}
+    with pytest.raises(ValueError, match="at least one fact row"):
+        clustering.seeded_lloyd(fact(spark, []))

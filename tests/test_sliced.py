@@ -1,0 +1,121 @@
+"""Stores that cut tables into slices of ids: the same jobs, and scans of a few folders only."""
+
+import re
+
+import pytest
+
+from salesflow.operators.incremental import next_batch
+from salesflow.plans import jobs
+from salesflow.plans.summaries import keep_summaries
+from salesflow.schemas import CLEANED, DIM_COUNTRY, FACT, RESULT, STAGING, STAR
+from salesflow.sources.sample import raw_sales
+from salesflow.sources.sliced import SlicedStore
+from salesflow.sources.stores import MissingTable, ParquetStore
+from salesflow.streaming.loop import run_loop
+from tests.rows import ids_of, sales
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    made = SlicedStore(spark, str(tmp_path / "tables"), slice_bits=4)
+    made.create_staging_area()
+    made.create_star()
+    return made
+
+
+def filters(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    return [f for f in re.findall(r"PartitionFilters: \[(.*)\]", capsys.readouterr().out) if f]
+
+
+def test_jobs_give_what_they_give_on_plain_folders(spark, tmp_path):
+    sliced = SlicedStore(spark, str(tmp_path / "sliced"), slice_bits=7)
+    plain = ParquetStore(spark, str(tmp_path / "plain"))
+    for store in (sliced, plain):
+        store.create_staging_area()
+        store.create_star()
+        store.append(raw_sales(spark, DATA), STAGING)
+        jobs.clean_next_batch(store, 300)
+        jobs.transfer_next_batch(store, store, 200)
+        jobs.run_to_completion(store, store, 400)
+    for table in (STAGING, CLEANED, *STAR):
+        left, right = sliced.read(table), plain.read(table)
+        assert left.columns == table.names
+        assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty(), table.name
+
+
+def test_a_batch_reads_its_slices(spark, store, capsys):
+    store.append(sales(spark, [*range(1, 100), None, 0, -20]), STAGING)
+    batch = next_batch(store.read(STAGING), 40, 10, store.id_counts(STAGING))
+    rows = store.rows_between(STAGING, 40, batch.last_id)
+    assert ids_of(rows) == list(range(41, 51))
+    assert any("slice#" in f and ">= 2" in f and "<= 3" in f for f in filters(rows, capsys))
+    assert any(">= 6" in f for f in filters(store.rows_after(STAGING, 100), capsys))
+
+
+def test_the_fact_side_of_a_load_reads_its_slices(spark, store, capsys, monkeypatch):
+    store.append(sales(spark, range(1, 200)), FACT, keys_are_new=True)
+    seen = []
+    append = SlicedStore.append
+
+    def watched(self, df, table, **options):
+        if table is FACT:
+            seen.append(df)
+        append(self, df, table, **options)
+
+    monkeypatch.setattr(SlicedStore, "append", watched)
+    jobs.load_star(sales(spark, range(190, 210)), store, 190, 209)
+    assert any("slice#" in f and ">= 11" in f and "<= 13" in f for f in filters(seen[0], capsys))
+    assert ids_of(store.read(FACT)) == list(range(1, 210))
+
+
+def test_the_watermark_reads_the_last_slice(spark, store):
+    assert store.largest_id(FACT) == 0
+    for ids in ([1, 2, 70], [3], [69]):
+        store.append(sales(spark, ids), FACT, keys_are_new=True)
+    assert store.largest_id(FACT) == store.largest_id(FACT, 69) == 70
+    assert store.largest_id(FACT, 70) == 70 and store.largest_id(FACT, 500) == 500
+    store.append(sales(spark, [None, -3]), STAGING)
+    assert store.largest_id(STAGING) == 0
+
+
+def test_parts_are_replaced_in_all_their_slices(spark, store):
+    store.append(sales(spark, [5, 50]), CLEANED)
+    for amount in (1, 2):
+        stored = store.replace_part(sales(spark, [6, 40, 51], amount=amount), CLEANED, "one")
+    assert ids_of(stored) == [6, 40, 51]
+    assert sorted((r["orderid"], r["amount"]) for r in store.read(CLEANED).collect()) == [
+        (5, 10), (6, 2), (40, 2), (50, 10), (51, 2),
+    ]
+
+
+def test_summaries_repairs_and_the_loop(spark, store, tmp_path):
+    summaries = keep_summaries(store, 6)
+    store.append(sales(spark, range(1, 300)), STAGING)
+    run_loop(store, store, str(tmp_path / "state"), 80, batches=2)
+    store.append(sales(spark, range(161, 200, 3)), FACT, keys_are_new=True)
+    run_loop(store, store, str(tmp_path / "state"), 80)
+    assert jobs.repair_star(store, store) in (0, len(range(161, 200, 3)))
+    assert ids_of(store.read(FACT)) == list(range(1, 300))
+    assert sum(r["orders"] for r in summaries.sales_by_country_quarter().collect()) == 299
+
+
+def test_other_tables_are_plain(spark, store):
+    store.overwrite(sales(spark, [1]), RESULT)
+    store.overwrite(sales(spark, [2]), RESULT)
+    assert ids_of(store.read(RESULT)) == [2]
+    store.append(sales(spark, [1]).select(*DIM_COUNTRY.names), DIM_COUNTRY)
+    assert store.read(DIM_COUNTRY).count() == 1
+    with pytest.raises(TypeError, match="only grows"):
+        store.overwrite(sales(spark, [1]), FACT)
+
+
+def test_missing_and_repeated_creation(spark, store, tmp_path):
+    store.append(sales(spark, [1]), FACT)
+    store.create_star()
+    assert ids_of(store.read(FACT)) == [1]
+    with pytest.raises(MissingTable):
+        SlicedStore(spark, str(tmp_path / "none")).read(FACT)

@@ -5,7 +5,7 @@ import datetime
 import pytest
 
 from salesflow.schemas import DIM_CATEGORY, FACT, RESULT, STAGING, Table
-from salesflow.sources.csv import read_csv
+from salesflow.sources.csv import read_csv, read_csv_with_rejects
 from salesflow.sources.stores import JdbcStore, MissingTable, ParquetStore
 from salesflow.sources.workspace import new_folder, saved, shared_folder
 from tests.rows import ids_of, sales
@@ -117,6 +117,19 @@ def test_jdbc_tables_without_ids_and_missing_ones(spark):
         store.read(STAGING)
 
 
+def test_jdbc_tables_are_created_with_their_keys(spark, monkeypatch):
+    store, _ = jdbc_store(spark, 1, 2)
+    sent = []
+    monkeypatch.setattr(JdbcStore, "_execute", lambda self, statement: sent.append(" ".join(statement.split())))
+    store.create_star()
+    assert [s.split("(")[0] for s in sent] == ["CREATE TABLE public.dim_date ", "CREATE TABLE public.dim_country "]
+    assert sent[1] == (
+        "CREATE TABLE public.dim_country ( countryid INT NOT NULL, country VARCHAR(50), PRIMARY KEY (countryid) )"
+    )
+    store.create_staging_area()
+    assert len(sent) == 4 and "PRIMARY KEY" not in sent[2]
+
+
 def test_jdbc_watermark_and_counts_are_sent_as_sql(spark):
     store, session = jdbc_store(spark, 1, 2)
     session.answers["max(orderid) AS max_orderid"] = spark.createDataFrame([(12,)], "max_orderid int")
@@ -134,3 +147,30 @@ def test_jdbc_watermark_and_counts_are_sent_as_sql(spark):
         " WHERE orderid BETWEEN 13 AND 99 GROUP BY orderid) q",
     ]
     assert "public.fact_orders" not in asked  # the table itself was never read
+
+
+def test_lines_that_do_not_fit_are_rejected_with_their_reason(spark, tmp_path):
+    bad = {
+        LINE.replace("120", "many"): "amount",
+        LINE.replace("120", "many").replace("1995-01-03", "3 January"): "amount, date",
+        LINE + ",more": "number of fields",
+        "7,8": "number of fields",
+        LINE.replace("120", "99999999999"): "amount",
+    }
+    rows = read_csv_with_rejects(spark, written(tmp_path, HEADER, LINE, *bad, "", LINE))
+    assert ids_of(rows.accepted) == [7, 7] and rows.accepted.columns == STAGING.names
+    assert rows.accepted.first()["date"] == datetime.date(1995, 1, 3)
+    assert {r["line"]: r["reason"] for r in rows.rejected.collect()} == bad
+    assert all(r["file"].endswith("sales.csv") for r in rows.rejected.collect())
+    # What is counted does not depend on the columns that are read.
+    assert rows.accepted.count() + rows.rejected.count() == len(bad) + 2
+    assert rows.accepted.select("orderid").count() == 2
+
+
+def test_quoted_values_are_accepted(spark, tmp_path):
+    line = LINE.replace("12ASIA_A7", '"A, B"')
+    rows = read_csv_with_rejects(spark, written(tmp_path, HEADER, line))
+    assert rows.accepted.first()["country"] == "A, B" and rows.rejected.isEmpty()
+    other = HEADER.replace("amount", "price")
+    rows = read_csv_with_rejects(spark, written(tmp_path, other, LINE))
+    assert ids_of(rows.accepted) == [7] and [r["line"] for r in rows.rejected.collect()] == [other]
