@@ -180,3 +180,32 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"),
     ("http www", "https www"),
 )
+
+# (licence, digest of the canonical form of its text), for long texts that are not kept here; with and
+# without what follows the end of the terms.
+DIGESTS = (
+    ("Apache-2.0", "4a6318c7afd8feed8c4463ea5ae0f2f609d433928a8b17f31104c8e7743de2c5"),
+    ("Apache-2.0", "b93faad605f4e5d56d92cb01789c993887913c893e441b2305b4f880a9cead93"),
+    ("Apache-2.0", "4d82b1bff1ec74deb3a29bbe890a43fcd5d6d11ae4b24b20d2c0ef74a1b12809"),
+    ("GPL-1.0", "98db0b473e0a45a62b04a39b6b864b4e079a58d513e2196f94fe7252fa8574a6"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-1.0", "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70"),
+    ("GPL-2.0", "e95eb1718f9f373d56cc586a5f7d1bfa11668867f6e85e982d2b6108b97d90a1"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-2.0", "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808"),
+    ("GPL-3.0", "df71f3c423c11bc52456a9775329f1d9a3168a6f071654750b9eb155fb3ec0eb"),
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636"),
+    ("GPL-3.0", "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191"),
+    ("LGPL-2.0", "e4deecd0730802431ad09f00ae3793f3703c8e4dba639586545d9f958405614d"),
+    ("LGPL-2.0", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260"),
+    ("LGPL-2.0", "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2"),
+    ("LGPL-2.1", "d3826e4e563a04a354453ff139a32b19d6c3fe283f518eb566107c54e18cd01f"),
+    ("LGPL-2.1", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4"),
+    ("LGPL-2.1", "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "26ba73e836ecb04fe87d5eca80ca27cff1afa2d7683455be1517bd23b8d27986"),
+    ("MPL-2.0", "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d"),
+    ("CC0-1.0", "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e"),
+    ("GFDL-1.2", "1c057ea35084eb195331cec1a49fca335c176422a7726a9a23636906fd4e241f"),
+    ("GFDL-1.3", "7e8edd3abe6258bb82bb853d91a0c24fcd9976894fd0592747354cffe1cb18e7"),
+)

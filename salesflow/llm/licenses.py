@@ -1,7 +1,8 @@
 """Licence scan by canonical digests, in built-in column functions.
 
-Texts are normalised in case, punctuation, copyright lines and equivalent spellings, so that copies
-of a licence that differ only there have one digest; whole texts are hash-joined to known digests.
+Texts are normalised in case, punctuation, comment marks, copyright statements and equivalent
+spellings, so that copies of a licence that differ only there have one digest; all other words, of any
+script, belong to the text. Whole texts are hash-joined to known digests.
 Lines that say under which licence a text is are looked up in the same way.
 """
 
@@ -12,20 +13,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm.license_texts import NOTICES, SPELLINGS, TEXTS
+from salesflow.llm.license_texts import DIGESTS, NOTICES, SPELLINGS, TEXTS
 from salesflow.llm.tables import id_and_text, rows_of
 
-# Lines that name a copyright holder or reserve rights, in lower case.
-COPYRIGHT_LINE = r"(?:^|\n)[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*"
-NO_WORD = "[^a-z0-9]+"
+# Marks that may stand before a line's first word, such as those of comments.
+_MARKS = r"(?:^|\n)[^\p{L}\p{N}\n©(]*"
+# A copyright statement: a mark or the word, a year (or both marks), and a holder to the end of the line
+# or of the sentence; a point inside a number or after a usual abbreviation ends none. In lower case.
+_YEAR = r"[<\[{]?(?:[0-9]{4}|yyyy|year)"
+COPYRIGHT = (
+    _MARKS
+    + rf"(?:(?:copyright|\(c\)|©)[ \t:,]*{_YEAR}|copyright[ \t]*(?:\(c\)|©)|(?:\(c\)|©)[ \t]*copyright)"
+    + r"(?:(?:inc|ltd|co|corp|llc|gmbh|jr|dr|al)\.|[.!?][^\s]|[^\n.!?]){0,300}[.!?]?"
+)
+RIGHTS = _MARKS + r"all rights reserved[.!]?"
+# Words are letters, their marks and digits of any script.
+NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
 # Every known notice has one of these words; other lines need no digest.
 NOTICE_WORD = "licen|released"
 assert all(any(w in notice.lower() for w in NOTICE_WORD.split("|")) for _, notice in NOTICES)
 
 
 def canonical(text: Column) -> Column:
-    """The words of a text that matter for telling licences apart."""
-    plain = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
+    """The words of a text that matter for telling licences apart: all but copyright statements."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, "\n"), RIGHTS, "\n")
     words = F.trim(F.regexp_replace(plain, NO_WORD, " "))
     return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, words)
 
@@ -34,9 +45,13 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known(spark: SparkSession, texts=TEXTS) -> DataFrame:
-    """(license, digest) of the given texts: one row for each digest."""
-    return digests(rows_of(spark, "license string, text string", list(texts)))
+def known(spark: SparkSession, texts=TEXTS, ready=DIGESTS) -> DataFrame:
+    """(license, digest) of the given texts and of digests made before: one row for each digest."""
+    found = digests(rows_of(spark, "license string, text string", list(texts)))
+    if not ready:
+        return found
+    more = rows_of(spark, "license string, digest string", list(ready))
+    return found.unionByName(more).groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def digests(texts: DataFrame) -> DataFrame:
@@ -55,7 +70,7 @@ def scanned(docs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     of other known texts takes their place, of any size.
     """
     spark = docs.sparkSession
-    notices = known(spark, NOTICES).collect()
+    notices = known(spark, NOTICES, ()).collect()
     by_digest = F.create_map(*(F.lit(x) for r in notices for x in (r["digest"], r["license"])))
     lines = F.filter(
         F.split("text", "\n"), lambda line: F.lower(line).rlike(NOTICE_WORD)
@@ -84,8 +99,17 @@ def _quoted(text: str) -> str:
 
 
 def _canonical_sql(text: str) -> str:
-    words = f"trim(regexp_replace(regexp_replace(lower({text}), '{COPYRIGHT_LINE}', ' ', 'g'), '{NO_WORD}', ' ', 'g'))"
-    return reduce(lambda t, pair: f"replace({t}, '{pair[0]}', '{pair[1]}')", SPELLINGS, words)
+    """The same form, made line by line: marks go first, then statements at the start of a line."""
+    year = "[<\\[{]?([0-9]{4}|yyyy|year)"
+    begin = f"((copyright|[(]c[)]|©)[ \\t:,]*{year}|copyright[ \\t]*([(]c[)]|©)|([(]c[)]|©)[ \\t]*copyright)"
+    rest = "((inc|ltd|co|corp|llc|gmbh|jr|dr|al)[.]|[.!?][^ \\t\\n\\r\\f\\v]|[^.!?]){0,300}[.!?]?"
+    line = "regexp_replace(line, '^[^\\p{L}\\p{N}©(]+', '')"
+    line = f"regexp_replace({line}, '^{begin}{rest}', '')"
+    line = f"regexp_replace({line}, '^[^\\p{{L}}\\p{{N}}©(]*all rights reserved[.!]?', '')"
+    lines = f"list_transform(string_split(lower({text}), chr(10)), lambda line: {line})"
+    words = f"list_filter(regexp_split_to_array(array_to_string({lines}, ' '), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda w: w <> '')"
+    joined = f"array_to_string({words}, ' ')"
+    return reduce(lambda t, pair: f"replace({t}, '{pair[0]}', '{pair[1]}')", SPELLINGS, joined)
 
 
 def oracle_sql() -> str:
@@ -94,8 +118,9 @@ def oracle_sql() -> str:
 
     return f"""
 with texts as (
-  select sha256({_canonical_sql("t")}) as digest, min(l) as license
-  from (values {values(TEXTS)}) v(l, t) group by 1
+  select digest, min(l) as license from (
+    select sha256({_canonical_sql("t")}) as digest, l from (values {values(TEXTS)}) v(l, t)
+    union all select t, l from (values {values(DIGESTS)}) v(l, t)) group by digest
 ), notices as (
   select sha256({_canonical_sql("t")}) as digest, min(l) as license
   from (values {values(NOTICES)}) v(l, t) group by 1
