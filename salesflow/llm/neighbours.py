@@ -1,15 +1,14 @@
 """Nearest neighbours of a stated query set by a block matrix join.
 
-Vectors are quantised to signed bytes, which leaves an error of known length. Queries and candidates
-are laid out in tiles; each pair of tiles is one integer matrix product, which bounds every distance
-from both sides. Pairs whose lower bound is above the k-th upper bound are done with; the others are
-computed again in double precision, and heaps of the k best are merged for each query.
+Vectors are quantised to signed bytes once, which leaves an error of known length. Queries and
+candidates are laid out in tiles of bytes; each pair of tiles is one integer matrix product, which bounds
+every distance from both sides. Pairs whose lower bound is above the query's k-th upper bound are done
+with; the few others meet their original vectors and are computed again in double precision, and
+the k best are merged for each query.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,21 +20,24 @@ from salesflow.sources.workspace import saved
 NEIGHBOURS = 10
 QUERY_SHARE = 100
 # Vectors of a query tile and of a candidate tile.
-QUERY_TILE = 2_048
+QUERY_TILE = 4_096
 CANDIDATE_TILE = 4_096
 # Columns into which the candidates of a query tile are dealt, and so the tasks that share it.
 GRID = 32
 # Rows of a query tile that are compared at once.
 _STRIP = 256
+# Distances below this are lost in the squares of double precision, and no bound may rely on them.
+_TINY = 1e-150
 
-_TILE = "size int, tile long, ids binary, vectors binary"
+_TILE = "size int, tile long, ids binary, ties binary, codes binary, scale binary, error binary"
+_PARTS = ("ids", "ties", "codes", "scale", "error")
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, vector): one vector of doubles for each id that can take part.
+    """(vec_id, tie, vector): the vectors of doubles that can take part, equal rows once.
 
     Left out are NULL and empty vectors, those with a NULL, infinite or undefined component, zero
-    vectors, and rows without an id. Of several different vectors with one id the smallest counts.
+    vectors, and rows without an id. `tie` tells different vectors of one id apart.
     """
     vector = F.col("vector")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -46,37 +48,40 @@ def usable(vectors: DataFrame) -> DataFrame:
             F.col("embedding").cast("array<double>").alias("vector"),
         )
         .filter(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
-        .groupBy("vec_id")
-        .agg(F.min("vector").alias("vector"))
+        .distinct()
+        .select("vec_id", F.xxhash64("vector").alias("tie"), "vector")
     )
 
 
 def _tiles(rows_per_tile: int):
-    """Packs rows (vec_id, vector) into tiles of vectors with the same number of components."""
+    """Packs rows (vec_id, tie, vector) into tiles of quantised vectors of as many components."""
 
     def tiles(batches):
-        waiting: dict[int, tuple[list, list]] = {}
+        waiting: dict[int, tuple[list, list, list]] = {}
         number = 0
 
         def tile(size: int):
             nonlocal number
-            ids, vectors = waiting.pop(size)
+            ids, ties, vectors = waiting.pop(size)
             number += 1
+            codes, scale, error = quantised(np.array(vectors, np.float64))
+            parts = (np.array(ids, "<i8"), np.array(ties, "<i8"), codes, scale.astype("<f8"), error.astype("<f8"))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([size], pa.int32()),
                     pa.array([number], pa.int64()),
-                    pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
-                    pa.array([np.array(vectors, "<f8").tobytes()], pa.binary()),
+                    *(pa.array([p.tobytes()], pa.binary()) for p in parts),
                 ],
-                ["size", "tile", "ids", "vectors"],
+                ["size", "tile", *_PARTS],
             )
 
         for batch in batches:
-            for vec_id, vector in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            columns = (batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
+            for vec_id, tie, vector in zip(*columns, strict=True):
                 values = vector.values.to_numpy(zero_copy_only=False)
-                ids, vectors = waiting.setdefault(len(values), ([], []))
+                ids, ties, vectors = waiting.setdefault(len(values), ([], [], []))
                 ids.append(vec_id)
+                ties.append(tie)
                 vectors.append(values)
                 if len(ids) == rows_per_tile:
                     yield tile(len(values))
@@ -87,12 +92,26 @@ def _tiles(rows_per_tile: int):
 
 
 def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signed bytes, the scale of each vector, and the exact length of its quantisation error."""
+    """Signed bytes, the scale of each vector, and the length of its quantisation error."""
     scale = np.abs(vectors).max(axis=1) / 127.0
     scale = np.where(scale > 0, scale, 1.0)
-    codes = np.rint(vectors / scale[:, None])
-    error = np.linalg.norm(vectors - codes * scale[:, None], axis=1)
-    return codes.astype(np.int8), scale, error
+    # Errors are measured in units of the scale, so that no square leaves the range of doubles.
+    units = vectors / scale[:, None]
+    codes = np.rint(units)
+    return codes.astype(np.int8), scale, np.linalg.norm(units - codes, axis=1) * scale
+
+
+class Tile:
+    """Quantised vectors of one size with their ids, as bytes that travel and as arrays."""
+
+    def __init__(self, size: int, ids: bytes, ties: bytes, codes: bytes, scale: bytes, error: bytes):
+        self.ids = np.frombuffer(ids, "<i8")
+        self.ties = np.frombuffer(ties, "<i8")
+        self.codes = np.frombuffer(codes, np.int8).reshape(-1, size)
+        self.scale = np.frombuffer(scale, "<f8")
+        self.error = np.frombuffer(error, "<f8")
+        with np.errstate(over="ignore", under="ignore"):
+            self.squares = (self.codes.astype(np.float64) ** 2).sum(axis=1) * self.scale**2
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -104,113 +123,164 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def nearest_in_tile(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, heaps: dict
-) -> None:
-    """Merge the k nearest candidates of a tile into the heap of each query.
-
-    A heap holds (-distance, -vec_id), so that its smallest entry is the one to drop.
-    """
-    codes, scale, error = quantised(vectors)
-    lengths = (codes.astype(np.float64) ** 2).sum(axis=1) * scale**2
-    for start in range(0, len(queries), _STRIP):
-        strip = queries[start : start + _STRIP]
-        own, own_scale, own_error = quantised(strip)
-        own_lengths = (own.astype(np.float64) ** 2).sum(axis=1) * own_scale**2
-        squares = own_lengths[:, None] + lengths - 2 * _products(own, codes) * own_scale[:, None] * scale
+def bounds(queries: Tile, rows: slice, tile: Tile) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the distances of some queries to a tile; none where they overflow."""
+    with np.errstate(all="ignore"):
+        products = _products(queries.codes[rows], tile.codes) * queries.scale[rows, None] * tile.scale
+        both = queries.squares[rows, None] + tile.squares
+        middle = np.sqrt(np.maximum(both - 2 * products, 0.0))
         # Rounding of these sums is covered by a small share of the lengths.
-        slack = 1e-6 * np.sqrt(own_lengths[:, None] + lengths)
-        middle = np.sqrt(np.maximum(squares, 0.0))
-        reach = own_error[:, None] + error + slack
+        reach = queries.error[rows, None] + tile.error + 1e-6 * np.sqrt(both) + _TINY
         low, high = middle - reach, middle + reach
-        for row in range(len(strip)):
-            query = int(query_ids[start + row])
-            heap = heaps.setdefault(query, [])
-            other = ids != query
-            upper = high[row][other]
-            limit = np.partition(upper, k - 1)[k - 1] if len(upper) > k else np.inf
-            if len(heap) == k:
-                limit = min(limit, -heap[0][0])
-            survivors = np.flatnonzero(other & (low[row] <= limit))
-            exact = np.sqrt(((vectors[survivors] - strip[row]) ** 2).sum(axis=1))
-            for distance, vec_id in zip(exact.tolist(), ids[survivors].tolist(), strict=True):
-                entry = (-distance, -vec_id)
-                if len(heap) < k:
-                    heapq.heappush(heap, entry)
-                elif entry > heap[0]:
-                    heapq.heapreplace(heap, entry)
+    return np.where(np.isfinite(low), low, -np.inf), np.where(np.isfinite(high), high, np.inf)
+
+
+class Survivors:
+    """Candidates of one query that may be among its k nearest, as far as tiles have been seen."""
+
+    def __init__(self, k: int):
+        self._k = k
+        self._best: dict[int, float] = {}
+        self._rows: list[tuple[np.ndarray, ...]] = []
+        self._held = 0
+        self.limit = np.inf
+
+    def add(self, ids: np.ndarray, ties: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        """Candidates none of which is the query itself; an id can come with several vectors."""
+        near = np.flatnonzero(low <= self.limit)
+        closer = near[high[near] < self.limit]
+        if len(closer) > 4 * self._k:
+            # The k-th smallest bound of different ids: each id counts with its smallest one.
+            order = np.lexsort((high[closer], ids[closer]))
+            first = np.r_[True, np.diff(ids[closer][order]) != 0]
+            own = closer[order][first]
+            closer = own[np.argsort(high[own], kind="stable")[: self._k]]
+        for vec_id, bound in zip(ids[closer].tolist(), high[closer].tolist(), strict=True):
+            self._best[vec_id] = min(bound, self._best.get(vec_id, np.inf))
+        if len(self._best) >= self._k:
+            kept = sorted(self._best.items(), key=lambda item: item[1])[: self._k]
+            self._best, self.limit = dict(kept), kept[-1][1]
+        near = near[low[near] <= self.limit]
+        self._rows.append((ids[near], ties[near], low[near], high[near]))
+        self._held += len(near)
+        if self._held > 1_000 + 50 * self._k:
+            self._rows = [self.rows()]
+            self._held = len(self._rows[0][0])
+
+    def rows(self) -> tuple[np.ndarray, ...]:
+        """ids, ties, lower and upper bounds of those that are still possible."""
+        columns = [np.concatenate(c) for c in zip(*self._rows, strict=True)]
+        possible = columns[2] <= self.limit
+        return tuple(c[possible] for c in columns)
+
+
+_PAIR = "query_id long, query_tie long, vec_id long, tie long, low double, high double"
 
 
 def _search(k: int):
-    """The k best of each query among the candidate tiles of this task, for pairs of tiles."""
+    """The surviving candidates of each query among the tiles of this task, for pairs of tiles."""
 
     def search(batches):
-        heaps: dict[int, list] = {}
+        found: dict[tuple[int, int], Survivors] = {}
+        names = ["size", *(f"query_{n}" for n in _PARTS), *_PARTS]
         for batch in batches:
-            for size, query_ids, queries, ids, vectors in zip(
-                *(batch.column(n).to_pylist() for n in ("size", "query_ids", "queries", "ids", "vectors")),
-                strict=True,
-            ):
-                nearest_in_tile(
-                    np.frombuffer(query_ids, "<i8"),
-                    np.frombuffer(queries, "<f8").reshape(-1, size),
-                    np.frombuffer(ids, "<i8"),
-                    np.frombuffer(vectors, "<f8").reshape(-1, size),
-                    k,
-                    heaps,
-                )
-        rows = [(q, -d, -v) for q, heap in heaps.items() for d, v in heap]
-        for start in range(0, len(rows), 10_000):
-            columns = zip(*rows[start : start + 10_000], strict=True)
-            types = (pa.int64(), pa.float64(), pa.int64())
+            for row in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
+                queries, tile = Tile(row[0], *row[1:6]), Tile(row[0], *row[6:])
+                for start in range(0, len(queries.ids), _STRIP):
+                    rows = slice(start, start + _STRIP)
+                    low, high = bounds(queries, rows, tile)
+                    own = zip(queries.ids[rows].tolist(), queries.ties[rows].tolist(), strict=True)
+                    for place, query in enumerate(own):
+                        other = tile.ids != query[0]
+                        survivors = found.setdefault(query, Survivors(k))
+                        survivors.add(tile.ids[other], tile.ties[other], low[place][other], high[place][other])
+        for (query_id, query_tie), survivors in found.items():
+            ids, ties, low, high = survivors.rows()
+            same = [np.full(len(ids), x) for x in (query_id, query_tie)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                ["query_id", "score", "vec_id"],
+                [*(pa.array(c, pa.int64()) for c in (*same, ids, ties)), pa.array(low), pa.array(high)],
+                ["query_id", "query_tie", "vec_id", "tie", "low", "high"],
             )
 
     return search
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFrame:
-    """query_id, rank, vec_id and score: the k nearest of each query, by Euclidean distance.
+def distance(a: str, b: str) -> Column:
+    """The Euclidean distance of two vectors, without losing those whose squares are out of range."""
+    gaps = F.zip_with(a, b, lambda x, y: x - y)
 
-    Exact: every candidate is compared, and only proven losers are not computed again. Vectors
-    are compared with those of as many components. Ties go to the smaller vec_id. A query with
-    fewer candidates has them all, one without any no row. What `usable` leaves out takes no part.
+    def length(values: Column) -> Column:
+        return F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
 
-    Every tile of queries meets every tile of candidates: candidates are copied to each query tile,
-    query tiles to each column of a grid, and both are joined on that. A task holds a few pairs of
-    tiles and the heaps of its queries.
-    """
-    good = saved(usable(vectors), "vectors")
+    largest = F.array_max(F.transform(gaps, F.abs))
+    scaled = F.when(largest == 0, 0.0).otherwise(largest * length(F.transform(gaps, lambda x: x / largest)))
+    plain = length(gaps)
+    return F.when((plain > 1e-140) & (plain < 1e150), plain).otherwise(scaled)
+
+
+def _candidates(good: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """Pairs of queries and candidates that no bound excludes, as a written table."""
     query_tiles = saved(
         good.filter(is_query)
         .mapInArrow(_tiles(QUERY_TILE), _TILE)
-        .select("size", "ids", "vectors", F.monotonically_increasing_id().alias("query_tile")),
+        .withColumn("query_tile", F.monotonically_increasing_id()),
         "query_tiles",
     )
-    tiles = saved(good.mapInArrow(_tiles(CANDIDATE_TILE), _TILE).select("size", "ids", "vectors"), "tiles")
+    tiles = saved(good.mapInArrow(_tiles(CANDIDATE_TILE), _TILE).drop("tile"), "tiles")
     numbers = query_tiles.groupBy("size").agg(F.collect_list("query_tile").alias("numbers"))
     copies = tiles.join(numbers, "size").select(
         F.explode("numbers").alias("query_tile"),
-        F.pmod(F.xxhash64("ids"), F.lit(GRID)).alias("column"),
-        "ids",
-        "vectors",
+        F.pmod(F.xxhash64("ids", "ties"), F.lit(GRID)).alias("column"),
+        *_PARTS,
     )
     asked = query_tiles.select(
         "query_tile",
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GRID - 1).cast("long"))).alias("column"),
         "size",
-        F.col("ids").alias("query_ids"),
-        F.col("vectors").alias("queries"),
+        *(F.col(n).alias(f"query_{n}") for n in _PARTS),
     )
     pairs = copies.join(asked, ["query_tile", "column"])
-    best = pairs.select("size", "query_ids", "queries", "ids", "vectors").mapInArrow(
-        _search(k), "query_id long, score double, vec_id long"
+    return saved(
+        pairs.select("size", *(f"query_{n}" for n in _PARTS), *_PARTS).mapInArrow(_search(k), _PAIR), "pairs"
+    )
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFrame:
+    """query_id, rank, vec_id and score: the k nearest of each query, by Euclidean distance.
+
+    Exact: every candidate is compared, and only proven losers are not computed again. Vectors
+    are compared with those of as many components. Ties go to the smaller vec_id. A query with
+    fewer candidates has them all, one without any no row. What `usable` leaves out takes no part.
+    An id with several different vectors is as near as the nearest of them, as a query and as a candidate;
+    vectors with the query's own id are no candidates. Components whose squares leave the range of
+    doubles have no bounds, so such pairs are all computed.
+
+    Every tile of queries meets every tile of candidates: candidates are copied to each query tile,
+    query tiles to each column of a grid, and both are joined on that, as bytes. A task holds a few
+    pairs of tiles and the survivors of its queries. Original vectors move for survivors only.
+    """
+    good = saved(usable(vectors), "vectors")
+    pairs = _candidates(good, is_query, k)
+    # The k-th upper bound of each query over all tiles; a query has a few rows of each grid column.
+    by_bound = Window.partitionBy("query_id").orderBy("high", "vec_id")
+    upper = pairs.groupBy("query_id", "vec_id").agg(F.min("high").alias("high"))
+    ranked = upper.withColumn("place", F.row_number().over(by_bound))
+    limits = ranked.filter(F.col("place") <= k).groupBy("query_id").agg(
+        F.when(F.count(F.lit(1)) == k, F.max("high")).otherwise(float("inf")).alias("limit")
+    )
+    left = pairs.join(limits, "query_id").filter(F.col("low") <= F.col("limit"))
+    asked = good.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("tie").alias("query_tie"), F.col("vector").alias("a"))
+    found = good.select("vec_id", "tie", F.col("vector").alias("b"))
+    exact = (
+        left.select("query_id", "query_tie", "vec_id", "tie")
+        .join(asked, ["query_id", "query_tie"])
+        .join(found, ["vec_id", "tie"])
+        .groupBy("query_id", "vec_id")
+        .agg(F.min(distance("a", "b")).alias("score"))
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
-        best.withColumn("rank", F.row_number().over(order))
+        exact.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
