@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from salesflow.llm.spans import let, running_sums
+from salesflow.llm.spans import chunks_of, cut, let, running_sums
 from salesflow.llm.tables import rows_of
 from salesflow.sources.workspace import saved
 
@@ -128,7 +128,7 @@ def conversations(messages: DataFrame, paths: int = 1) -> DataFrame:
 
     `messages` has role and text besides what `ways_up` needs; NULL ones count as empty. The spans
     are the places (start, end) of the escaped assistant texts in `formatted`, in code points.
-    A conversation is one text, so its messages come together in one row.
+    A conversation is one text, so its messages come together in one row, however long it is.
     """
     # Read several times, most of them without the texts.
     messages = saved(messages.select("conv_id", "node", "parent", "score", "role", "text"), "messages")
@@ -221,14 +221,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     text = F.col("formatted")
     parts = F.filter(F.split(text, CLOSE), lambda p: p != "")
-    learnt = F.array_join(
-        F.transform(
-            "loss_spans",
-            lambda s: unescaped(
-                text.substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
-            ),
+    # Cut from parts of the text, so that a span costs the same wherever it lies.
+    learnt = let(
+        chunks_of(text),
+        lambda chunks: F.array_join(
+            F.transform("loss_spans", lambda s: unescaped(cut(chunks, s["start"], s["end"]))), ""
         ),
-        "",
     )
     loss = let(
         learnt,

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.spans import let, matches
+from salesflow.llm.spans import chunks_of, cut, let, matches, scan
 from salesflow.llm.tables import id_and_text
 from salesflow.sources.workspace import saved
 
@@ -263,22 +263,54 @@ def learn(found: DataFrame) -> SpanClassifier:
 
 
 def _all_spans(found: Column, model: SpanClassifier) -> Column:
-    """Base spans and the accepted candidates that overlap neither them nor an earlier one."""
+    """Base spans and the accepted candidates that overlap neither them nor one that begins earlier.
+
+    Two scans over the spans by their start: backwards for the next base span, forwards for the ends
+    of base spans and of candidates taken so far.
+    """
 
     def spans(all_found: Column) -> Column:
-        bare = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-        base = F.transform(F.filter(all_found, lambda s: s["base"]), bare)
-        more = F.transform(F.filter(all_found, lambda s: ~s["base"] & model.accepts(s)), bare)
+        usable = F.filter(all_found, lambda s: s["base"] | model.accepts(s))
+        # Of equal starts the base span comes first.
+        ordered = F.sort_array(
+            F.transform(
+                usable,
+                lambda s: F.struct(
+                    s["start"].alias("start"), (~s["base"]).alias("added"), s["kind"].alias("kind"), s["end"].alias("end")
+                ),
+            )
+        )
+        return let(ordered, apart)
+
+    def apart(ordered: Column) -> Column:
+        none = F.lit((1 << 63) - 1)
+        next_base = F.reverse(
+            scan(
+                F.reverse(ordered),
+                none,
+                lambda base, s: F.when(s["added"], base).otherwise(s["start"]),
+                lambda base, s: base,
+            )
+        )
+        known = F.zip_with(ordered, next_base, lambda s, base: F.struct(s.alias("s"), base.alias("next_base")))
 
-        def apart(taken: Column, span: Column) -> Column:
-            return ~F.exists(taken, lambda t: (t["start"] < span["end"]) & (span["start"] < t["end"]))
+        def stays(end: Column, k: Column) -> Column:
+            return ~k["s"]["added"] | ((k["s"]["start"] >= end) & (k["next_base"] >= k["s"]["end"]))
 
-        return F.aggregate(
-            more,
-            base,
-            lambda taken, span: F.when(apart(taken, span), F.array_append(taken, span)).otherwise(taken),
-            lambda taken: F.sort_array(taken),
+        flags = scan(
+            known,
+            F.lit(0).cast("long"),
+            lambda end, k: F.when(stays(end, k), F.greatest(end, k["s"]["end"])).otherwise(end),
+            stays,
         )
+        chosen = F.filter(
+            F.zip_with(ordered, flags, lambda s, flag: F.struct(s.alias("s"), flag.alias("stays"))), lambda x: x["stays"]
+        )
+        bare = F.transform(
+            chosen,
+            lambda x: F.struct(x["s"]["kind"].alias("kind"), x["s"]["start"].alias("start"), x["s"]["end"].alias("end")),
+        )
+        return F.sort_array(bare)
 
     return let(found, spans)
 
@@ -322,48 +354,44 @@ def personal_data(docs: DataFrame) -> DataFrame:
     )
 
 
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with each span replaced by its kind; what overlaps goes under the first one's name."""
+    names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
+    by_start = F.sort_array(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    )
+
+    def written(chunks: Column, ordered: Column) -> Column:
+        # Where the text goes on in front of each span: behind all spans before it.
+        begins = scan(ordered, F.lit(0).cast("long"), lambda at, s: F.greatest(at, s["end"]), lambda at, s: at)
+        parts = F.zip_with(
+            ordered,
+            begins,
+            lambda s, at: F.when(s["start"] < at, "").otherwise(
+                F.concat(cut(chunks, at, s["start"]), F.get(names, s["kind"]))
+            ),
+        )
+        end = F.array_max(F.transform(ordered, lambda s: s["end"]))
+        return F.concat(F.array_join(parts, ""), cut(chunks, end, F.length(text).cast("long")))
+
+    return let(chunks_of(text), lambda chunks: let(by_start, lambda ordered: written(chunks, ordered)))
+
+
 def masked(docs: DataFrame) -> DataFrame:
     """Documents whose text has each span replaced by its kind in brackets, such as [EMAIL].
 
     Overlapping spans are replaced together, under the name of the first. All columns are kept;
-    a NULL text stays NULL, and n_chars, where there is such a column, is the new text's length.
+    a NULL text stays NULL, and n_chars, where there is such a column, is the new text's length. An
+    empty table stays empty. Candidates are found once and written beside the documents.
     """
     rows = docs.select(F.struct("*").alias("row"), docs["text"].alias("text"))
-    model = learn(rows.select(candidates(F.coalesce("text", F.lit(""))).alias("found")))
-    names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    text = F.col("text")
-
-    def replaced(spans: Column) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-
-        def add(state: Column, span: Column) -> Column:
-            kept = text.substr((state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-            grown = F.array_append(
-                F.array_append(state["parts"], kept), F.get(names, span["kind"])
-            )
-            inside = span["start"] < state["at"]
-            return F.struct(
-                F.greatest(state["at"], span["end"]).alias("at"),
-                F.when(inside, state["parts"]).otherwise(grown).alias("parts"),
-            )
-
-        by_start = F.sort_array(
-            F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-        )
-        return F.aggregate(
-            by_start,
-            start,
-            add,
-            lambda state: F.concat(
-                F.array_join(state["parts"], ""),
-                text.substr((state["at"] + 1).cast("int"), F.length(text)),
-            ),
-        )
-
-    spans = _all_spans(candidates(text), model)
+    rows = rows.select("row", candidates(F.coalesce("text", F.lit(""))).alias("found"))
+    rows = saved(rows, "candidates")
+    model = learn(rows)
+    text = F.col("row.text")
     clean = F.when(
         text.isNotNull(),
-        let(spans, lambda s: F.when(F.size(s) == 0, text).otherwise(replaced(s))),
+        let(_all_spans(F.col("found"), model), lambda s: F.when(F.size(s) == 0, text).otherwise(_replaced(text, s))),
     )
     result = rows.select("row", clean.alias("_clean"))
     columns = []

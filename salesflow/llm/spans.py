@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Values whose running sums are built in one go; longer arrays are handled block by block.
 _BLOCK = 256
+# Characters of a part of a text that is cut at many places.
+CHUNK = 1024
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -16,6 +18,65 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def scan(values: Column, state: Column, step: Callable[[Column, Column], Column], output: Callable) -> Column:
+    """`output(state, value)` for each value from left to right, the state being changed by `step`.
+
+    Outputs are appended in blocks, so that a long array costs about as much for each value as a
+    short one. States must not be arrays.
+    """
+
+    def block(carried: Column, part: Column) -> Column:
+        return F.aggregate(
+            part,
+            F.struct(carried.alias("state"), F.transform(F.slice(part, 1, F.lit(0)), lambda v: output(carried, v)).alias("out")),
+            lambda held, v: F.struct(
+                step(held["state"], v).alias("state"),
+                F.array_append(held["out"], output(held["state"], v)).alias("out"),
+            ),
+        )
+
+    def over(all_values: Column) -> Column:
+        nothing = F.transform(F.slice(all_values, 1, F.lit(0)), lambda v: output(state, v))
+        starts = F.when(
+            F.size(all_values) > 0, F.sequence(F.lit(1), F.size(all_values), F.lit(_BLOCK))
+        ).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(
+            starts,
+            F.struct(state.alias("state"), F.slice(F.array(nothing), 1, F.lit(0)).alias("out")),
+            lambda held, start: let(
+                block(held["state"], F.slice(all_values, start, F.lit(_BLOCK))),
+                lambda done: F.struct(
+                    done["state"].alias("state"), F.array_append(held["out"], done["out"]).alias("out")
+                ),
+            ),
+            lambda held: F.flatten(held["out"]),
+        )
+
+    return let(values, over)
+
+
+def chunks_of(text: Column) -> Column:
+    """A text in parts of `CHUNK` characters; only the last can be shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def cut(chunks: Column, start: Column, end: Column) -> Column:
+    """The characters from `start` to `end`, exclusive, of a text in chunks, without walking through all of it."""
+
+    def part(number: Column) -> Column:
+        return F.coalesce(F.get(chunks, number), F.lit(""))
+
+    first, last = (F.floor(at / CHUNK).cast("int") for at in (start, end))
+    from_, to = ((at % CHUNK).cast("int") for at in (start, end))
+    return F.when(first == last, part(first).substr(from_ + 1, (end - start).cast("int"))).otherwise(
+        F.concat(
+            part(first).substr(from_ + 1, F.lit(CHUNK)),
+            F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+            part(last).substr(F.lit(1), to),
+        )
+    )
+
+
 def _sums(values: Column) -> Column:
     """The running sums of a short array, by appending."""
     start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<long>").alias("sums"))

@@ -1,6 +1,7 @@
 """Base spans against Python's patterns; further spans and masking on given sentences."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -98,6 +99,62 @@ def test_running_sums(spark, count):
     assert row.first()["s"] == [i * (i + 1) // 2 for i in range(count)]
 
 
+@pytest.mark.parametrize("count", [0, 1, 255, 256, 257, 1000])
+def test_scan(spark, count):
+    values = [(7 * i) % 11 - 3 for i in range(count)]
+    states = spans.scan(
+        F.lit(values).cast("array<long>"), F.lit(5).cast("long"), lambda s, v: F.greatest(s, v) + 1, lambda s, v: s + v
+    )
+    state, expected = 5, []
+    for v in values:
+        expected.append(state + v)
+        state = max(state, v) + 1
+    assert spark.range(1).select(states.alias("s")).first()["s"] == expected
+
+
+def test_cutting_a_text(spark):
+    text = "é😀\nab" * 900
+    places = [(0, 0), (0, 4500), (3, 1024), (1023, 1025), (1024, 2048), (2047, 4097), (4500, 4500), (4499, 4500)]
+    for given, wanted in ((text, places), ("", [(0, 0)]), ("x", [(0, 1), (1, 1)])):
+        chunks = spans.chunks_of(F.col("t"))
+        found = F.array(*(spans.cut(chunks, F.lit(a).cast("long"), F.lit(b).cast("long")) for a, b in wanted))
+        row = spark.createDataFrame([(given,)], "t string").select(found.alias("f")).first()
+        assert row["f"] == [given[a:b] for a, b in wanted]
+
+
+def test_spans_of_random_candidates(spark):
+    """Base spans stay, the others if they touch neither those nor one taken that begins earlier."""
+    rng = random.Random(5)
+    model = pii.SpanClassifier((0.0,) * 5, (1.0, 0.0, 0.0, 0.0, 0.0, 0.0), 0.0)
+    rows = []
+    for size in [0, 1, 2, 5, 40, 700]:
+        found = []
+        for _ in range(size):
+            start = rng.randrange(0, 6 * size)
+            base, vote = rng.random() < 0.3, rng.choice([-1, 0, 1])
+            found.append((rng.randrange(5), start, start + rng.randint(1, 9), base, vote, 0, 0, 0, 0, 0, 0))
+        rows.append((size, found))
+    fields = "kind:int,start:bigint,end:bigint,base:boolean,pattern:int,checksum:int,known:int,context:int,against:int,uniform:int,parted:int"
+    given = spark.createDataFrame(rows, f"size int, found array<struct<{fields}>>")
+    result = given.select("size", pii._all_spans(F.col("found"), model).alias("s")).collect()
+    for (_, found), row in zip(rows, result, strict=True):
+        taken = [s[:3] for s in found if s[3]]
+        ends = 0
+        for s in sorted((s for s in found if not s[3] and s[4] >= 0), key=lambda s: (s[1], s[0], s[2])):
+            if s[1] >= ends and not any(a < s[2] and s[1] < b for k, a, b, base, *_ in found if base):
+                taken.append(s[:3])
+                ends = s[2]
+        assert [tuple(s) for s in row["s"]] == sorted(taken)
+
+
+def test_masking_of_very_many_spans(spark):
+    line = "call 0151 234 5678 or a{}@b.cd, 10.0.0.{}\n"
+    text = "".join(line.format(i, i % 256) for i in range(4000))
+    (row,) = pii.masked(documents(spark, [text])).collect()
+    wanted = re.sub(r"a[0-9]+@b\.cd", "[EMAIL]", re.sub(r"10\.0\.0\.[0-9]+", "[IP]", text))
+    assert row["text"] in (wanted, wanted.replace("0151 234 5678", "[PHONE]"))
+
+
 def test_labelers_are_weighed(spark):
     texts = [
         "call me, tel: (974) 555-3436 today",
