@@ -14,23 +14,25 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.llm.labelled import share
 from salesflow.llm.tables import hash_bucket, id_and_text
+from salesflow.sources.workspace import saved
 
 DIMENSIONS = 1024
 SEED = 11
 # Documents of each language that its prototype is learnt from, about.
 SAMPLE_ROWS = 4_000
-# Languages that have a prototype: the most frequent ones, in case labels are not languages at all.
+# Prototypes that are held at once, by the driver and by a worker; more are compared in blocks.
 LANGUAGES = 500
 UNKNOWN = "und"
 # Sequences whose vectors a worker keeps.
 _CACHED = 16_384
-# Texts whose profiles are made at once, and characters counted at once.
+# Texts whose profiles are made at once, sequences added at once, and characters counted at once.
 _TEXTS = 64
+_SEQUENCES = 20_000
 _PIECE = 1_000_000
 
 
@@ -88,24 +90,41 @@ class Profiles:
         return codes, np.bincount(at, np.concatenate([n for _, n in found]), len(codes))
 
     def profiles(self, texts: list[str]) -> np.ndarray:
-        """A row for each text: the sum of its sequences' vectors; zeros without any letter."""
-        found = [self.sequences(t) for t in texts]
-        codes, at = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
-        row = np.repeat(np.arange(len(texts)), [len(c) for c, _ in found])
-        counts = np.bincount(
-            row * len(codes) + at, np.concatenate([n for _, n in found]), len(texts) * len(codes)
-        ).reshape(len(texts), len(codes))
+        """A row for each text: the sum of its sequences' vectors; zeros without any letter.
+
+        Sequences are added in bounded groups, whether one text has them or many.
+        """
         total = np.zeros((len(texts), self._dimensions))
+        group, held = [], 0
+        for row, text in enumerate(texts):
+            codes, counts = self.sequences(text)
+            for start in range(0, len(codes), _SEQUENCES):
+                part = slice(start, start + _SEQUENCES)
+                group.append((row, codes[part], counts[part]))
+                held += len(codes[part])
+                if held >= _SEQUENCES:
+                    self._add(total, group)
+                    group, held = [], 0
+        if group:
+            self._add(total, group)
+        return total
+
+    def _add(self, total: np.ndarray, group: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+        rows = [row for row, _, _ in group]
+        codes, at = np.unique(np.concatenate([c for _, c, _ in group]), return_inverse=True)
+        place = np.repeat(np.arange(len(group)), [len(c) for _, c, _ in group])
+        counts = np.concatenate([n for _, _, n in group])
         for start in range(0, len(codes), 4096):
             part = codes[start : start + 4096].tolist()
-            vectors = np.stack([self._vector(c) for c in part])
-            total += counts[:, start : start + 4096].astype(np.float32) @ vectors
-        return total
+            own = (at >= start) & (at < start + len(part))
+            table = np.zeros((len(group), len(part)), np.float32)
+            np.add.at(table, (place[own], at[own] - start), counts[own])
+            np.add.at(total, rows, table @ np.stack([self._vector(c) for c in part]))
 
 
 @dataclass(frozen=True)
-class Prototypes:
-    """Unit vectors of the languages, in the order of their names."""
+class Block:
+    """Unit vectors of some languages, in the order of their names."""
 
     names: tuple[str, ...]
     vectors: np.ndarray
@@ -123,9 +142,35 @@ class Prototypes:
         ]
 
 
+class Prototypes:
+    """The prototypes of all languages as a written table (block, lang, place, value)."""
+
+    def __init__(self, values: DataFrame, languages: int):
+        self._values = values
+        self.languages = languages
+        self.blocks = max(1, -(-languages // LANGUAGES))
+
+    def block(self, number: int) -> Block:
+        """At most `LANGUAGES` prototypes, which bounds what reaches the driver."""
+        found: dict[str, np.ndarray] = {}
+        for row in self._values.filter(F.col("block") == number).collect():
+            found.setdefault(row["lang"], np.zeros(DIMENSIONS))[row["place"]] = row["value"]
+        names = tuple(sorted(found))
+        vectors = np.array([found[n] / np.linalg.norm(found[n]) for n in names])
+        return Block(names, vectors.reshape(len(names), DIMENSIONS))
+
+
 def _bundles(batches):
-    """The sum of the unit profiles of each language's texts, as (lang, place, value) rows."""
+    """Sums of the unit profiles of each language's texts, as (lang, place, value) rows."""
     profiles, sums = Profiles(), {}
+
+    def rows():
+        for lang, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * DIMENSIONS), pa.array(np.arange(DIMENSIONS, dtype=np.int32)), pa.array(total)],
+                ["lang", "place", "value"],
+            )
+
     for batch in batches:
         langs = batch.column(0).to_pylist()
         for start in range(0, len(langs), _TEXTS):
@@ -134,53 +179,44 @@ def _bundles(batches):
             for lang, profile, length in zip(langs[start : start + _TEXTS], found, lengths, strict=True):
                 if length:
                     sums[lang] = sums.get(lang, 0.0) + profile / length
-    for lang, total in sums.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * DIMENSIONS), pa.array(np.arange(DIMENSIONS, dtype=np.int32)), pa.array(total)],
-            ["lang", "place", "value"],
-        )
+            if len(sums) > LANGUAGES:
+                yield from rows()
+                sums.clear()
+    yield from rows()
 
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Prototypes:
     """Prototypes from documents with a language that are not held out.
 
     About `rows` documents of each language are taken, by a hash of the id; of a rarer language
-    all. At most `LANGUAGES` are learnt, which bounds what reaches the driver; a table without any
-    gives no prototype.
+    all. Every language whose texts have letters gets a prototype; a table without any gives none.
     """
     labelled = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
         .filter(hash_bucket(F.col("doc_id"), 4) != 2)
     )
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    counts = {r["lang"]: r["count"] for r in frequent.collect()}
-    if not counts:
-        return Prototypes((), np.zeros((0, DIMENSIONS)))
-    shares = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, rows / n))))
-    chosen = labelled.filter(share(F.col("doc_id")) < shares[F.col("lang")])
-    sums = (
-        chosen.select("lang", "text")
+    counts = saved(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")), "languages")
+    # A few languages are broadcast; beyond that texts are dealt by their language.
+    few = counts.count() <= LANGUAGES
+    sampled = labelled.join(F.broadcast(counts) if few else counts, "lang").filter(
+        share(F.col("doc_id")) * F.col("texts") < rows
+    )
+    sums = saved(
+        sampled.select("lang", "text")
         .mapInArrow(_bundles, "lang string, place int, value double")
         .groupBy("lang", "place")
         # Decimals add up alike in any order, so that reruns agree to the last bit.
-        .agg(F.sum(F.col("value").cast("decimal(30,12)")).cast("double").alias("value"))
+        .agg(F.sum(F.col("value").cast("decimal(30,12)")).cast("double").alias("value")),
+        "bundles",
     )
-    found: dict[str, np.ndarray] = {}
-    for row in sums.collect():
-        found.setdefault(row["lang"], np.zeros(DIMENSIONS))[row["place"]] = row["value"]
-    names = tuple(sorted(n for n, v in found.items() if np.linalg.norm(v)))
-    vectors = np.array([found[n] / np.linalg.norm(found[n]) for n in names])
-    return Prototypes(names, vectors.reshape(len(names), DIMENSIONS))
+    names = sums.filter("value != 0").select("lang").distinct()
+    number = F.row_number().over(Window.orderBy("lang")) - 1
+    numbered = saved(names.select("lang", F.floor(number / LANGUAGES).cast("int").alias("block")), "blocks")
+    return Prototypes(saved(sums.join(numbered, "lang"), "prototypes"), numbered.count())
 
 
-def identified(docs: DataFrame, prototypes: Prototypes) -> DataFrame:
-    """doc_id, held_out, lang_pred and score (the cosine) for each row of documents.
-
-    A text without any letter, or NULL, is `und` with score 0, and so is every text if nothing was
-    learnt. A NULL doc_id counts as not held out. Repeated rows are treated alike.
-    """
-
+def _with_language(block: Block):
     @F.pandas_udf("lang_pred string, score double")
     def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         profiles = Profiles()
@@ -188,18 +224,65 @@ def identified(docs: DataFrame, prototypes: Prototypes) -> DataFrame:
             found = [
                 language
                 for start in range(0, len(texts), _TEXTS)
-                for language in prototypes.languages(
-                    profiles.profiles(texts.iloc[start : start + _TEXTS].tolist())
-                )
+                for language in block.languages(profiles.profiles(texts.iloc[start : start + _TEXTS].tolist()))
             ]
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    return (
-        id_and_text(docs)
-        .select(
-            "doc_id",
-            F.coalesce(hash_bucket(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
-            language("text").alias("found"),
+    return language
+
+
+def _profile():
+    @F.pandas_udf("binary")
+    def profile(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        profiles = Profiles()
+        for texts in batches:
+            parts = [
+                found.astype("<f4").tobytes()
+                for start in range(0, len(texts), _TEXTS)
+                for found in profiles.profiles(texts.iloc[start : start + _TEXTS].tolist())
+            ]
+            yield pd.Series(parts, dtype=object)
+
+    return profile
+
+
+def _languages_of(block: Block):
+    @F.pandas_udf("lang_pred string, score double")
+    def language(stored: pd.Series) -> pd.DataFrame:
+        found = [
+            language
+            for start in range(0, len(stored), _TEXTS)
+            for language in block.languages(
+                np.stack([np.frombuffer(p, "<f4") for p in stored.iloc[start : start + _TEXTS]]).astype(float)
+            )
+        ]
+        return pd.DataFrame(found, columns=["lang_pred", "score"])
+
+    return language
+
+
+def identified(docs: DataFrame, prototypes: Prototypes) -> DataFrame:
+    """doc_id, held_out, lang_pred and score (the cosine) for each row of documents.
+
+    A text without any letter, or NULL, is `und` with score 0, and so is every text if nothing was
+    learnt. A NULL doc_id counts as not held out. Repeated rows are treated alike. With more than
+    `LANGUAGES` languages, profiles are written once and compared with one block after the other.
+    """
+    held_out = F.coalesce(hash_bucket(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out")
+    if prototypes.blocks == 1:
+        found = id_and_text(docs).select(
+            "doc_id", held_out, _with_language(prototypes.block(0))("text").alias("found")
         )
-        .select("doc_id", "held_out", "found.lang_pred", "found.score")
+        return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+    rows = id_and_text(docs).select("doc_id", held_out, _profile()("text").alias("profile"))
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "profiles")
+    best = None
+    for number in range(prototypes.blocks):
+        scored = rows.select("row", _languages_of(prototypes.block(number))("profile").alias("f"))
+        # Of equal scores the first language stands.
+        scored = scored.select("row", F.struct((-F.col("f.score")).alias("minus"), "f.lang_pred").alias("best"))
+        scored = scored if best is None else best.unionByName(scored)
+        best = saved(scored.groupBy("row").agg(F.min("best").alias("best")), "best_languages")
+    return rows.join(best, "row").select(
+        "doc_id", "held_out", F.col("best.lang_pred"), (-F.col("best.minus")).alias("score")
     )

@@ -1,6 +1,7 @@
 """Quality, toxicity and language: held-out accuracy, regularisation, and odd inputs."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -230,9 +231,37 @@ def test_language_of_odd_documents(spark, prototypes):
     assert {r["lang_pred"] for r in langid.identified(odd, nothing).collect()} == {"und"}
 
 
-def test_most_frequent_languages_are_learnt(spark, monkeypatch):
-    rows = [(i, words(i, 20), "ab"[i % 2] if i < 40 else "c", "s", 1) for i in range(44)]
+def test_every_language_is_learnt(spark, monkeypatch):
+    rows = [(i, words(i, 20), f"l{i % 30:02}" if i < 400 else "rare", "s", 1) for i in range(406)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    assert langid.learn(docs).names == ("a", "b", "c")
-    monkeypatch.setattr(langid, "LANGUAGES", 2)
-    assert langid.learn(docs).names == ("a", "b")
+    names = {f"l{i:02}" for i in range(30)} | {"rare"}
+    whole = langid.learn(docs)
+    assert whole.languages == 31 and set(whole.block(0).names) == names
+    found = {r["doc_id"]: r for r in langid.identified(docs, whole).collect()}
+    monkeypatch.setattr(langid, "LANGUAGES", 7)
+    blocks = langid.learn(docs)
+    assert blocks.blocks == 5 and set().union(*(blocks.block(i).names for i in range(5))) == names
+    for row in langid.identified(docs, blocks).collect():
+        assert row["lang_pred"] == found[row["doc_id"]]["lang_pred"]
+        assert row["score"] == pytest.approx(found[row["doc_id"]]["score"], abs=1e-6)
+
+
+def test_texts_without_letters_against_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 1)
+    rows = [(i, words(i, 9), "ab"[i % 2], "s", 1) for i in range(30)] + [(40, "12", "a", "s", 1), (41, None, None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r["doc_id"]: r for r in langid.identified(docs, langid.learn(docs)).collect()}
+    assert len(found) == 32 and {found[i]["lang_pred"] for i in (40, 41)} == {"und"}
+    assert found[40]["score"] == 0.0
+
+
+def test_profiles_of_many_sequences_take_bounded_memory():
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 30_000))) for _ in range(3)]
+    tracemalloc.start()
+    found = langid.Profiles(64).profiles(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6
+    single = np.concatenate([langid.Profiles(64).profiles([t]) for t in texts])
+    assert np.allclose(found, single)
