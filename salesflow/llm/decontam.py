@@ -5,6 +5,10 @@ same template. Windows of five template words are hash-joined. In an alignment o
 item, a window counts if each of its values is unchanged or is always changed to the same value.
 Windows with too few other words, and items shorter than a window, are joined by their exact words.
 
+Windows that many different items have, such as a common instruction, are no evidence for one of them: an
+item counts as found by the windows that few others have, where it has any, beside all of them. Arithmetic
+of several operators is also joined as a whole, numbers being placeholders and operators words.
+
 Texts are read twice: in lower case with listed names, and by their case, where other capitalised words
 are names too and number words of one number are one placeholder. A finding of either reading counts.
 """
@@ -29,6 +33,10 @@ LEAST_LITERALS = 3
 # A document holds an item if it has this share of its windows, or as many in one alignment.
 SHARE = 0.8
 ALIGNED_WINDOWS = 9
+# A window that more different items have says nothing about one of them.
+COMMON_ITEMS = 10
+# Operators from which on an item is looked for as a formula.
+LEAST_OPERATORS = 3
 # Bits of the map of benchmark windows that every task has: 2 MB, whatever the benchmark.
 MAP_BITS = 1 << 24
 
@@ -74,8 +82,11 @@ _GROUPED = re.compile(r"[0-9]{1,3}(?:,[0-9]{3})+")
 _CACHED_WORDS = 200_000
 # Rows that leave a task at once, about.
 _ROWS = 10_000
-# Readings of a text; one row stands for both if they are equal.
-BOTH, LOWER, BY_CASE = -1, 0, 1
+# Readings of a text; one row stands for both if they are equal. Formulas are a reading of their own.
+BOTH, LOWER, BY_CASE, FORMULA = -1, 0, 1, 2
+_TERMS = re.compile(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+|[-+*/×÷^=%()]")
+_OPERATORS = frozenset("-+*/×÷^")
+_OPERATION = re.compile(r"[0-9)]\s*[-+*/×÷^]\s*[0-9(]")
 
 WINDOWS = "id long, content long, position int, window long, slots array<string>, telling boolean, length int, reading int"
 
@@ -238,6 +249,36 @@ class Templates:
             hashes = np.where(telling, hashes, self._hashes(read.exact, self._size))
         return hashes, telling
 
+    def formulas(self, text: str, lengths=None) -> list[tuple[int, int, int, list[str]]]:
+        """(length, position, hash, numbers) of windows of so many terms with enough operators.
+
+        Without lengths there is one window, of all terms of the text.
+        """
+        if lengths == () or not _OPERATION.search(text):
+            return []
+        terms = _TERMS.findall(text.lower())
+        operators = np.cumsum([0, *(t in _OPERATORS for t in terms)])
+        words = np.array(
+            [self._placeholders[1] if t[0].isdigit() else xxhash.xxh64_intdigest(t) for t in terms], np.uint64
+        )
+        found = []
+        for length in [len(terms)] if lengths is None else lengths:
+            count = len(terms) - length + 1
+            if count < 1:
+                continue
+            # A polynomial of the words, so that any length costs one pass; the inverse of the factor takes
+            # a window's place in the text out again.
+            factor = int(self._factors[0])
+            up = np.cumprod(np.full(len(terms), factor, np.uint64), dtype=np.uint64)
+            down = np.cumprod(np.full(count, pow(factor, -1, 1 << 64), np.uint64), dtype=np.uint64)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up, dtype=np.uint64)])
+            hashes = (sums[length:] - sums[:count]) * down
+            for i in np.flatnonzero(operators[length:] - operators[:count] >= LEAST_OPERATORS).tolist():
+                numbers = [t for t in terms[i : i + length] if t[0].isdigit()]
+                mark = xxhash.xxh64_intdigest(f"{length}:{hashes[i]}")
+                found.append((length, i, mark, numbers))
+        return found
+
     def short_windows(self, read: Reading, lengths=None) -> list[tuple[int, np.ndarray]]:
         """Hashes of the exact words of windows of the given lengths, all below `size`.
 
@@ -253,8 +294,11 @@ def _bit(windows: np.ndarray) -> np.ndarray:
     return windows & np.uint64(MAP_BITS - 1)
 
 
-def _windows(size: int, bitmap=None, lengths=None):
-    """Rows of `WINDOWS` for each text; with a bitmap only for windows that are in it."""
+def _windows(size: int, bitmap=None, lengths=None, terms=None):
+    """Rows of `WINDOWS` for each text; with a bitmap only for windows that are in it.
+
+    `lengths` and `terms` are the lengths of short items and of formulas, for texts that are not items.
+    """
 
     def as_batch(rows):
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(8)]
@@ -278,6 +322,10 @@ def _windows(size: int, bitmap=None, lengths=None):
                 made = [(size, n, r, *templates.windows(r)) for n, r in zip(numbers, readings, strict=True)]
                 for length, windows in templates.short_windows(readings[0], lengths):
                     made.append((length, numbers[0], readings[0], windows, np.zeros(len(windows), bool)))
+                for length, at, mark, slots in templates.formulas(text.as_py(), terms):
+                    if bits is None or bits[(mark & MAP_BITS - 1) >> 3] >> (mark & 7) & 1:
+                        window = mark - (1 << 64) if mark >> 63 else mark
+                        rows.append((ids[row], contents[row], at, window, slots, True, length, FORMULA))
                 for length, number, read, windows, telling in made:
                     places = range(len(windows))
                     if bits is not None:
@@ -302,8 +350,12 @@ def _keyed_texts(rows: DataFrame, key: str) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """The windows of each item, and how many it has, telling ones and all."""
+    """The windows of each item, whether many items have them, and how many it has of which sort."""
     found = saved(_keyed_texts(benchmark, "item_id").mapInArrow(_windows(size), WINDOWS), "items")
+    # Equal texts are one item here, whatever their ids.
+    owners = found.select("window", F.col("content").alias("owner")).distinct().groupBy("window")
+    common = owners.agg(F.count(F.lit(1)).alias("owners")).filter(F.col("owners") > COMMON_ITEMS)
+    found = found.join(common, "window", "left").withColumn("common", F.col("owners").isNotNull())
     windows = found.select(
         F.col("id").alias("item_id"),
         F.col("content").alias("item"),
@@ -313,10 +365,14 @@ def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFra
         F.col("telling").alias("item_tells"),
         F.col("length").alias("item_length"),
         F.col("reading").alias("item_reading"),
+        F.col("common").alias("item_common"),
     )
     keys = (F.col("id").alias("_id"), F.col("content").alias("_item"), F.col("reading").alias("_reading"))
     counts = found.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("item_windows"), F.count_if("telling").alias("item_telling")
+        F.count(F.lit(1)).alias("item_windows"),
+        F.count_if("telling").alias("item_telling"),
+        F.count_if(~F.col("common")).alias("item_own"),
+        F.count_if(~F.col("common") & F.col("telling")).alias("item_own_telling"),
     )
     same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("item") == F.col("_item"))
     same &= F.col("item_reading") == F.col("_reading")
@@ -361,33 +417,52 @@ def held_items(
     `size` words is held by each text that has its words one after another. NULL and empty texts hold
     nothing and are in nothing. Equal texts have equal findings, repeated rows one for each id. Items
     with equal id and text count once. Windows that are not telling are of no use where values were
-    changed, so the share is taken of the telling windows too.
+    changed, so the share is taken of the telling windows too. The share must also hold for the item's
+    own windows, those that at most `COMMON_ITEMS` items have, and only these count in an alignment; an
+    item without any is judged by all. Texts and items meet on own windows; the common ones are then
+    looked up for the pairs that have met, so that a common passage pairs nothing.
     """
     spark = docs.sparkSession
     items = saved(benchmark_windows(benchmark.select("item_id", "text").distinct(), size), "item_windows")
     bitmap = spark.sparkContext.broadcast(_bitmap(items))
     texts = _keyed_texts(docs, "doc_id")
     # Lengths of the items that are shorter than a window, at most `size` - 1 numbers.
-    short = items.filter(F.col("item_length") < size).select("item_length").distinct()
+    is_formula = F.col("item_reading") == FORMULA
+    short = items.filter((F.col("item_length") < size) & ~is_formula).select("item_length").distinct()
     lengths = sorted(r["item_length"] for r in short.collect())
-    hits = saved(texts.mapInArrow(_windows(size, bitmap, lengths), WINDOWS), "hits")
+    # Lengths of formulas: as many as the benchmark has different ones.
+    formulas = items.filter(is_formula).select("item_length").distinct()
+    terms = tuple(sorted(r["item_length"] for r in formulas.collect()))
+    hits = saved(texts.mapInArrow(_windows(size, bitmap, lengths, terms), WINDOWS).distinct(), "hits")
     either = (F.col("reading") == BOTH) | (F.col("item_reading") == BOTH)
     same = (F.col("window") == F.col("item_window")) & (either | (F.col("reading") == F.col("item_reading")))
-    met = (
-        hits.distinct()
-        .join(items, same)
-        .withColumn("reading", F.greatest("reading", "item_reading"))
+    by_common = F.col("item_common") & (F.col("item_own") > 0)
+    own = hits.join(items.filter(~by_common), same)
+    # The common windows of the pairs of a text and an item that have met already.
+    pairs = own.select("id", "content", "item_id", "item").distinct().withColumnsRenamed(
+        {"id": "_id", "content": "_content", "item_id": "_item_id", "item": "_item"}
     )
+    asked = items.filter(by_common).join(
+        pairs, (F.col("item") == F.col("_item")) & F.col("item_id").eqNullSafe(F.col("_item_id"))
+    )
+    text = (F.col("content") == F.col("_content")) & F.col("id").eqNullSafe(F.col("_id"))
+    more = hits.join(asked, same & text).drop("_id", "_content", "_item_id", "_item")
+    met = own.unionByName(more).withColumn("reading", F.greatest("reading", "item_reading"))
     pair = lambda a, b: F.struct(a.alias("item"), b.alias("doc"))
     # Windows that are not telling on both sides met by their exact words, whatever the kinds of those.
     pairs = F.when(
         F.col("item_tells") & F.col("telling"), F.zip_with("item_slots", "slots", pair)
     ).otherwise(F.transform("item_slots", lambda a: pair(a, a)))
-    one_met = F.struct(F.col("item_position").alias("place"), pairs.alias("pairs"), F.col("item_tells").alias("tells"))
+    one_met = F.struct(
+        F.col("item_position").alias("place"),
+        pairs.alias("pairs"),
+        F.col("item_tells").alias("tells"),
+        (~by_common).alias("own"),
+    )
     # In one alignment each place of the item meets one place of the text, so lists are short.
     aligned = (
         met.withColumn("shift", F.col("position") - F.col("item_position"))
-        .groupBy("id", "content", "item_id", "item", "reading", "item_windows", "item_telling", "shift")
+        .groupBy("id", "content", "item_id", "item", "reading", "item_windows", "item_telling", "item_own", "item_own_telling", "shift")
         .agg(F.sort_array(F.collect_set(one_met)).alias("met"))
         .withColumn("values", F.sort_array(F.array_distinct(F.flatten("met.pairs"))))
         # Values of the item that meet several values; equal ones are neighbours.
@@ -408,8 +483,9 @@ def held_items(
     agrees = lambda v: unchanged(v) | ~F.array_contains("torn", v["item"])
     aligned = (
         aligned.withColumn("met", F.filter("met", lambda m: F.forall(m["pairs"], agrees)))
-        .withColumn("places", F.col("met.place"))
-        .withColumn("kept", F.size(F.filter("met", lambda m: F.forall(m["pairs"], unchanged))))
+        .withColumn("evidence", F.filter("met", lambda m: m["own"]))
+        .withColumn("places", F.col("evidence.place"))
+        .withColumn("kept", F.size(F.filter("evidence", lambda m: F.forall(m["pairs"], unchanged))))
     )
     # Where values disagree, unchanged windows are evidence, and changed ones that follow one another.
     per_item = (
@@ -420,22 +496,30 @@ def held_items(
             .alias("aligned"),
             F.exists("values", lambda v: ~unchanged(v)).alias("changed"),
         )
-        .withColumn("one", F.explode(F.transform("met", lambda m: F.struct(m["place"], m["tells"]))))
-        .groupBy("id", "content", "item_id", "item", "reading", "item_windows", "item_telling")
+        .withColumn("one", F.explode(F.transform("met", lambda m: F.struct(m["place"], m["tells"], m["own"]))))
+        .groupBy("id", "content", "item_id", "item", "reading", "item_windows", "item_telling", "item_own", "item_own_telling")
         .agg(
             F.collect_set("one").alias("found"),
             F.max("aligned").alias("aligned"),
             F.max("changed").alias("other_values"),
         )
     )
-    per_item = per_item.withColumn("windows", F.size("found")).withColumn(
-        "telling", F.size(F.filter("found", lambda w: w["tells"]))
+    per_item = (
+        per_item.withColumn("windows", F.size("found"))
+        .withColumn("telling", F.size(F.filter("found", lambda w: w["tells"])))
+        .withColumn("own", F.size(F.filter("found", lambda w: w["own"])))
+        .withColumn("own_telling", F.size(F.filter("found", lambda w: w["own"] & w["tells"])))
     )
     # By case, an item with capitals all over has few telling windows, which alone say little.
     least = F.when(F.col("reading") != BY_CASE, F.lit(1)).otherwise(F.col("item_windows") / 2)
+    # Of an item without windows of its own all count as such.
     found = (
-        (F.col("windows") >= share * F.col("item_windows"))
-        | ((F.col("item_telling") >= least) & (F.col("telling") >= share * F.col("item_telling")))
+        ((F.col("windows") >= share * F.col("item_windows")) & (F.col("own") >= share * F.col("item_own")))
+        | (
+            (F.col("item_telling") >= least)
+            & (F.col("telling") >= share * F.col("item_telling"))
+            & (F.col("own_telling") >= share * F.col("item_own_telling"))
+        )
         | (F.col("aligned") >= ALIGNED_WINDOWS)
     )
     return per_item.filter(found).select(
@@ -452,7 +536,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, windows found, windows of the item, and whether values were changed.
 
     A row for each document and item in it; documents without any have none. The windows are those of
-    the reading that finds the larger share.
+    the reading that finds the larger share. NULL and empty texts hold nothing; without documents or
+    items there are no rows.
     """
     found = held_items(docs, benchmark)
     best = F.struct(F.col("windows") / F.col("item_windows"), "windows", "item_windows")
@@ -464,7 +549,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows whose text holds no benchmark item, with all their columns."""
+    """The rows whose text holds no benchmark item, with all their columns.
+
+    Rows with NULL or empty text stay, repeated rows stay or go together, an empty benchmark keeps all.
+    """
     found = saved(held_items(docs, benchmark).select("content").distinct(), "contaminated")
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(text_of(docs)).alias("content"))
     return rows.join(found, "content", "left_anti").select("row.*")

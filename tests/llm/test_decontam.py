@@ -1,5 +1,6 @@
 """Benchmark passages against plain five-word windows, and re-parameterised questions."""
 
+import random
 import re
 from collections import Counter
 
@@ -98,11 +99,120 @@ def test_number_heavy_and_short_items_are_found_verbatim(spark):
     changed = [re.sub("[0-9]+", lambda m: str(int(m[0]) + 1), t) for t in items[:3]]
     texts = [*items, *(f"{words(i, 30)} {t} {words(9 - i, 30)}" for i, t in enumerate(items)), *changed]
     texts += ["Compute 81", "Name a capital", words(5, 30)]
-    assert held(spark, texts, items) == {(i, i % 4): False for i in range(8)}
+    # The two items of several operators are formulas as well, with other numbers too.
+    wanted = {(i, i % 4): False for i in range(8)} | {(8, 0): True, (9, 1): True}
+    assert held(spark, texts, items) == wanted
     row = decontam.contaminated(documents(spark, items[:1]), benchmark(spark, items[:1])).first()
     assert (row["windows"], row["item_windows"]) == (3, 3)
 
 
+def test_arithmetic_with_other_numbers(spark):
+    item = "What is 17 * 23 + 17 * 8 - 4?"
+    same = "What is 18 * 29 + 18 * 9 - 5?"
+    texts = [
+        same,
+        f"{words(1, 30)} 3 - 4 * 5 + {same} and 7 * 8 * 9 {words(2, 30)}",
+        same.replace("+ 18", "+ 19"),  # one number became two
+        same.replace("*", "/"),
+        same.replace("What", "How"),
+        "18 29 18 9 5 what is",
+        "call 555-343-212-1 - 4",
+    ]
+    assert held(spark, texts, [item, "2 + 2"]) == {(0, 0): True, (1, 0): True}
+
+
+def test_a_common_instruction_is_no_evidence(spark):
+    stem = words(40, 18)
+    items = [f"{stem} {words(100 + i, 2 + i % 9)}" for i in range(60)]
+    texts = [f"{words(200 + i, 10)} {stem} {words(300 + i, 10)}" for i in range(40)]
+    assert held(spark, [*texts, stem, *items], items) == {(41 + i, i): False for i in range(60)}
+
+
+def test_a_family_of_items_with_one_template_is_found(spark):
+    items = [QUESTION.replace("3", str(100 + i)).replace("James", "Tom") for i in range(15)]
+    found = held(spark, [QUESTION, items[4], words(1, 30)], items)
+    assert found == {(0, i): True for i in range(15)} | {(1, i): i != 4 for i in range(15)}
+
+
+def terms_of(text):
+    return re.findall(r"[0-9]+|[a-z]+", text)
+
+
+def windows_of(text):
+    """(key, slots, telling) of each window: the template if three words are letters, else all words."""
+    w = terms_of(text)
+    for i in range(len(w) - 4):
+        part = w[i : i + 5]
+        telling = sum(x.isalpha() for x in part) >= 3
+        key = tuple("<1>" if x.isdigit() and telling else x for x in part)
+        yield (telling, key), [x for x in part if x.isdigit()], telling
+
+
+def plain_finding(text, item, owners):
+    """Whether a text holds an item, by the rule as the module states it, and whether values were changed."""
+    theirs, own = list(windows_of(text)), list(windows_of(item))
+    mine = [len(owners[k]) <= decontam.COMMON_ITEMS for k, _, _ in own]
+    mine = mine if any(mine) else [True] * len(own)
+    found, best, changed = set(), 0, False
+    for shift in range(-len(own), len(theirs)):
+        met = {
+            i: list(zip(slots, theirs[i + shift][1]))
+            for i, (key, slots, _) in enumerate(own)
+            if 0 <= i + shift < len(theirs) and theirs[i + shift][0] == key
+        }
+        values = {}
+        for pairs in met.values():
+            for a, b in pairs:
+                values.setdefault(a, set()).add(b)
+        torn = {a for a, b in values.items() if len(b) > 1}
+        met = {i: p for i, p in met.items() if all(a == b or a not in torn for a, b in p)}
+        places = [i for i in met if mine[i]]
+        kept = sum(all(a == b for a, b in met[i]) for i in places)
+        run = longest = 0
+        for i in range(len(own)):
+            run = run + 1 if i in places else 0
+            longest = max(longest, run)
+        best = max(best, max(kept, longest) if torn else len(places))
+        found |= set(met)
+        changed |= bool(met) and any(a != b for a, bs in values.items() for b in bs)
+    share = lambda places: sum(i in found for i in places) >= 0.8 * len(places)
+    all_, tells = range(len(own)), [i for i in range(len(own)) if own[i][2]]
+    enough = share(all_) and share([i for i in all_ if mine[i]])
+    enough |= bool(tells) and share(tells) and share([i for i in tells if mine[i]])
+    return (enough and bool(found)) or best >= decontam.ALIGNED_WINDOWS, changed
+
+
+def test_findings_against_the_whole_rule(spark):
+    rng = random.Random(8)
+    vocabulary = [f"word{a}{b}" for a in "abcdefgh" for b in "ijklmnop"]
+    some = lambda n: [rng.choice(vocabulary) if rng.random() < 0.75 else str(rng.randint(1, 9)) for _ in range(n)]
+    stem = some(12)
+    items = [some(rng.randint(5, 30)) for _ in range(25)] + [stem + some(rng.randint(1, 12)) for _ in range(14)]
+    texts = []
+    for _ in range(150):
+        item = rng.choice(items)
+        start = rng.randint(0, max(0, len(item) - 8)) if rng.random() < 0.4 else 0
+        part = item[start : rng.choice([len(item), len(item), start + 13])]
+        mapped = {str(n): str(rng.randint(1, 9)) for n in range(10)} if rng.random() < 0.5 else {}
+        part = [mapped.get(x, x) for x in part]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            part[rng.randrange(len(part))] = str(rng.randint(1, 9))
+        texts.append(" ".join([*some(rng.randint(0, 12)), *part, *some(rng.randint(0, 12))]))
+    items = [" ".join(x) for x in items]
+    owners = {}
+    for item in set(items):
+        for key, _, _ in windows_of(item):
+            owners.setdefault(key, set()).add(item)
+    expected = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            finding, changed = plain_finding(text, item, owners)
+            if finding:
+                expected[d, i] = changed
+    assert 60 < len(expected) < 1000
+    assert held(spark, texts, items) == expected
+
+
 def test_windows_of_numbers_cost_a_changed_item_nothing(spark):
     item = "A large old wooden box weighs 12 kg and 14 kg with 3 5 7 cm sides"
     text = re.sub("[0-9]+", lambda m: str(int(m[0]) + 100), item)
