@@ -8,14 +8,17 @@ import json
 from pyspark.sql import SparkSession
 
 from salesflow.plans import jobs
+from salesflow.plans.summaries import attach_summaries, keep_summaries
 from salesflow.schemas import STAGING, STAGING_AREA, STAR
-from salesflow.sources.csv import read_csv
+from salesflow.sources.csv import read_csv, read_csv_with_rejects
+from salesflow.sources.sliced import SlicedStore
 from salesflow.sources.stores import CatalogStore, JdbcStore, ParquetStore
-from salesflow.streaming.ingest import ingest_files
+from salesflow.streaming.ingest import ingest_files, ingest_new_ids
+from salesflow.streaming.loop import run_loop
 
 
 def open_store(spark: SparkSession, place: str, properties: str | None):
-    """A store from its place: a JDBC address, catalog:DATABASE, or a folder."""
+    """A store from its place: a JDBC address, catalog:DATABASE, sliced:FOLDER, or a folder."""
     if place.startswith("jdbc:"):
         if properties is None:
             return JdbcStore(spark, place, {})
@@ -23,7 +26,10 @@ def open_store(spark: SparkSession, place: str, properties: str | None):
             return JdbcStore(spark, place, json.load(file))
     if place.startswith("catalog:"):
         return CatalogStore(spark, place.removeprefix("catalog:"))
-    return ParquetStore(spark, place)
+    sliced = place.startswith("sliced:")
+    store = SlicedStore(spark, place.removeprefix("sliced:")) if sliced else ParquetStore(spark, place)
+    attach_summaries(store)
+    return store
 
 
 def parser() -> argparse.ArgumentParser:
@@ -41,7 +47,9 @@ def parser() -> argparse.ArgumentParser:
 
     both = ("staging", "production")
     command("create", "create all tables", *both)
-    command("load-csv", "append CSV files to the raw table", "staging").add_argument("csv")
+    load = command("load-csv", "append CSV files to the raw table", "staging")
+    load.add_argument("csv")
+    load.add_argument("--rejects", metavar="FOLDER", help="where lines go that do not fit, instead of failing")
     command("clean", "clean the next batch", "staging", batches=True).add_argument(
         "--preview", type=int, default=0, metavar="ROWS"
     )
@@ -52,6 +60,9 @@ def parser() -> argparse.ArgumentParser:
     command("repair", "transfer cleaned rows that the fact table lacks", *both).add_argument(
         "--above", type=int, default=0, metavar="ID", help="ids up to this one are complete"
     )
+    command("keep-summaries", "keep id bitmaps and sums beside the fact table", "production")
+    loop = command("loop", "clean and transfer until nothing is left, resuming by a checkpoint", *both, batches=True)
+    loop.add_argument("--checkpoint", required=True)
     commands.add_parser("ddl", help="print the table definitions")
     command("run", "clean and transfer until nothing is left", *both, batches=True)
     command("backlog", "clean and transfer everything in one pass", *both)
@@ -59,6 +70,7 @@ def parser() -> argparse.ArgumentParser:
     stream = command("stream", "load raw files not seen before", *both)
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--max-files-per-trigger", type=int)
+    stream.add_argument("--new-ids", action="store_true", help="tell known ids by the state of the stream")
     return made
 
 
@@ -76,7 +88,12 @@ def run(spark: SparkSession, arguments: list[str] | None = None):
             staging.create_staging_area()
             production.create_star()
         case "load-csv":
-            staging.append(read_csv(spark, options.csv), STAGING)
+            if options.rejects is None:
+                staging.append(read_csv(spark, options.csv), STAGING)
+            else:
+                rows = read_csv_with_rejects(spark, options.csv)
+                staging.append(rows.accepted, STAGING)
+                rows.rejected.write.mode("append").parquet(options.rejects)
         case "clean":
             return jobs.clean_next_batch(staging, options.batch_rows, options.preview)
         case "clean-missing":
@@ -93,10 +110,15 @@ def run(spark: SparkSession, arguments: list[str] | None = None):
             return jobs.run_to_completion(staging, production, options.batch_rows)
         case "backlog":
             return jobs.load_backlog(staging, production)
+        case "keep-summaries":
+            keep_summaries(production)
+        case "loop":
+            run_loop(staging, production, options.checkpoint, options.batch_rows)
         case "cluster":
             jobs.cluster_fact(production)
         case "stream":
-            ingest_files(
+            ingest = ingest_new_ids if options.new_ids else ingest_files
+            ingest(
                 staging, production, options.checkpoint, options.max_files_per_trigger
             ).awaitTermination()
     return None

@@ -30,6 +30,9 @@ class FactSummaries:
             spark, f"{root}/fact_totals", "countryid int, dateid int, orders long, amount long"
         )
 
+    def exists(self) -> bool:
+        return self._ids.exists() and self._totals.exists()
+
     def create(self) -> None:
         """Make the tables and fill them from the facts that are there."""
         self._ids.create()
@@ -72,3 +75,10 @@ def keep_summaries(production: ParquetStore, slice_bits: int = SLICE_BITS) -> Fa
     summaries.create()
     production.summaries = summaries
     return summaries
+
+
+def attach_summaries(production: ParquetStore) -> None:
+    """Go on keeping the derived tables up to date if an earlier session has made them."""
+    summaries = FactSummaries(production)
+    if summaries.exists():
+        production.summaries = summaries

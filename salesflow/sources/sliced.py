@@ -31,6 +31,9 @@ class SlicedTable:
         self.path = path
         self._schema = f"{columns}, slice int"
 
+    def exists(self) -> bool:
+        return "_SUCCESS" in names_in(self.spark, self.path)
+
     def create(self) -> None:
         """Make the table if it is not there; its rows stay if it is."""
         columns = [c.split() for c in self._schema.split(", ")]

@@ -53,6 +53,32 @@ def test_stream_command(spark, tmp_path):
     assert ids_of(ParquetStore(spark, root).read(FACT)) == [7]
 
 
+def test_rejects_loop_and_summaries(spark, tmp_path):
+    lines = [LINE.replace("7,120", f"{i},{i * 10}", 1) for i in range(1, 21)]
+    (tmp_path / "sales.csv").write_text("\n".join([HEADER, *lines, "broken"]) + "\n")
+    root, rejects = str(tmp_path / "tables"), str(tmp_path / "rejects")
+    both = ["--staging", f"sliced:{root}", "--production", f"sliced:{root}"]
+    cli.run(spark, ["create", *both])
+    cli.run(spark, ["keep-summaries", "--production", f"sliced:{root}"])
+    cli.run(spark, ["load-csv", "--staging", f"sliced:{root}", str(tmp_path / "sales.csv"), "--rejects", rejects])
+    assert [r["line"] for r in spark.read.parquet(rejects).collect()] == ["broken"]
+    cli.run(spark, ["loop", *both, "--checkpoint", str(tmp_path / "state"), "--batch-rows", "8"])
+    store = cli.open_store(spark, f"sliced:{root}", None)
+    assert ids_of(store.read(FACT)) == list(range(1, 21))
+    assert [r["orders"] for r in store.summaries.sales_by_country_quarter().collect()] == [20]
+
+
+def test_stream_of_new_ids(spark, tmp_path):
+    (tmp_path / "sales.csv").write_text(f"{HEADER}\n{LINE}\n{LINE}\n")
+    root = str(tmp_path / "tables")
+    both = ["--staging", root, "--production", root]
+    cli.run(spark, ["create", *both])
+    for _ in range(2):
+        cli.run(spark, ["load-csv", "--staging", root, str(tmp_path / "sales.csv")])
+        cli.run(spark, ["stream", *both, "--checkpoint", str(tmp_path / "state"), "--new-ids"])
+    assert ids_of(ParquetStore(spark, root).read(CLEANED)) == [7]
+
+
 def test_unknown_command_is_refused(spark):
     with pytest.raises(SystemExit):
         cli.run(spark, ["vacuum"])
