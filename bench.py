@@ -41,6 +41,12 @@ HEADLINE = [
     "backlog_fact",
     "pipeline_final_fact",
     "stream_final_fact",
+    "stream_state_fact",
+    "loop_resumed_fact",
+    "sliced_final_fact",
+    "missing_order_ids",
+    "star_sales_maintained",
+    "fact_as_of",
 ]
 # The single jobs, timed on tables that are there already.
 JOBS = {

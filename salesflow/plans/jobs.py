@@ -7,10 +7,12 @@ are raised; "no new rows" is a normal result.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from salesflow.functions.cleaning import clean
 from salesflow.operators import clustering
@@ -74,25 +76,31 @@ def clean_missing(staging) -> int:
 
 
 def load_dimensions(rows: DataFrame, production) -> None:
-    """Add the dimension keys of cleaned rows that are not there yet."""
+    """Add the dimension keys of cleaned rows that are not there yet.
+
+    One pass finds the attributes of all dimensions, and one job tells which of them have new keys.
+    """
     # About as many rows as the dimensions have keys: kept so that they are computed once.
     seen = seen_attributes(rows).persist()
+    fresh = {
+        dim: new_rows(dimension_of(seen, dim), production.read(dim), dim.key).persist() for dim in DIMENSIONS
+    }
 
     @inheritable_thread_target(rows.sparkSession)
-    def load_dimension(dim: Table) -> None:
-        fresh = new_rows(dimension_of(seen, dim), production.read(dim), dim.key).persist()
-        try:
-            if not fresh.isEmpty():
-                production.append(fresh, dim, keys_are_new=True)
-        finally:
-            fresh.unpersist()
+    def append(dim: Table) -> None:
+        production.append(fresh[dim], dim, keys_are_new=True)
 
     try:
-        # The dimensions do not depend on each other, so their jobs may share the cluster.
-        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-            list(pool.map(load_dimension, DIMENSIONS))
+        counted = [rows.agg(F.lit(dim.name).alias("dim"), F.count(F.lit(1)).alias("rows")) for dim, rows in fresh.items()]
+        new = {r["dim"] for r in reduce(DataFrame.unionByName, counted).filter("rows > 0").collect()}
+        pending = [dim for dim in DIMENSIONS if dim.name in new]
+        if pending:
+            # The dimensions do not depend on each other, so their jobs may share the cluster.
+            with ThreadPoolExecutor(len(pending)) as pool:
+                list(pool.map(append, pending))
     finally:
-        seen.unpersist()
+        for frame in (*fresh.values(), seen):
+            frame.unpersist()
 
 
 def load_star(rows: DataFrame, production, first_id: int, last_id: int) -> None:
