@@ -34,7 +34,7 @@ _PARTS = ("ids", "ties", "codes", "scale", "error")
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, tie, vector): the vectors of doubles that can take part, equal rows once.
+    """(vec_id, tie, vector): the vectors of doubles that can take part.
 
     Left out are NULL and empty vectors, those with a NULL, infinite or undefined component, zero
     vectors, and rows without an id. `tie` tells different vectors of one id apart.
@@ -48,11 +48,20 @@ def usable(vectors: DataFrame) -> DataFrame:
             F.col("embedding").cast("array<double>").alias("vector"),
         )
         .filter(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
-        .distinct()
         .select("vec_id", F.xxhash64("vector").alias("tie"), "vector")
     )
 
 
+def candidates(good: DataFrame, k: int) -> DataFrame:
+    """Of the ids with one and the same vector the k + 1 smallest, equal rows once.
+
+    As ties go to smaller ids, no other copy can be among the k nearest of any query, which may be one
+    of them itself. The limit is applied before the shuffle too, so a very common vector is a few rows.
+    """
+    place = F.dense_rank().over(Window.partitionBy("vector").orderBy("vec_id"))
+    return good.withColumn("place", place).filter(F.col("place") <= k + 1).drop("place").distinct()
+
+
 def _tiles(rows_per_tile: int):
     """Packs rows (vec_id, tie, vector) into tiles of quantised vectors of as many components."""
 
@@ -218,15 +227,14 @@ def distance(a: str, b: str) -> Column:
     return F.when((plain > 1e-140) & (plain < 1e150), plain).otherwise(scaled)
 
 
-def _candidates(good: DataFrame, is_query: Column, k: int) -> DataFrame:
+def _pairs(queries: DataFrame, found: DataFrame, k: int) -> DataFrame:
     """Pairs of queries and candidates that no bound excludes, as a written table."""
     query_tiles = saved(
-        good.filter(is_query)
-        .mapInArrow(_tiles(QUERY_TILE), _TILE)
+        queries.mapInArrow(_tiles(QUERY_TILE), _TILE)
         .withColumn("query_tile", F.monotonically_increasing_id()),
         "query_tiles",
     )
-    tiles = saved(good.mapInArrow(_tiles(CANDIDATE_TILE), _TILE).drop("tile"), "tiles")
+    tiles = saved(found.mapInArrow(_tiles(CANDIDATE_TILE), _TILE).drop("tile"), "tiles")
     numbers = query_tiles.groupBy("size").agg(F.collect_list("query_tile").alias("numbers"))
     copies = tiles.join(numbers, "size").select(
         F.explode("numbers").alias("query_tile"),
@@ -259,8 +267,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFr
     query tiles to each column of a grid, and both are joined on that, as bytes. A task holds a few
     pairs of tiles and the survivors of its queries. Original vectors move for survivors only.
     """
-    good = saved(usable(vectors), "vectors")
-    pairs = _candidates(good, is_query, k)
+    good = usable(vectors)
+    queries = saved(good.filter(is_query).distinct(), "queries")
+    found = saved(candidates(good, k), "candidates")
+    pairs = _pairs(queries, found, k)
     # The k-th upper bound of each query over all tiles; a query has a few rows of each grid column.
     by_bound = Window.partitionBy("query_id").orderBy("high", "vec_id")
     upper = pairs.groupBy("query_id", "vec_id").agg(F.min("high").alias("high"))
@@ -269,8 +279,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS) -> DataFr
         F.when(F.count(F.lit(1)) == k, F.max("high")).otherwise(float("inf")).alias("limit")
     )
     left = pairs.join(limits, "query_id").filter(F.col("low") <= F.col("limit"))
-    asked = good.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("tie").alias("query_tie"), F.col("vector").alias("a"))
-    found = good.select("vec_id", "tie", F.col("vector").alias("b"))
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("tie").alias("query_tie"), F.col("vector").alias("a"))
+    found = found.select("vec_id", "tie", F.col("vector").alias("b"))
     exact = (
         left.select("query_id", "query_tie", "vec_id", "tie")
         .join(asked, ["query_id", "query_tie"])

@@ -111,6 +111,15 @@ def test_ids_with_many_different_vectors(spark, monkeypatch):
     check(spark, rows, k=4, schema=WIDE)
 
 
+def test_copies_of_one_vector_are_a_few_rows(spark):
+    rng = np.random.default_rng(9)
+    others = [(i, rng.normal(size=4).tolist()) for i in range(1000, 1060)]
+    rows = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(600)] + others + [(5, [1.0, 2.0, 3.0, 4.0])] * 20
+    check(spark, rows, k=7, schema=WIDE)
+    good = neighbours.usable(spark.createDataFrame(rows, WIDE))
+    assert neighbours.candidates(good, 7).count() == 8 + len(others)
+
+
 def test_tiles_travel_as_bytes(spark):
     df = spark.createDataFrame(vectors(300, 64), SCHEMA)
     tiles = neighbours.usable(df).mapInArrow(neighbours._tiles(100), neighbours._TILE)
