@@ -76,8 +76,11 @@ _FOLLOWS[_AND, [_UNIT, _TEEN, _TENS]] = True
 _KINDS = {**dict.fromkeys(NUMBERS, 1), **dict.fromkeys(UNITS, 2), **dict.fromkeys(NAMES, 3)}
 # Words, and what ends a sentence or begins a new one: the word after it says nothing by its capital.
 _ENDS = '.!?:;\n\r"“”„«»…'
-_TOKENS = re.compile(rf"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[^\W_]|[{_ENDS}]")
+# Latin letters are tried first, as they are found faster than letters in general.
+_LATIN = r"[A-Za-zÀ-ÖØ-öø-ɏ]++(?![^\W\d_])"
+_TOKENS = re.compile(rf"{_LATIN}|[^\W\d_]+|[0-9]+(?:[.,:/][0-9]+)*|[^\W_]|[{_ENDS}]")
 _END_TOKENS = frozenset(_ENDS)
+_SPECIAL = _END_TOKENS.union(_KINDS, _PARTS)
 _GROUPED = re.compile(r"[0-9]{1,3}(?:,[0-9]{3})+")
 _CACHED_WORDS = 200_000
 # Rows that leave a task at once, about.
@@ -156,18 +159,20 @@ class Templates:
                 new[: len(old)] = old
                 setattr(self, name, new)
         tokens = list(tokens)
-        words = [t.lower() for t in tokens]
-        kinds = [1 if w[0].isdigit() else _KINDS.get(w, 0) for w in words]
-        exact = [xxhash.xxh64_intdigest(w) for w in words]
+        words = list(map(str.lower, tokens))
         at = slice(len(self._cache), len(self._cache) + len(tokens))
-        self._exact[at], self._kind[at] = exact, kinds
-        self._template[at] = [self._placeholders[k] if k else e for k, e in zip(kinds, exact, strict=True)]
-        self._number[at] = [_PARTS.get(w, _DIGITS if k == 1 else 0) for w, k in zip(words, kinds, strict=True)]
-        self._capital[at] = [
-            t[0].isupper() and len(t) > 1 and not k
-            for t, w, k in zip(tokens, words, kinds, strict=True)
-        ]
-        self._end[at] = [t in _END_TOKENS for t in tokens]
+        exact = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        self._exact[at] = self._template[at] = exact
+        self._kind[at] = self._number[at] = self._end[at] = 0
+        self._capital[at] = [t != w and len(t) > 1 and t[0].isupper() for t, w in zip(tokens, words, strict=True)]
+        # Few words are more than letters.
+        for i, w in enumerate(words, at.start):
+            if w in _SPECIAL or w[0].isdigit():
+                kind = 1 if w[0].isdigit() else _KINDS.get(w, 0)
+                self._kind[i], self._end[i] = kind, w in _END_TOKENS
+                self._number[i] = _PARTS.get(w, _DIGITS if kind == 1 else 0)
+                if kind:
+                    self._template[i], self._capital[i] = self._placeholders[kind], False
         self._cache.update(zip(tokens, range(at.start, at.stop), strict=True))
 
     def _places(self, tokens: list[str]) -> np.ndarray:
