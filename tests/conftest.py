@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "2")  # tables made from a few given rows
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.checkpoint.dir", str(work / "shared"))
