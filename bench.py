@@ -43,7 +43,6 @@ HEADLINE = [
     "stream_final_fact",
     "stream_state_fact",
     "loop_resumed_fact",
-    "sliced_final_fact",
     "missing_order_ids",
     "star_sales_maintained",
     "fact_as_of",

@@ -55,7 +55,7 @@ class SlicedTable:
         Repeating it after a failure gives the same table. A slice cannot be emptied this way.
         """
         names = [n.split()[0] for n in self._schema.split(", ")]
-        dealt = rows.select(*names).repartition("slice")  # a file for each slice, not one per task
+        dealt = rows.select(*names).hint("rebalance", "slice")  # few files for each slice, not one per task
         writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("slice").parquet(self.path)
 
@@ -127,7 +127,9 @@ class SlicedStore(ParquetStore):
         rows = enforced(df, table).withColumns(
             {"slice": F.shiftright(ID, self._bits), "part": F.lit(part)}
         )
-        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        # Rows of a slice come together for few files; what one slice has too many of is split.
+        dealt = rows.hint("rebalance", "slice")
+        writer = dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("slice", "part").parquet(self.path(table))
 
     def _add(self, df: DataFrame, table: Table) -> None:
