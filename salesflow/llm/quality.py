@@ -134,6 +134,15 @@ def _tightest(path: tuple) -> tuple:
     return tuple(sorted((name, at_most, value) for (name, at_most), value in bounds.items()))
 
 
+def _stored_in_order(rows: DataFrame, label: str) -> DataFrame:
+    """The rows of one partition as a written table, read as one partition in the same order.
+
+    A training runs a hundred jobs and more, and the driver serializes all the plan behind its rows for
+    each of them. Behind stored rows there is a scan only, not hundreds of rules.
+    """
+    return saved(rows, label).coalesce(1)
+
+
 def fit(sample: DataFrame) -> RuleEnsemble:
     """Rules from (doc_id, text, label); only the base rate if there is one class or none."""
     described = saved(with_statistics(sample), "statistics")
@@ -143,7 +152,7 @@ def fit(sample: DataFrame) -> RuleEnsemble:
         odds = (good + PRIOR_GOOD) / (total - good + PRIOR_BAD)
         return RuleEnsemble(float(math.log(odds)), ())
     # A bounded number of rows: one ordered partition makes the fit repeatable.
-    rows = described.orderBy("doc_id", "label").coalesce(1).cache()
+    rows = _stored_in_order(described.orderBy("doc_id", "label").coalesce(1), "ordered")
     names = rows.select("statistics.*").columns
     flat = rows.select("label", *(F.col(f"statistics.{n}").alias(n) for n in names))
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(flat)
@@ -161,10 +170,8 @@ def fit(sample: DataFrame) -> RuleEnsemble:
     lasso = LogisticRegression(
         labelCol="label", elasticNetParam=1.0, regParam=PENALTY, maxIter=100, standardization=False
     )
-    model = lasso.fit(
-        VectorAssembler(inputCols=inputs, outputCol="features").transform(fired).select("label", "features")
-    )
-    rows.unpersist()
+    marked = VectorAssembler(inputCols=inputs, outputCol="features").transform(fired)
+    model = lasso.fit(_stored_in_order(marked.select("label", "features"), "fired"))
     weights = model.coefficients.toArray()
     kept = (Rule(r.conditions, float(w)) for r, w in zip(rules, weights, strict=True) if w)
     return RuleEnsemble(float(model.intercept), tuple(kept))

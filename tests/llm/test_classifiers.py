@@ -94,6 +94,31 @@ def test_quality_without_labels_keeps_everything(spark):
         assert {r["predicted"] for r in quality.scored(odd, model).collect()} == {1}
 
 
+def test_quality_trains_on_stored_rows(spark, monkeypatch):
+    """Each job of a training takes its plan along: behind stored rows that is a scan, not all the rules."""
+    plans = []
+
+    def watched(kind):
+        class Watched(kind):
+            def fit(self, rows):
+                assert rows.rdd.getNumPartitions() == 1
+                plans.append(rows._jdf.queryExecution().analyzed().toString())
+                return super().fit(rows)
+
+        return Watched
+
+    for name in ("RandomForestClassifier", "LogisticRegression"):
+        monkeypatch.setattr(quality, name, watched(getattr(quality, name)))
+    texts = [("word " * n if n % 2 else "A longer line, with stops. ") * 3 for n in range(1, 41)]
+    docs = documents(spark, list(enumerate(texts)))
+    sample = docs.select("doc_id", "text", (F.col("doc_id") % 2).cast("int").alias("label"))
+    assert quality.fit(sample).rules
+    assert len(plans) == 2
+    for plan in plans:
+        assert "Relation" in plan and "Sort" not in plan
+    assert "statistics" not in plans[1]
+
+
 def test_quality_of_odd_documents(spark, rules):
     odd = odd_documents(spark)
     found = quality.scored(odd, rules)
