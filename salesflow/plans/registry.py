@@ -40,8 +40,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 EARLIER_ROWS = 1_000
 # Batch size of the batch numbering: small, so that several batches exist at every scale.
 NUMBERED_ROWS = 1_000
-# Ids of a slice, as a power of two: small, so that several slices exist at every scale.
+# Ids of a slice, as a power of two, at least: small, so that several slices exist at every scale.
 SLICE_BITS = 10
+# Slices that the whole id range has, about: more ids make wider slices, not more folders and files.
+SLICES = 64
 # Rounds in which the loading jobs take the whole input.
 ROUNDS = 4
 
@@ -541,13 +543,20 @@ def loop_resumed_fact(spark, sf_dir):
     return store.read(FACT)
 
 
+def _slice_bits(rows: DataFrame) -> int:
+    """The width of slices that cuts the ids from 0 to the last into about so many at every scale."""
+    last = incremental.high_watermark(rows).first()["max_orderid"]
+    return max(SLICE_BITS, (max(last, 0) // SLICES).bit_length())
+
+
 @_query
 def sliced_final_fact(spark, sf_dir):
     """The fact table of the loading loop over tables that are cut into slices of ids."""
-    store = SlicedStore(spark, new_folder(spark, "sliced"), SLICE_BITS)
+    raw = raw_sales(spark, sf_dir)
+    store = SlicedStore(spark, new_folder(spark, "sliced"), _slice_bits(raw))
     store.create_staging_area()
     store.create_star()
-    store.append(raw_sales(spark, sf_dir), STAGING)
+    store.append(raw, STAGING)
     last = store.largest_id(STAGING)
     jobs.run_to_completion(store, store, math.ceil(last / ROUNDS) or 1)
     return store.read(FACT)

@@ -75,10 +75,27 @@ class SlicedStore(ParquetStore):
     def _is_sliced(self, table: Table) -> bool:
         return ID in table.names
 
+    def _schema(self, table: Table) -> T.StructType:
+        return T.StructType([*table.struct, T.StructField("slice", T.IntegerType()), T.StructField("part", T.StringType())])
+
     def _all(self, table: Table) -> DataFrame:
         self.require(table)
-        fields = [*table.struct, T.StructField("slice", T.IntegerType()), T.StructField("part", T.StringType())]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.path(table))
+        return self.spark.read.schema(self._schema(table)).parquet(self.path(table))
+
+    def _slices(self, table: Table) -> list[int]:
+        """The numbers of the slices that are there, by the names of their folders."""
+        numbers = (n.removeprefix("slice=") for n in names_in(self.spark, self.path(table)))
+        return [int(n) for n in numbers if n.lstrip("-").isdigit()]
+
+    def _some(self, table: Table, first: int, last: int | None = None) -> DataFrame:
+        """The rows of the slices from `first` on, or up to `last`; no other folder is looked into."""
+        self.require(table)
+        asked = F.col("slice") >= first if last is None else F.col("slice").between(first, last)
+        numbers = (n for n in self._slices(table) if first <= n and (last is None or n <= last))
+        folders = [f"{self.path(table)}/slice={n}" for n in numbers]
+        reader = self.spark.read.schema(self._schema(table)).option("basePath", self.path(table))
+        found = reader.parquet(*folders) if folders else self.spark.createDataFrame([], self._schema(table))
+        return found.filter(asked)
 
     def exists(self, table: Table) -> bool:
         return "_SUCCESS" in names_in(self.spark, self.path(table)) if self._is_sliced(table) else super().exists(table)
@@ -101,23 +118,22 @@ class SlicedStore(ParquetStore):
     def rows_after(self, table: Table, after_id: int) -> DataFrame:
         if not self._is_sliced(table):
             return super().rows_after(table, after_id)
-        rows = self._all(table).filter(F.col("slice") >= self._slice_of(after_id + 1))
+        rows = self._some(table, self._slice_of(after_id + 1))
         return after(rows, after_id).select(*table.names)
 
     def rows_between(self, table: Table, after_id: int, last_id: int) -> DataFrame:
         if not self._is_sliced(table):
             return super().rows_between(table, after_id, last_id)
-        slices = F.col("slice").between(self._slice_of(after_id + 1), self._slice_of(last_id))
-        return between(self._all(table).filter(slices), after_id, last_id).select(*table.names)
+        rows = self._some(table, self._slice_of(after_id + 1), self._slice_of(last_id))
+        return between(rows, after_id, last_id).select(*table.names)
 
     def largest_id(self, table: Table, known: int = 0) -> int:
         """Read from the last slice alone, whose number the folders tell."""
         self.require(table)
-        numbers = [n.removeprefix("slice=") for n in names_in(self.spark, self.path(table))]
-        last = max((int(n) for n in numbers if n.lstrip("-").isdigit()), default=None)
+        last = max(self._slices(table), default=None)
         if last is None or last < self._slice_of(known):
             return known
-        rows = self._all(table).filter(F.col("slice") == last)
+        rows = self._some(table, last, last)
         return max(known, high_watermark(after(rows, known)).first()["max_orderid"])
 
     def id_counts(self, table: Table) -> IdCounts:
@@ -138,6 +154,15 @@ class SlicedStore(ParquetStore):
         else:
             super()._add(df, table)
 
+    def append_range(self, df: DataFrame, table: Table, after_id: int, last_id: int) -> DataFrame:
+        """The rows become a part of their own, which is read back from the slices of the range."""
+        if not self._is_sliced(table):
+            return super().append_range(df, table, after_id, last_id)
+        part = f"ids-{after_id}-{last_id}-{uuid.uuid4().hex[:8]}"
+        self._write(df, table, part, "overwrite")
+        rows = self._some(table, self._slice_of(after_id + 1), self._slice_of(last_id))
+        return rows.filter(F.col("part") == part).select(*table.names)
+
     def overwrite(self, df: DataFrame, table: Table) -> None:
         if self._is_sliced(table):
             raise TypeError(f"{table.name} is kept in slices and only grows")

@@ -5,9 +5,10 @@ import re
 import pytest
 
 from salesflow.operators.incremental import next_batch
-from salesflow.plans import jobs
+from salesflow.plans import jobs, registry
 from salesflow.plans.summaries import keep_summaries
 from salesflow.schemas import CLEANED, DIM_COUNTRY, FACT, RESULT, STAGING, STAR
+from salesflow.sources.files import names_in
 from salesflow.sources.sample import raw_sales
 from salesflow.sources.sliced import SlicedStore
 from salesflow.sources.stores import MissingTable, ParquetStore
@@ -119,3 +120,34 @@ def test_missing_and_repeated_creation(spark, store, tmp_path):
     assert ids_of(store.read(FACT)) == [1]
     with pytest.raises(MissingTable):
         SlicedStore(spark, str(tmp_path / "none")).read(FACT)
+
+
+def test_a_range_looks_into_its_slices_only(spark, store):
+    store.append(sales(spark, [*range(1, 100), None, -20]), STAGING)
+
+    def slices(df):
+        return {int(re.search(r"slice=(-?\d+)/", f)[1]) for f in df.inputFiles()}
+
+    assert slices(store.rows_between(STAGING, 40, 50)) == {2, 3}
+    assert slices(store.rows_after(STAGING, 79)) == {5, 6}
+    assert ids_of(store.rows_between(STAGING, 1000, 2000)) == []
+    assert ids_of(store.rows_after(STAGING, -30))[:3] == [-20, 1, 2]
+    stored = store.append_range(store.rows_between(STAGING, 40, 50), CLEANED, 40, 50)
+    assert slices(stored) == {2, 3} and ids_of(stored) == list(range(41, 51))
+
+
+def test_more_ids_make_wider_slices_not_more_of_them(spark, monkeypatch):
+    raw = sales(spark, range(0, 1_000_000, 5_000))
+    folders = []
+
+    class Watched(SlicedStore):
+        def _write(self, df, table, *rest):
+            super()._write(df, table, *rest)
+            if table == STAGING:
+                folders.extend(names_in(spark, self.path(table)))
+
+    monkeypatch.setattr(registry, "SlicedStore", Watched)
+    monkeypatch.setattr(registry, "raw_sales", lambda *_: raw)
+    fact = registry.sliced_final_fact(spark, "unused")
+    assert ids_of(fact) == list(range(5_000, 1_000_000, 5_000))
+    assert 8 <= len({f for f in folders if f.startswith("slice=")}) <= registry.SLICES + 1
