@@ -525,10 +525,15 @@ def stream_state_fact(spark, sf_dir):
     middle = raw.agg(F.percentile_approx("orderid", 0.5)).first()[0] or 0
     late, early = raw.filter(F.col("orderid") > middle), raw.filter(F.col("orderid") <= middle)
     checkpoint = new_folder(spark, "stream_state")
+    seen = 0
     for arrivals in ([late, late.filter("orderid % 3 = 0")], [early, late]):
         for rows in arrivals:
             rows.write.mode("append").parquet(store.path(STAGING))
-        ingest_new_ids(store, store, checkpoint, 2).awaitTermination()
+        files = len(store.read(STAGING).inputFiles())
+        # More rows make larger micro-batches, not more of them: half of the rounds for each run.
+        a_batch = max(2, math.ceil((files - seen) / (ROUNDS // 2)))
+        ingest_new_ids(store, store, checkpoint, a_batch).awaitTermination()
+        seen = files
     return store.read(FACT)
 
 

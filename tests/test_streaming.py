@@ -4,9 +4,11 @@ import shutil
 
 import pytest
 
+from salesflow.plans import registry
 from salesflow.plans.jobs import load_backlog, run_to_completion
 from salesflow.plans.summaries import keep_summaries
 from salesflow.schemas import CLEANED, DIM_COUNTRY, FACT, STAGING, STAR
+from salesflow.sources.files import names_in
 from salesflow.sources.sample import raw_sales
 from salesflow.sources.stores import CatalogStore, ParquetStore
 from salesflow.streaming.ingest import ingest_files, ingest_new_ids
@@ -223,3 +225,20 @@ def test_ranges_of_the_reader():
     assert list(rows) == [(12, 20)] and end == {"orderid": 20}
     rows, end = reader.read(end)
     assert list(rows) == [] and end == {"orderid": 20}
+
+
+def test_more_files_make_larger_micro_batches_not_more_of_them(spark, monkeypatch):
+    raw = sales(spark, range(1, 241)).repartition(12)
+    batches = []
+
+    def watched(staging, *rest):
+        query = ingest_new_ids(staging, *rest)
+        query.awaitTermination()
+        batches[:] = [n for n in names_in(spark, staging.path(FACT)) if n.startswith("stream-")]
+        return query
+
+    monkeypatch.setattr(registry, "raw_sales", lambda *_: raw)
+    monkeypatch.setattr(registry, "ingest_new_ids", watched)
+    fact = registry.stream_state_fact(spark, "unused")
+    assert ids_of(fact) == list(range(1, 241))
+    assert 2 <= len(batches) <= registry.ROUNDS
