@@ -228,7 +228,7 @@ def test_ranges_of_the_reader():
 
 
 def test_more_files_make_larger_micro_batches_not_more_of_them(spark, monkeypatch):
-    raw = sales(spark, range(1, 241)).repartition(12)
+    raw = sales(spark, range(1, 241))
     batches = []
 
     def watched(staging, *rest):
@@ -238,6 +238,7 @@ def test_more_files_make_larger_micro_batches_not_more_of_them(spark, monkeypatc
         return query
 
     monkeypatch.setattr(registry, "raw_sales", lambda *_: raw)
+    monkeypatch.setattr(registry, "saved", lambda rows, _: rows.repartition(12))  # and so a dozen files
     monkeypatch.setattr(registry, "ingest_new_ids", watched)
     fact = registry.stream_state_fact(spark, "unused")
     assert ids_of(fact) == list(range(1, 241))
